@@ -97,3 +97,77 @@ q AS (
   FROM fact f LEFT JOIN dim_customers c USING (customer_id)
   GROUP BY 1, 2, 3)
 SELECT * FROM q""")
+
+
+def days(end: str, start: str) -> str:
+    return f"CAST(date_diff('day', CAST({start} AS DATE), CAST({end} AS DATE)) AS INTEGER)"
+
+
+SQL["order_features_for_pricing"] = with_bindings(f"""
+q AS (
+  SELECT f.order_id, f.product_id, f.price, f.freight_value,
+         round(f.freight_value / NULLIF(f.price, 0), 4) AS freight_ratio,
+         {days('f.order_delivered_customer_date', 'f.order_purchase_date')} AS delivery_days,
+         {days('f.order_estimated_delivery_date', 'f.order_delivered_customer_date')}
+           AS estimated_vs_actual_delivery,
+         p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
+         c.customer_state, f.purchase_hour AS order_hour, f.purchase_weekday AS order_dayofweek
+  FROM fact f
+  LEFT JOIN dim_products p USING (product_id)
+  LEFT JOIN dim_customers c USING (customer_id)
+  WHERE f.order_delivered_customer_date IS NOT NULL AND f.price > 0)
+SELECT * FROM q""")
+
+SQL["ml_feature_store_v2"] = with_bindings(f"""
+base AS (
+  SELECT f.*, p.product_weight_g, p.product_length_cm, p.product_width_cm, p.product_height_cm,
+         p.product_photos_qty, p.product_name_lenght, p.product_description_lenght,
+         c.customer_state, c.customer_city, s.seller_state, s.seller_city
+  FROM fact f
+  LEFT JOIN dim_products p ON f.product_id = p.product_id
+  LEFT JOIN dim_customers c ON f.customer_id = c.customer_id
+  LEFT JOIN dim_sellers s ON f.seller_id = s.seller_id),
+tot AS (
+  SELECT order_id, COUNT(product_id) AS total_items_in_order,
+         {money_sum('price')} AS total_order_value,
+         MAX(payment_installments) AS max_installments,
+         {money_sum('payment_value')} AS total_payment
+  FROM base GROUP BY order_id),
+q AS (
+  SELECT {days('b.order_estimated_delivery_date', 'b.order_delivered_customer_date')} AS delay_vs_estimate_days,
+         {days('b.order_estimated_delivery_date', 'b.order_purchase_date')} AS estimated_delivery_days,
+         b.purchase_month, b.purchase_day, b.purchase_weekday, b.purchase_hour, b.is_weekend_order,
+         b.product_weight_g, b.product_length_cm, b.product_width_cm, b.product_height_cm,
+         b.product_length_cm * b.product_width_cm * b.product_height_cm AS product_volume,
+         b.product_photos_qty, b.product_name_lenght, b.product_description_lenght,
+         b.customer_state, b.customer_city, b.seller_state, b.seller_city,
+         CASE WHEN b.customer_state = b.seller_state THEN 1 ELSE 0 END AS is_same_state,
+         b.price AS price_per_item, b.freight_value AS freight_per_item,
+         t.total_items_in_order, t.max_installments, t.total_payment, t.total_order_value,
+         round(b.freight_value / NULLIF(b.price, 0), 4) AS freight_price_ratio,
+         b.product_weight_g AS weight_per_item
+  FROM base b LEFT JOIN tot t USING (order_id)
+  WHERE b.order_delivered_customer_date IS NOT NULL AND b.product_weight_g IS NOT NULL)
+SELECT * FROM q""")
+
+SQL["daily_sales_by_category"] = with_bindings("""
+q AS (
+  SELECT f.order_purchase_date AS sale_date, p.category_english,
+         COUNT(DISTINCT f.order_id) AS num_orders
+  FROM fact f LEFT JOIN dim_products p USING (product_id)
+  GROUP BY 1, 2)
+SELECT * FROM q""")
+
+SQL["layer_row_counts"] = with_bindings("""
+q AS (
+  SELECT 'bronze.orders' AS table_name, COUNT(*) AS row_count FROM b_orders
+  UNION ALL SELECT 'bronze.order_items', COUNT(*) FROM b_items
+  UNION ALL SELECT 'bronze.payments', COUNT(*) FROM b_payments
+  UNION ALL SELECT 'bronze.products', COUNT(*) FROM b_products
+  UNION ALL SELECT 'bronze.customers', COUNT(*) FROM b_customers
+  UNION ALL SELECT 'bronze.sellers', COUNT(*) FROM b_sellers
+  UNION ALL SELECT 'silver.fact_order_items', COUNT(*) FROM fact
+  UNION ALL SELECT 'silver.dim_customers', COUNT(*) FROM dim_customers
+  UNION ALL SELECT 'silver.dim_products', COUNT(*) FROM dim_products
+  UNION ALL SELECT 'silver.dim_sellers', COUNT(*) FROM dim_sellers)
+SELECT * FROM q""")

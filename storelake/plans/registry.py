@@ -43,3 +43,35 @@ def q_dim_products(spark, sf_dir):
 def q_profile(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return gold.customer_spending_profile(s.fact, s.customers)
+
+
+@register("order_features_for_pricing")
+def q_pricing(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.order_features_for_pricing(s.fact, s.products, s.customers)
+
+
+@register("ml_feature_store_v2")
+def q_ml_features(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.ml_feature_store(s.fact, s.products, s.customers, s.sellers)
+
+
+@register("daily_sales_by_category")
+def q_daily_sales(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.daily_sales_by_category(s.fact, s.products)
+
+
+@register("layer_row_counts")
+def q_row_counts(spark, sf_dir):
+    from storelake.sources.sinks import row_counts
+    b = Tables(spark, sf_dir).bronze
+    s = silver.Silver.from_bronze(b)
+    return row_counts({
+        "bronze.orders": b.orders, "bronze.order_items": b.order_items,
+        "bronze.payments": b.payments, "bronze.products": b.products,
+        "bronze.customers": b.customers, "bronze.sellers": b.sellers,
+        "silver.fact_order_items": s.fact, "silver.dim_customers": s.customers,
+        "silver.dim_products": s.products, "silver.dim_sellers": s.sellers,
+    })
