@@ -171,3 +171,99 @@ q AS (
   UNION ALL SELECT 'silver.dim_products', COUNT(*) FROM dim_products
   UNION ALL SELECT 'silver.dim_sellers', COUNT(*) FROM dim_sellers)
 SELECT * FROM q""")
+
+
+# --- the order stream (events -> order messages) and the six rules ----------
+def stream_orders(buckets: int | None = None) -> str:
+    cust = "user_id" if buckets is None else f"user_id % {buckets}"
+    return f"""
+ev AS (
+  SELECT CAST(event_id AS VARCHAR) AS order_id, CAST({cust} AS VARCHAR) AS customer_id,
+         CAST({cust} AS VARCHAR) AS customer_unique_id,
+         (['SP','RJ','MG','RS','PR','BA','PE','CE','AM','PA','AC','RR','AP'])
+           [CAST((event_id * 7 + user_id) % 13 AS INTEGER) + 1] AS customer_state,
+         date_trunc('minute', ts) AS ts,
+         round(value * 20, 2) AS total,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) * CAST(1.2 AS DOUBLE) AS item_freight,
+         json_extract_string(props, '$.k') AS item_product_id
+  FROM events),
+o AS (
+  SELECT *, coalesce(item_freight, 0.0) AS first_freight,
+         CAST(hour(ts) AS INTEGER) AS purchase_hour
+  FROM ev WHERE order_id IS NOT NULL AND customer_id IS NOT NULL),
+seq AS (
+  SELECT *, lag(customer_state) OVER w AS prev_state, lag(ts) OVER w AS prev_ts,
+         epoch(ts) - epoch(lag(ts) OVER w) AS gap_s
+  FROM o WINDOW w AS (PARTITION BY customer_unique_id ORDER BY ts, order_id)),
+sess AS (
+  SELECT *, SUM(CASE WHEN prev_ts IS NULL OR gap_s >= 3600 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY customer_unique_id ORDER BY ts, order_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_id
+  FROM seq),
+sess2 AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_unique_id, session_id ORDER BY ts, order_id)
+              AS session_count
+  FROM sess),
+firsts AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY ts, order_id) AS rn
+                 FROM o) WHERE rn = 1),
+a_amount AS (
+  SELECT order_id, 'amount' AS type, 1.0::DOUBLE AS score,
+         'Value ' || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) || ' exceeds 3000' AS details,
+         ts AS detected_at
+  FROM o WHERE total > 3000),
+a_off AS (
+  SELECT order_id, 'off_hours' AS type, 1.0::DOUBLE AS score,
+         'Order at ' || CAST(purchase_hour AS VARCHAR) || 'h value '
+           || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) AS details,
+         ts AS detected_at
+  FROM o WHERE purchase_hour >= 1 AND purchase_hour < 5 AND total > 1000),
+a_freight AS (
+  SELECT order_id, 'freight_mismatch' AS type, 1.0::DOUBLE AS score,
+         'Freight ' || CAST(CAST(round(first_freight) AS BIGINT) AS VARCHAR) || ' unusually high' AS details,
+         ts AS detected_at
+  FROM o WHERE ts IS NOT NULL AND first_freight > 100),
+a_first AS (
+  SELECT order_id, 'first_order_high_value' AS type, 1.0::DOUBLE AS score,
+         'First order ' || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) || ' exceeds 500' AS details,
+         ts AS detected_at
+  FROM firsts WHERE coalesce(total, 0.0) > 500),
+a_geo AS (
+  SELECT order_id, 'geo_velocity' AS type, 1.0::DOUBLE AS score,
+         'State jump ' || prev_state || '->' || customer_state || ' in '
+           || CAST((CAST(gap_s AS BIGINT) + 180) // 360 // 10 AS VARCHAR) || '.'
+           || CAST((CAST(gap_s AS BIGINT) + 180) // 360 % 10 AS VARCHAR) || 'h' AS details,
+         ts AS detected_at
+  FROM seq
+  WHERE prev_state IS NOT NULL AND prev_state <> '' AND prev_ts IS NOT NULL
+    AND abs(gap_s) < 4 * 3600 AND customer_state <> prev_state
+    AND least(customer_state, prev_state) || '|' || greatest(customer_state, prev_state)
+        IN ('AC|MG', 'AC|SP', 'AM|RJ', 'AM|RS', 'AM|SP', 'AP|PR', 'PA|SP', 'RR|SP')),
+a_velocity AS (
+  SELECT order_id, 'velocity' AS type, 1.0::DOUBLE AS score,
+         CAST(session_count AS VARCHAR) || ' orders in 1 hour' AS details, ts AS detected_at
+  FROM sess2 WHERE session_count > 5)
+"""
+
+
+def rules_sql(select: str, buckets: int | None = None) -> str:
+    return "WITH " + stream_orders(buckets).strip() + "\n" + select
+
+
+SQL["alerts_amount"] = rules_sql("SELECT * FROM a_amount")
+SQL["alerts_off_hours"] = rules_sql("SELECT * FROM a_off")
+SQL["alerts_freight_mismatch"] = rules_sql("SELECT * FROM a_freight")
+SQL["alerts_first_order_high_value"] = rules_sql("SELECT * FROM a_first")
+SQL["alerts_geo_velocity"] = rules_sql("SELECT * FROM a_geo")
+SQL["alerts_velocity"] = rules_sql("SELECT * FROM a_velocity")
+SQL["alerts_velocity_10_customers"] = rules_sql("SELECT * FROM a_velocity", buckets=10)
+ALL_ALERTS = """
+  SELECT * FROM a_geo UNION ALL SELECT * FROM a_first UNION ALL SELECT * FROM a_velocity
+  UNION ALL SELECT * FROM a_freight UNION ALL SELECT * FROM a_amount UNION ALL SELECT * FROM a_off"""
+SQL["order_alerts"] = rules_sql(ALL_ALERTS)
+SQL["parsed_order_stream"] = rules_sql("""
+SELECT order_id, customer_id, customer_unique_id, customer_state,
+       strftime(ts, '%d-%m-%Y %H:%M') AS order_purchase_timestamp,
+       total AS total_payment_value, 1 AS n_items, total AS item_price,
+       item_freight, item_product_id
+FROM ev""")

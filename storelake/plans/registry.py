@@ -75,3 +75,39 @@ def q_row_counts(spark, sf_dir):
         "silver.fact_order_items": s.fact, "silver.dim_customers": s.customers,
         "silver.dim_products": s.products, "silver.dim_sellers": s.sellers,
     })
+
+
+def _orders(spark, sf_dir, customer_buckets=None):
+    from storelake.operators.rules import prepare_orders
+    from storelake.sources.stream import parse_orders
+    raw = Tables(spark, sf_dir).bronze.order_messages(customer_buckets)
+    return prepare_orders(parse_orders(raw))
+
+
+def _rule_query(fn_name, customer_buckets=None):
+    def q(spark, sf_dir):
+        from storelake.operators import rules
+        return getattr(rules, fn_name)(_orders(spark, sf_dir, customer_buckets))
+    return q
+
+
+for _n, _f in [("alerts_amount", "amount_alerts"), ("alerts_off_hours", "off_hours_alerts"),
+               ("alerts_freight_mismatch", "freight_alerts"),
+               ("alerts_first_order_high_value", "first_order_alerts"),
+               ("alerts_geo_velocity", "geo_alerts"), ("alerts_velocity", "velocity_alerts"),
+               ("order_alerts", "all_alerts")]:
+    register(_n)(_rule_query(_f))
+register("alerts_velocity_10_customers")(_rule_query("velocity_alerts", customer_buckets=10))
+
+
+@register("parsed_order_stream")
+def q_parsed(spark, sf_dir):
+    from storelake.sources.stream import parse_orders
+    from pyspark.sql import functions as F
+    p = parse_orders(Tables(spark, sf_dir).bronze.order_messages())
+    it = F.get(F.col("items"), 0)
+    return p.select("order_id", "customer_id", "customer_unique_id", "customer_state",
+                    "order_purchase_timestamp", "total_payment_value",
+                    F.size("items").alias("n_items"),
+                    it["price"].alias("item_price"), it["freight_value"].alias("item_freight"),
+                    it["product_id"].alias("item_product_id"))
