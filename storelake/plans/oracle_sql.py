@@ -267,3 +267,52 @@ SELECT order_id, customer_id, customer_unique_id, customer_state,
        total AS total_payment_value, 1 AS n_items, total AS item_price,
        item_freight, item_product_id
 FROM ev""")
+
+
+# --- stream facts, daily metrics, serving ----------------------------------
+STREAM_FACTS = """,
+sfact AS (
+  SELECT o.order_id, 1 AS order_item_id, o.item_product_id AS product_id,
+         CAST(NULL AS VARCHAR) AS seller_id, o.customer_id, o.customer_unique_id,
+         e.event_type AS order_status, o.ts AS order_purchase_timestamp,
+         o.total AS price, o.item_freight AS freight_value, e.event_type AS product_category_name
+  FROM o JOIN (SELECT CAST(event_id AS VARCHAR) AS order_id, event_type FROM events) e USING (order_id)),
+dm AS (
+  SELECT CAST(order_purchase_timestamp AS DATE) AS metric_date,
+         CAST(COUNT(*) AS INTEGER) AS orders,
+         CAST(COUNT(DISTINCT order_id) AS INTEGER) AS distinct_orders,
+         CAST(CAST(SUM(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)))
+              AS DECIMAL(14,2)) AS DOUBLE) AS revenue
+  FROM sfact WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1),
+alerts AS (""" + ALL_ALERTS + """),
+kept AS (
+  SELECT * FROM alerts ORDER BY detected_at DESC NULLS LAST, order_id, type LIMIT 200),
+anomalies AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY detected_at DESC NULLS LAST, order_id, type) AS id,
+         order_id, type, CAST(score AS REAL) AS score, details, detected_at
+  FROM kept)
+"""
+
+
+def serving_sql(select: str) -> str:
+    return "WITH " + stream_orders().strip() + STREAM_FACTS + select
+
+
+SQL["stream_fact_order_items"] = serving_sql("SELECT * FROM sfact")
+SQL["daily_metrics"] = serving_sql("SELECT * FROM dm")
+SQL["daily_metrics_from_kv"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")
+SQL["sales_by_day"] = serving_sql("SELECT metric_date, orders, revenue FROM dm ORDER BY metric_date")
+SQL["live_metrics"] = serving_sql("""
+SELECT DATE '2024-01-15' AS date, CAST(coalesce(dm.orders, 0) AS INTEGER) AS orders,
+       CAST(round(coalesce(dm.revenue, 0.0) * 100) AS BIGINT) / 100.0 AS revenue,
+       CASE WHEN coalesce(dm.orders, 0) > 0
+            THEN ((2 * CAST(round(dm.revenue * 100) AS BIGINT) + dm.orders) // (2 * dm.orders)) / 100.0
+            ELSE 0.0 END AS avg_order_value
+FROM (SELECT 1 AS one) d LEFT JOIN dm ON dm.metric_date = DATE '2024-01-15'""")
+SQL["alert_summary"] = serving_sql("SELECT type, COUNT(*) AS count FROM alerts GROUP BY type")
+SQL["recent_alerts"] = serving_sql(
+    "SELECT * FROM alerts ORDER BY detected_at DESC NULLS LAST, order_id, type LIMIT 20")
+SQL["anomalies_reload"] = serving_sql("SELECT * FROM anomalies")
+SQL["alert_history"] = serving_sql(
+    "SELECT * FROM anomalies ORDER BY detected_at DESC NULLS LAST, order_id, type LIMIT 50")
+SQL["daily_metrics_upsert"] = serving_sql("SELECT * FROM dm")

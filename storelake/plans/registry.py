@@ -111,3 +111,98 @@ def q_parsed(spark, sf_dir):
                     F.size("items").alias("n_items"),
                     it["price"].alias("item_price"), it["freight_value"].alias("item_freight"),
                     it["product_id"].alias("item_product_id"))
+
+
+# --- stream facts, daily metrics and serving --------------------------------
+STREAM_BATCH_EVENTS = 1000   # orders per simulated micro-batch (arrival order)
+LIVE_AS_OF = "2024-01-15"
+
+
+def _stream_facts(spark, sf_dir):
+    from storelake.operators.stream_facts import stream_fact_rows
+    from storelake.sources.stream import parse_orders
+    return stream_fact_rows(parse_orders(Tables(spark, sf_dir).bronze.order_messages()))
+
+
+def _daily(spark, sf_dir):
+    from storelake.operators.stream_facts import daily_metrics
+    return daily_metrics(_stream_facts(spark, sf_dir))
+
+
+def _alerts(spark, sf_dir):
+    from storelake.operators.rules import all_alerts
+    return all_alerts(_orders(spark, sf_dir))
+
+
+def _anomalies(spark, sf_dir):
+    from storelake.operators import serving
+    return serving.reload_anomalies(serving.alerts_to_json(serving.kept_alerts(_alerts(spark, sf_dir))))
+
+
+@register("stream_fact_order_items")
+def q_stream_facts(spark, sf_dir):
+    return _stream_facts(spark, sf_dir)
+
+
+@register("daily_metrics")
+def q_daily_metrics(spark, sf_dir):
+    return _daily(spark, sf_dir)
+
+
+@register("daily_metrics_from_kv")
+def q_daily_from_kv(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from storelake.operators import stream_facts as sf
+    facts = _stream_facts(spark, sf_dir).withColumn(
+        "batch_id", F.floor(F.col("order_id").cast("long") / STREAM_BATCH_EVENTS))
+    return sf.kv_to_daily(sf.accumulate(sf.batch_increments(facts)))
+
+
+@register("sales_by_day")
+def q_sales_by_day(spark, sf_dir):
+    from storelake.operators.serving import sales_by_day
+    return sales_by_day(_daily(spark, sf_dir))
+
+
+@register("live_metrics")
+def q_live_metrics(spark, sf_dir):
+    from storelake.operators.serving import live_metrics
+    return live_metrics(_daily(spark, sf_dir), LIVE_AS_OF)
+
+
+@register("alert_summary")
+def q_alert_summary(spark, sf_dir):
+    from storelake.operators.serving import alert_summary
+    return alert_summary(_alerts(spark, sf_dir))
+
+
+@register("recent_alerts")
+def q_recent_alerts(spark, sf_dir):
+    from storelake.operators.serving import recent_alerts
+    return recent_alerts(_alerts(spark, sf_dir), 20)
+
+
+@register("anomalies_reload")
+def q_anomalies(spark, sf_dir):
+    return _anomalies(spark, sf_dir)
+
+
+@register("alert_history")
+def q_alert_history(spark, sf_dir):
+    from storelake.operators.serving import alert_history
+    return alert_history(_anomalies(spark, sf_dir), 50)
+
+
+@register("daily_metrics_upsert")
+def q_upsert(spark, sf_dir):
+    """The serving table loaded a week before the last data day, then upserted
+    with the last week recomputed from every order: equals a full reload."""
+    from pyspark.sql import functions as F
+    from storelake.operators.stream_facts import daily_metrics
+    from storelake.sources.sinks import upsert
+    facts = _stream_facts(spark, sf_dir)
+    last_day = facts.select(F.max(F.to_date("order_purchase_timestamp"))).scalar()
+    cut = F.date_sub(last_day, 7)
+    base = daily_metrics(facts.filter(F.to_date("order_purchase_timestamp") < cut))
+    updates = daily_metrics(facts).filter(F.col("metric_date") >= cut)
+    return upsert(base, updates, ["metric_date"])
