@@ -316,3 +316,89 @@ SQL["anomalies_reload"] = serving_sql("SELECT * FROM anomalies")
 SQL["alert_history"] = serving_sql(
     "SELECT * FROM anomalies ORDER BY detected_at DESC NULLS LAST, order_id, type LIMIT 50")
 SQL["daily_metrics_upsert"] = serving_sql("SELECT * FROM dm")
+
+
+# --- forecasting ---------------------------------------------------------------
+FORECAST = """,
+ds AS (
+  SELECT f.order_purchase_date AS sale_date, p.category_english, COUNT(DISTINCT f.order_id) AS num_orders
+  FROM fact f LEFT JOIN dim_products p USING (product_id) GROUP BY 1, 2),
+dsd AS (
+  SELECT category_english, sale_date, SUM(num_orders) AS y FROM ds
+  WHERE sale_date IS NOT NULL AND category_english IS NOT NULL AND num_orders IS NOT NULL
+  GROUP BY 1, 2),
+wk AS (
+  SELECT category_english, CAST(date_trunc('week', sale_date) AS DATE) + 6 AS week, SUM(y) AS y
+  FROM dsd GROUP BY 1, 2),
+bounds AS (
+  SELECT category_english, MIN(CAST(date_trunc('week', sale_date) AS DATE) + 6) AS lo,
+         MAX(CAST(date_trunc('week', sale_date) AS DATE) + 6) AS hi, COUNT(*) AS n_days
+  FROM dsd GROUP BY 1),
+cal AS (
+  SELECT category_english, lo, n_days, CAST(date_diff('day', lo, hi) / 7 + 1 AS INTEGER) AS n,
+         CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 7 DAYS)) AS DATE) AS week
+  FROM bounds),
+series AS (
+  SELECT c.category_english, c.week, CAST(date_diff('day', c.lo, c.week) / 7 AS INTEGER) AS x,
+         CAST(coalesce(w.y, 0) AS BIGINT) AS y, c.n, c.n_days
+  FROM cal c LEFT JOIN wk w USING (category_english, week)),
+bt AS (SELECT *, x >= n - 8 AS is_test FROM series WHERE n >= 23),
+bt_fit AS (
+  SELECT category_english, CAST(COUNT(*) AS DOUBLE) AS m, CAST(SUM(x) AS DOUBLE) AS sx,
+         CAST(SUM(y) AS DOUBLE) AS sy, CAST(SUM(x * x) AS DOUBLE) AS sxx, CAST(SUM(x * y) AS DOUBLE) AS sxy
+  FROM bt WHERE NOT is_test GROUP BY 1),
+bt_coef AS (
+  SELECT category_english, (m * sxy - sx * sy) / (m * sxx - sx * sx) AS slope, sx, sy, m FROM bt_fit),
+bt_coef2 AS (SELECT category_english, slope, (sy - slope * sx) / m AS intercept FROM bt_coef),
+bt_err AS (
+  SELECT b.category_english, (c.intercept + c.slope * CAST(b.x AS DOUBLE)) - CAST(b.y AS DOUBLE) AS e
+  FROM bt b JOIN bt_coef2 c USING (category_english) WHERE b.is_test),
+evaluation AS (
+  SELECT category_english, COUNT(*) AS test_points,
+         list_reduce(list_sort(list(abs(e))), lambda a, v: a + v) / COUNT(*) AS mae,
+         sqrt(list_reduce(list_sort(list(e * e)), lambda a, v: a + v) / COUNT(*)) AS rmse
+  FROM bt_err GROUP BY 1),
+fs AS (SELECT * FROM series WHERE n_days >= 30),
+f_fit AS (
+  SELECT category_english, CAST(COUNT(*) AS DOUBLE) AS m, CAST(SUM(x) AS DOUBLE) AS sx,
+         CAST(SUM(y) AS DOUBLE) AS sy, CAST(SUM(x * x) AS DOUBLE) AS sxx, CAST(SUM(x * y) AS DOUBLE) AS sxy
+  FROM fs GROUP BY 1),
+f_coef AS (
+  SELECT category_english, (m * sxy - sx * sy) / (m * sxx - sx * sx) AS slope, sx, sy, m FROM f_fit),
+f_coef2 AS (SELECT category_english, slope, (sy - slope * sx) / m AS intercept FROM f_coef),
+f_sigma AS (
+  SELECT s.category_english,
+         CASE WHEN COUNT(*) > 2 THEN sqrt(list_reduce(list_sort(list(
+              (CAST(s.y AS DOUBLE) - (c.intercept + c.slope * CAST(s.x AS DOUBLE)))
+            * (CAST(s.y AS DOUBLE) - (c.intercept + c.slope * CAST(s.x AS DOUBLE))))),
+              lambda a, v: a + v) / (COUNT(*) - 2)) ELSE 0.0 END AS sigma
+  FROM fs s JOIN f_coef2 c USING (category_english) GROUP BY 1),
+f_last AS (SELECT category_english, MAX(week) AS last_week, MAX(x) AS last_x FROM fs GROUP BY 1),
+f_frame AS (
+  SELECT category_english, week, x FROM fs
+  UNION ALL
+  SELECT category_english, CAST(last_week + CAST(7 * i AS INTEGER) AS DATE), CAST(last_x + i AS INTEGER)
+  FROM f_last, range(1, 13) t(i)),
+forecast AS (
+  SELECT fr.category_english, CAST(fr.week AS TIMESTAMP) AS ds,
+         c.intercept + c.slope * CAST(fr.x AS DOUBLE) AS yhat,
+         (c.intercept + c.slope * CAST(fr.x AS DOUBLE)) - 1.2815515655446004 * g.sigma AS yhat_lower,
+         (c.intercept + c.slope * CAST(fr.x AS DOUBLE)) + 1.2815515655446004 * g.sigma AS yhat_upper
+  FROM f_frame fr JOIN f_coef2 c USING (category_english) JOIN f_sigma g USING (category_english))
+"""
+
+
+def forecast_sql(select: str) -> str:
+    return with_bindings(FORECAST.lstrip(",").strip() + "\n" + select)
+
+
+SQL["weekly_category_demand"] = forecast_sql("SELECT category_english, week, x, y FROM series")
+SQL["forecast_evaluation_metrics"] = forecast_sql("SELECT * FROM evaluation")
+SQL["forecast_weekly_demand"] = forecast_sql("SELECT * FROM forecast")
+SQL["forecast_accuracy_summary"] = forecast_sql("""
+SELECT list_reduce(list_sort(list(mae)), lambda a, v: a + v) / COUNT(mae) AS avg_mae,
+       list_reduce(list_sort(list(rmse)), lambda a, v: a + v) / COUNT(rmse) AS avg_rmse,
+       COUNT(*) AS categories
+FROM evaluation""")
+SQL["forecast_worst_categories"] = forecast_sql(
+    "SELECT * FROM evaluation ORDER BY mae DESC, category_english LIMIT 10")

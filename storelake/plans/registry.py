@@ -206,3 +206,39 @@ def q_upsert(spark, sf_dir):
     base = daily_metrics(facts.filter(F.to_date("order_purchase_timestamp") < cut))
     updates = daily_metrics(facts).filter(F.col("metric_date") >= cut)
     return upsert(base, updates, ["metric_date"])
+
+
+# --- forecasting -------------------------------------------------------------
+def _daily_sales(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.daily_sales_by_category(s.fact, s.products)
+
+
+@register("weekly_category_demand")
+def q_weekly(spark, sf_dir):
+    from storelake.operators.forecast import weekly_series
+    return weekly_series(_daily_sales(spark, sf_dir)).select("category_english", "week", "x", "y")
+
+
+@register("forecast_evaluation_metrics")
+def q_backtest(spark, sf_dir):
+    from storelake.operators.forecast import backtest
+    return backtest(_daily_sales(spark, sf_dir))
+
+
+@register("forecast_weekly_demand")
+def q_forecast(spark, sf_dir):
+    from storelake.operators.forecast import forecast
+    return forecast(_daily_sales(spark, sf_dir))
+
+
+@register("forecast_accuracy_summary")
+def q_forecast_summary(spark, sf_dir):
+    from storelake.operators.forecast import backtest, evaluation_summary
+    return evaluation_summary(backtest(_daily_sales(spark, sf_dir)))
+
+
+@register("forecast_worst_categories")
+def q_forecast_worst(spark, sf_dir):
+    from storelake.operators.forecast import backtest, worst_categories
+    return worst_categories(backtest(_daily_sales(spark, sf_dir)))
