@@ -402,3 +402,40 @@ SELECT list_reduce(list_sort(list(mae)), lambda a, v: a + v) / COUNT(mae) AS avg
 FROM evaluation""")
 SQL["forecast_worst_categories"] = forecast_sql(
     "SELECT * FROM evaluation ORDER BY mae DESC, category_english LIMIT 10")
+
+
+# --- baskets: single-antecedent rules by counting pairs inside baskets -------
+def basket_sql(item: str, select: str) -> str:
+    src = ("SELECT order_id, product_id AS item FROM fact" if item == "product_id" else
+           f"SELECT f.order_id, p.{item} AS item FROM fact f LEFT JOIN dim_products p USING (product_id)")
+    return with_bindings(f"""
+src AS ({src}),
+bi0 AS (SELECT DISTINCT order_id, item FROM src WHERE item IS NOT NULL),
+bsz AS (SELECT order_id, COUNT(*) AS n_items FROM bi0 GROUP BY order_id HAVING COUNT(*) > 1),
+bi AS (SELECT bi0.* FROM bi0 JOIN bsz USING (order_id)),
+n AS (SELECT COUNT(*) AS n, CEIL(0.001 * COUNT(*)) AS min_count FROM bsz),
+ic AS (SELECT item, COUNT(*) AS f FROM bi GROUP BY item),
+pc AS (SELECT a.item AS x, c.item AS y, COUNT(*) AS f
+       FROM bi a JOIN bi c ON a.order_id = c.order_id AND a.item <> c.item GROUP BY 1, 2),
+rules AS (
+  SELECT pc.x AS product_id, pc.y AS recommended_product_id,
+         CAST(pc.f AS DOUBLE) / ia.f AS confidence,
+         (CAST(pc.f AS DOUBLE) / ia.f) / (CAST(ib.f AS DOUBLE) / n.n) AS lift,
+         CAST(pc.f AS DOUBLE) / n.n AS support
+  FROM pc JOIN ic ia ON ia.item = pc.x JOIN ic ib ON ib.item = pc.y CROSS JOIN n
+  WHERE pc.f >= n.min_count AND CAST(pc.f AS DOUBLE) / ia.f >= 0.2)
+{select}""")
+
+
+SQL["multi_item_baskets"] = basket_sql("product_category_name", """
+SELECT order_id, CAST(COUNT(*) AS INTEGER) AS n_items, string_agg(item, ',' ORDER BY item) AS items_key
+FROM bi GROUP BY order_id""")
+SQL["basket_rules"] = basket_sql("product_category_name", "SELECT * FROM rules")
+SQL["basket_rules_by_product"] = basket_sql("product_id", "SELECT * FROM rules")
+SQL["basket_rule_quality"] = basket_sql("product_category_name", """
+SELECT round(AVG(confidence), 9) AS avg_confidence, round(AVG(lift), 9) AS avg_lift,
+       round(AVG(support), 9) AS avg_support, MAX(confidence) AS max_confidence,
+       MAX(lift) AS max_lift, COUNT(*) AS rules
+FROM rules""")
+SQL["top_basket_rules"] = basket_sql("product_category_name", """
+SELECT * FROM rules ORDER BY lift DESC, confidence DESC, product_id, recommended_product_id LIMIT 10""")

@@ -242,3 +242,54 @@ def q_forecast_summary(spark, sf_dir):
 def q_forecast_worst(spark, sf_dir):
     from storelake.operators.forecast import backtest, worst_categories
     return worst_categories(backtest(_daily_sales(spark, sf_dir)))
+
+
+# --- baskets -----------------------------------------------------------------
+def _basket_fact(spark, sf_dir, item: str):
+    """Fact rows with the basket item: the product id, or its category."""
+    s = _silver(spark, sf_dir)
+    if item == "product_id":
+        return s.fact
+    return s.fact.join(s.products.select("product_id", item), "product_id", "left")
+
+
+def _recs(spark, sf_dir, item="product_category_name", single=True):
+    from storelake.operators import baskets as b
+    bk = b.baskets(_basket_fact(spark, sf_dir, item), item)
+    return b.recommendations(b.fit_rules(bk), single_antecedent=single)
+
+
+@register("multi_item_baskets")
+def q_baskets(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from storelake.operators.baskets import baskets
+    bk = baskets(_basket_fact(spark, sf_dir, "product_category_name"), "product_category_name")
+    return bk.select("order_id", F.size("items").alias("n_items"),
+                     F.array_join(F.array_sort("items"), ",").alias("items_key"))
+
+
+@register("basket_rules")
+def q_basket_rules(spark, sf_dir):
+    return _recs(spark, sf_dir)
+
+
+@register("basket_rules_by_product")
+def q_basket_rules_product(spark, sf_dir):
+    return _recs(spark, sf_dir, item="product_id")
+
+
+@register("basket_rules_all_antecedents")
+def q_basket_rules_all(spark, sf_dir):
+    return _recs(spark, sf_dir, single=False)
+
+
+@register("basket_rule_quality")
+def q_rule_quality(spark, sf_dir):
+    from storelake.operators.baskets import rule_quality
+    return rule_quality(_recs(spark, sf_dir))
+
+
+@register("top_basket_rules")
+def q_top_rules(spark, sf_dir):
+    from storelake.operators.baskets import top_rules
+    return top_rules(_recs(spark, sf_dir))
