@@ -103,8 +103,7 @@ def days(end: str, start: str) -> str:
     return f"CAST(date_diff('day', CAST({start} AS DATE), CAST({end} AS DATE)) AS INTEGER)"
 
 
-SQL["order_features_for_pricing"] = with_bindings(f"""
-q AS (
+PRICING_CTE = f"""pq AS (
   SELECT f.order_id, f.product_id, f.price, f.freight_value,
          round(f.freight_value / NULLIF(f.price, 0), 4) AS freight_ratio,
          {days('f.order_delivered_customer_date', 'f.order_purchase_date')} AS delivery_days,
@@ -115,11 +114,11 @@ q AS (
   FROM fact f
   LEFT JOIN dim_products p USING (product_id)
   LEFT JOIN dim_customers c USING (customer_id)
-  WHERE f.order_delivered_customer_date IS NOT NULL AND f.price > 0)
-SELECT * FROM q""")
+  WHERE f.order_delivered_customer_date IS NOT NULL AND f.price > 0)"""
 
-SQL["ml_feature_store_v2"] = with_bindings(f"""
-base AS (
+SQL["order_features_for_pricing"] = with_bindings(PRICING_CTE + "\nSELECT * FROM pq")
+
+ML_CTES = f"""base AS (
   SELECT f.*, p.product_weight_g, p.product_length_cm, p.product_width_cm, p.product_height_cm,
          p.product_photos_qty, p.product_name_lenght, p.product_description_lenght,
          c.customer_state, c.customer_city, s.seller_state, s.seller_city
@@ -147,8 +146,9 @@ q AS (
          round(b.freight_value / NULLIF(b.price, 0), 4) AS freight_price_ratio,
          b.product_weight_g AS weight_per_item
   FROM base b LEFT JOIN tot t USING (order_id)
-  WHERE b.order_delivered_customer_date IS NOT NULL AND b.product_weight_g IS NOT NULL)
-SELECT * FROM q""")
+  WHERE b.order_delivered_customer_date IS NOT NULL AND b.product_weight_g IS NOT NULL)"""
+
+SQL["ml_feature_store_v2"] = with_bindings(ML_CTES + "\nSELECT * FROM q")
 
 SQL["daily_sales_by_category"] = with_bindings("""
 q AS (
@@ -439,3 +439,38 @@ SELECT round(AVG(confidence), 9) AS avg_confidence, round(AVG(lift), 9) AS avg_l
 FROM rules""")
 SQL["top_basket_rules"] = basket_sql("product_category_name", """
 SELECT * FROM rules ORDER BY lift DESC, confidence DESC, product_id, recommended_product_id LIMIT 10""")
+
+
+SQL["customer_state_index"] = with_bindings(ML_CTES + """
+SELECT customer_state,
+       CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, customer_state) - 1 AS DOUBLE) AS customer_state_idx
+FROM q
+WHERE delay_vs_estimate_days IS NOT NULL AND estimated_delivery_days IS NOT NULL
+  AND product_weight_g IS NOT NULL AND product_volume IS NOT NULL AND price_per_item IS NOT NULL
+  AND freight_per_item IS NOT NULL AND total_order_value IS NOT NULL AND customer_state IS NOT NULL
+GROUP BY customer_state""")
+
+_DELAY_NUM = ("estimated_delivery_days purchase_month purchase_day purchase_weekday purchase_hour "
+              "is_weekend_order product_weight_g product_length_cm product_width_cm product_height_cm "
+              "product_volume product_photos_qty is_same_state price_per_item freight_per_item "
+              "total_items_in_order max_installments total_payment total_order_value "
+              "freight_price_ratio weight_per_item").split()
+_DELAY_REQ = ("delay_vs_estimate_days estimated_delivery_days product_weight_g product_volume "
+              "price_per_item freight_per_item total_order_value").split()
+_PRICE_NUM = ("freight_value freight_ratio delivery_days estimated_vs_actual_delivery product_weight_g "
+              "product_length_cm product_height_cm product_width_cm order_hour order_dayofweek").split()
+_PRICE_REQ = ("price freight_value delivery_days product_weight_g product_length_cm "
+              "product_width_cm product_height_cm").split()
+
+
+def _nn(cols) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+SQL["model_input_counts"] = with_bindings(ML_CTES + ",\n" + PRICING_CTE + f"""
+SELECT 'delay.loaded' AS table_name, COUNT(*) AS row_count FROM q
+UNION ALL SELECT 'delay.required', COUNT(*) FROM q WHERE {_nn(_DELAY_REQ)}
+UNION ALL SELECT 'delay.assembled', COUNT(*) FROM q WHERE {_nn(_DELAY_REQ)} AND {_nn(_DELAY_NUM)}
+UNION ALL SELECT 'price.loaded', COUNT(*) FROM pq
+UNION ALL SELECT 'price.required', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)}
+UNION ALL SELECT 'price.assembled', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)} AND {_nn(_PRICE_NUM)}""")

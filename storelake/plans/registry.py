@@ -293,3 +293,58 @@ def q_rule_quality(spark, sf_dir):
 def q_top_rules(spark, sf_dir):
     from storelake.operators.baskets import top_rules
     return top_rules(_recs(spark, sf_dir))
+
+
+# --- models --------------------------------------------------------------------
+def _delay_table(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.ml_feature_store(s.fact, s.products, s.customers, s.sellers, keep_order_id=True)
+
+
+def _price_table(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return gold.order_features_for_pricing(s.fact, s.products, s.customers)
+
+
+def _fit_predict(df, spec):
+    from storelake.operators import models as m
+    data = m.model_input(df, spec)
+    train, test = m.split(data, key="order_id")
+    model = m.fit(train, spec)
+    return model.transform(test)
+
+
+@register("shipment_delay_predictions")
+def q_delay_predictions(spark, sf_dir):
+    from storelake.operators import models as m
+    return m.delay_predictions(_fit_predict(_delay_table(spark, sf_dir), m.DELAY))
+
+
+@register("pricing_recommendations")
+def q_pricing_recs(spark, sf_dir):
+    from storelake.operators import models as m
+    return m.pricing_recommendations(_fit_predict(_price_table(spark, sf_dir), m.PRICE))
+
+
+@register("customer_state_index")
+def q_state_index(spark, sf_dir):
+    """StringIndexer labels of the delay model's customer_state (frequency
+    descending, ties alphabetical), as applied to the training rows."""
+    from pyspark.ml.feature import StringIndexer
+    from storelake.operators import models as m
+    data = m.model_input(_delay_table(spark, sf_dir), m.DELAY)
+    idx = StringIndexer(inputCol="customer_state", outputCol="customer_state_idx",
+                        handleInvalid="keep").fit(data)
+    return idx.transform(data.select("customer_state")).distinct()
+
+
+@register("model_input_counts")
+def q_model_input_counts(spark, sf_dir):
+    from storelake.operators import models as m
+    from storelake.sources.sinks import row_counts
+    d, p = _delay_table(spark, sf_dir), _price_table(spark, sf_dir)
+    d1, p1 = m.model_input(d, m.DELAY), m.model_input(p, m.PRICE)
+    return row_counts({"delay.loaded": d, "delay.required": d1,
+                       "delay.assembled": m.assembled_rows(d1, m.DELAY),
+                       "price.loaded": p, "price.required": p1,
+                       "price.assembled": m.assembled_rows(p1, m.PRICE)})
