@@ -474,3 +474,5 @@ UNION ALL SELECT 'delay.assembled', COUNT(*) FROM q WHERE {_nn(_DELAY_REQ)} AND
 UNION ALL SELECT 'price.loaded', COUNT(*) FROM pq
 UNION ALL SELECT 'price.required', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)}
 UNION ALL SELECT 'price.assembled', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)} AND {_nn(_PRICE_NUM)}""")
+SQL["stream_order_alerts"] = rules_sql(ALL_ALERTS)
+SQL["stream_daily_metrics"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")

@@ -348,3 +348,33 @@ def q_model_input_counts(spark, sf_dir):
                        "delay.assembled": m.assembled_rows(d1, m.DELAY),
                        "price.loaded": p, "price.required": p1,
                        "price.assembled": m.assembled_rows(p1, m.PRICE)})
+
+
+# --- streaming runs (availableNow over the staged order files) -------------------
+def _staged_stream(spark, sf_dir, files=4):
+    from storelake.session import scratch_path
+    from storelake.streaming.jobs import read_text_stream, stage_order_files
+    inp = scratch_path(spark, "orders-in")
+    stage_order_files(spark, Tables(spark, sf_dir).events, inp, files)
+    return read_text_stream(spark, inp, files_per_trigger=1)
+
+
+@register("stream_order_alerts")
+def q_stream_alerts(spark, sf_dir):
+    """The six rules run as a stream (4 micro-batches, state carried across)."""
+    from storelake.session import scratch_path
+    from storelake.streaming.jobs import start_alerts
+    out, ck = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-ck")
+    start_alerts(_staged_stream(spark, sf_dir), out, ck, trigger="availableNow").awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_daily_metrics")
+def q_stream_daily(spark, sf_dir):
+    """Stream fact rows and per-batch day increments, then the served totals."""
+    from storelake.operators.stream_facts import accumulate, kv_to_daily
+    from storelake.session import scratch_path
+    from storelake.streaming.jobs import start_facts
+    facts, inc, ck = (scratch_path(spark, n) for n in ("facts", "increments", "facts-ck"))
+    start_facts(_staged_stream(spark, sf_dir), facts, inc, ck, trigger="availableNow").awaitTermination()
+    return kv_to_daily(accumulate(spark.read.parquet(inc)))
