@@ -79,9 +79,7 @@ def q_row_counts(spark, sf_dir):
 
 def _orders(spark, sf_dir, customer_buckets=None):
     from storelake.operators.rules import prepare_orders
-    from storelake.sources.stream import parse_orders
-    raw = Tables(spark, sf_dir).bronze.order_messages(customer_buckets)
-    return prepare_orders(parse_orders(raw))
+    return prepare_orders(Tables(spark, sf_dir).bronze.order_stream(customer_buckets))
 
 
 def _rule_query(fn_name, customer_buckets=None):
@@ -120,8 +118,7 @@ LIVE_AS_OF = "2024-01-15"
 
 def _stream_facts(spark, sf_dir):
     from storelake.operators.stream_facts import stream_fact_rows
-    from storelake.sources.stream import parse_orders
-    return stream_fact_rows(parse_orders(Tables(spark, sf_dir).bronze.order_messages()))
+    return stream_fact_rows(Tables(spark, sf_dir).bronze.order_stream())
 
 
 def _daily(spark, sf_dir):

@@ -13,19 +13,34 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
+# Fact and event tables: the ones whose size grows with the data.
+FACT_TABLES = frozenset({"lineitem", "orders", "events"})
+
+
 class Tables:
     """Lazy Parquet readers for the driver's test tables in ``root``.
 
     Each attribute is a plain ``spark.read.parquet`` -- Catalyst prunes the
     columns and pushes the filters of whatever query uses it into the scan.
+
+    A fact table stored as fewer splits than the cluster has cores (one
+    file with a single row group, say) would run everything before its first
+    shuffle in that many tasks; such a scan is spread round-robin over
+    ``min_splits`` partitions first. The check is made at planning time from
+    the scan's split count; with many input files it never fires.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, min_splits: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.min_splits = min_splits or spark.sparkContext.defaultParallelism
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        if name in FACT_TABLES and self.min_splits > 1:
+            if df.rdd.getNumPartitions() < self.min_splits:
+                df = df.repartition(self.min_splits)
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TEST_TABLES:
