@@ -12,12 +12,14 @@ several contiguous *chunks* -- and each scan is done in two levels:
    whose carried values are joined back on ``(key, chunk)``.
 
 Keys are wrapped in a struct so a null key is one group, like any other.
-The chunked rows are checkpointed (reliable checkpoint in the shared
-``spark.checkpoint.dir``): range bounds come from sampling, and two
-executions of the same range exchange -- e.g. two branches of one plan that
-Catalyst pruned differently -- may draw different bounds. Materialising the
-chunk ids once makes every later step agree on them, and cuts the lineage so
-a lost executor recomputes from the checkpoint, not from the sources.
+The chunked rows are written once as a Parquet table in the shared
+folder named by ``spark.checkpoint.dir``: range bounds come from sampling,
+and two executions of the same range exchange -- e.g. two branches of one
+plan that Catalyst pruned differently -- may draw different bounds.
+Materialising the chunk ids once makes every later step agree on them, and
+cuts the lineage so a lost executor recomputes from that table, not from the
+sources (one write, unlike ``Dataset.checkpoint``, which runs the reduce side
+twice).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelake.session import checkpoint_root
+from storelake.session import scratch_path
 
 K, CHUNK, RN = "_k", "_chunk", "_rn"
 
@@ -39,11 +41,12 @@ def chunk_rows(df: DataFrame, key: list[str], order: list[str],
     """Tag rows with ``_k`` (the key struct) and ``_chunk`` (its range chunk)."""
     spark = df.sparkSession
     n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
-    return (df.withColumn(K, F.struct(*key))
-              .repartitionByRange(n, F.col(K), *_cols(order))
-              .withColumn(CHUNK, F.spark_partition_id())
-              .checkpoint(eager=True))
+    path = scratch_path(spark, "chunks")
+    (df.withColumn(K, F.struct(*key))
+       .repartitionByRange(n, F.col(K), *_cols(order))
+       .withColumn(CHUNK, F.spark_partition_id())
+       .write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def _local(order) -> Window:

@@ -375,3 +375,15 @@ def q_stream_daily(spark, sf_dir):
     facts, inc, ck = (scratch_path(spark, n) for n in ("facts", "increments", "facts-ck"))
     start_facts(_staged_stream(spark, sf_dir), facts, inc, ck, trigger="availableNow").awaitTermination()
     return kv_to_daily(accumulate(spark.read.parquet(inc)))
+
+
+@register("forecast_weekly_demand_seasonal")
+def q_forecast_seasonal(spark, sf_dir):
+    from storelake.operators.seasonal import seasonal_forecast
+    return seasonal_forecast(_daily_sales(spark, sf_dir))
+
+
+@register("forecast_evaluation_seasonal")
+def q_backtest_seasonal(spark, sf_dir):
+    from storelake.operators.seasonal import seasonal_backtest
+    return seasonal_backtest(_daily_sales(spark, sf_dir))

@@ -127,10 +127,12 @@ class Bronze:
     def order_stream(self, customer_buckets: int | None = None) -> DataFrame:
         """The order stream already decoded: the declared message columns,
         exactly what :func:`~storelake.sources.stream.parse_orders` yields for
-        :meth:`order_messages` (the batch twin needs no JSON round trip)."""
+        :meth:`order_messages` (the batch twin needs no JSON round trip).
+
+        Built as flat, already-typed columns so Catalyst can push each
+        filter down as the one column expression it reads."""
         e = self.t.events
-        return e.select(order_struct(e, customer_buckets)
-                        .cast(schemas.ORDER_MESSAGE).alias("d")).select("d.*")
+        return e.select([c.alias(n) for n, c in order_columns(customer_buckets).items()])
 
     def order_messages(self, customer_buckets: int | None = None) -> DataFrame:
         """The order stream as the topic carries it: one JSON text per order.
@@ -142,37 +144,44 @@ class Bronze:
         return e.select(F.to_json(order_struct(e, customer_buckets)).alias("value"))
 
 
-def order_struct(e: DataFrame, customer_buckets: int | None = None) -> Column:
-    """The declared order-message struct built from one ``events`` row."""
+def order_columns(customer_buckets: int | None = None) -> dict[str, Column]:
+    """The declared order-message fields built from one ``events`` row, typed
+    as :data:`storelake.schemas.ORDER_MESSAGE` declares them."""
     user = F.col("user_id") if customer_buckets is None else F.col("user_id") % customer_buckets
     states = F.array(*[F.lit(s) for s in STREAM_STATES])
     state = F.get(states, ((F.col("event_id") * 7 + F.col("user_id")) % 13).cast("int"))
     ts = F.date_trunc("minute", F.col("ts"))
     total = F.round(F.col("value") * 20, 2)
-    freight = F.get_json_object("props", "$.k").cast("int") * F.lit(1.2)
+    k = F.get_json_object("props", "$.k")
     item = F.struct(
-        F.lit(1).alias("order_item_id"),
-        F.get_json_object("props", "$.k").alias("product_id"),
+        F.lit(1).cast("int").alias("order_item_id"),
+        k.alias("product_id"),
         F.lit(None).cast("string").alias("seller_id"),
         total.alias("price"),
-        freight.alias("freight_value"),
+        (k.cast("int") * F.lit(1.2)).alias("freight_value"),
         F.col("event_type").alias("product_category"))
     empty = F.lit("")
-    return F.struct(
-        F.col("event_id").cast("string").alias("order_id"),
-        user.cast("string").alias("customer_id"),
-        user.cast("string").alias("customer_unique_id"),
-        state.alias("customer_state"),
-        F.lit(None).cast("string").alias("customer_city"),
-        F.col("event_type").alias("order_status"),
-        F.date_format(ts, "dd-MM-yyyy HH:mm").alias("order_purchase_timestamp"),
-        empty.alias("order_approved_at"),
-        empty.alias("order_delivered_carrier_date"),
-        empty.alias("order_delivered_customer_date"),
-        empty.alias("order_estimated_delivery_date"),
-        F.array(item).alias("items"),
-        F.lit(None).cast("string").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        total.alias("total_payment_value"),
-        F.lit(None).cast(schemas.ORDER_MESSAGE["injected_anomaly"].dataType).alias("injected_anomaly"),
-    )
+    nothing = F.lit(None).cast("string")
+    return {
+        "order_id": F.col("event_id").cast("string"),
+        "customer_id": user.cast("string"),
+        "customer_unique_id": user.cast("string"),
+        "customer_state": state,
+        "customer_city": nothing,
+        "order_status": F.col("event_type"),
+        "order_purchase_timestamp": F.date_format(ts, "dd-MM-yyyy HH:mm"),
+        "order_approved_at": empty,
+        "order_delivered_carrier_date": empty,
+        "order_delivered_customer_date": empty,
+        "order_estimated_delivery_date": empty,
+        "items": F.array(item),
+        "payment_type": nothing,
+        "payment_installments": F.lit(1).cast("int"),
+        "total_payment_value": total,
+        "injected_anomaly": F.lit(None).cast(schemas.ORDER_MESSAGE["injected_anomaly"].dataType),
+    }
+
+
+def order_struct(e: DataFrame, customer_buckets: int | None = None) -> Column:
+    """The declared order-message struct built from one ``events`` row."""
+    return F.struct(*[c.alias(n) for n, c in order_columns(customer_buckets).items()])

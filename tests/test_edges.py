@@ -184,3 +184,19 @@ def test_csv_bronze_roundtrip(spark, tmp_path):
     back = read_bronze(spark, str(tmp_path), "orders")
     assert back.schema == schemas.BRONZE["orders"]
     assert back.collect() == df.collect()
+
+
+def test_seasonal_forecast_recovers_trend_and_season(spark):
+    import numpy as np
+    from storelake.operators.seasonal import WEEKS_PER_YEAR, seasonal_backtest, seasonal_forecast
+    start = dt.date(2022, 1, 2)                                  # a Sunday
+    rows = []
+    for i in range(120):
+        y = 100 + 0.5 * i + 20 * np.sin(2 * np.pi * i / WEEKS_PER_YEAR)
+        rows.append((start + dt.timedelta(days=7 * i), "c", int(round(y))))
+    ds = spark.createDataFrame(rows, schemas.DAILY_SALES)
+    ev = seasonal_backtest(ds).first()
+    assert ev.test_points == 8 and ev.mae < 1.5
+    fc = seasonal_forecast(ds.union(spark.createDataFrame(
+        [(start + dt.timedelta(days=d), "c", 1) for d in range(1, 30)], schemas.DAILY_SALES)))
+    assert fc.count() == 120 + 12

@@ -28,7 +28,8 @@ def test_query_matches_sql(spark, duck, name):
 def test_every_query_has_oracle_or_is_known():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing <= {"basket_rules_all_antecedents", "shipment_delay_predictions",
-                       "pricing_recommendations"}
+                       "pricing_recommendations", "forecast_weekly_demand_seasonal",
+                       "forecast_evaluation_seasonal"}
 
 
 def test_entry_smoke(spark):

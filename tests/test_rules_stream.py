@@ -159,3 +159,19 @@ def test_sequence_hot_key_matches_window(spark):
     bad = j.filter(~F.col("prev_v").eqNullSafe(F.col("pv")) | (F.col("_rn") != F.col("rn"))
                    | ~F.col("m").eqNullSafe(F.col("mm")))
     assert bad.count() == 0
+
+
+def test_streaming_daily_totals_equal_batch(spark, tmp_path):
+    from storelake.operators.stream_facts import daily_metrics, stream_fact_rows
+    from storelake.streaming.jobs import read_text_stream, start_daily_totals
+    texts = [t for t, _ in CASES]
+    _write_files(spark, str(tmp_path / "in"), [texts[:20], texts[20:]])
+    out = str(tmp_path / "daily")
+    q = start_daily_totals(read_text_stream(spark, str(tmp_path / "in"), 1), out,
+                           str(tmp_path / "ck"), trigger="availableNow", dedupe=True)
+    q.awaitTermination()
+    got = {(r.metric_date, r.orders, r.revenue) for r in spark.read.parquet(out).collect()}
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    exp = {(r.metric_date, r.orders, r.revenue)
+           for r in daily_metrics(stream_fact_rows(parse_orders(raw))).collect()}
+    assert got == exp
