@@ -45,6 +45,6 @@ def parse_wire_ts(s) -> Column:
 
 
 def seconds_between(later, earlier) -> Column:
-    """Signed seconds ``later - earlier`` for timestamp_ntz columns."""
-    return (F.unix_timestamp(_c(later).cast("timestamp"))
-            - F.unix_timestamp(_c(earlier).cast("timestamp")))
+    """Signed whole seconds ``later - earlier`` for timestamp_ntz columns
+    (wall-clock difference, independent of the session time zone)."""
+    return F.timestamp_diff("SECOND", _c(earlier), _c(later))

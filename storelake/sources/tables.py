@@ -13,8 +13,9 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
-# Fact and event tables: the ones whose size grows with the data.
-FACT_TABLES = frozenset({"lineitem", "orders", "events"})
+# Fact and event tables (the ones whose size grows with the data), with the
+# leading key each is spread on when it arrives under-split.
+FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 class Tables:
@@ -25,22 +26,29 @@ class Tables:
 
     A fact table stored as fewer splits than the cluster has cores (one
     file with a single row group, say) would run everything before its first
-    shuffle in that many tasks; such a scan is spread round-robin over
-    ``min_splits`` partitions first. The check is made at planning time from
-    the scan's split count; with many input files it never fires.
+    shuffle in that many tasks; such a scan is hash-spread on its leading key
+    over ``min_splits`` partitions first (no sort, unlike round-robin, and
+    the order tables come out co-partitioned on the order key). The check is
+    made at planning time from the scan's split count; with many input files
+    it never fires.
     """
 
     def __init__(self, spark: SparkSession, root: str, min_splits: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.min_splits = min_splits or spark.sparkContext.defaultParallelism
+        self._frames: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-        if name in FACT_TABLES and self.min_splits > 1:
-            if df.rdd.getNumPartitions() < self.min_splits:
-                df = df.repartition(self.min_splits)
-        return df
+        """The table as a lazy DataFrame (one reader per table and instance:
+        DataFrames are immutable, so every query may share it)."""
+        if name not in self._frames:
+            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            if name in FACT_TABLES and self.min_splits > 1:
+                if df.rdd.getNumPartitions() < self.min_splits:
+                    df = df.repartition(self.min_splits, FACT_TABLES[name])
+            self._frames[name] = df
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TEST_TABLES:
@@ -53,6 +61,19 @@ class Tables:
         return Bronze(self)
 
 
+_SHARED: dict[tuple[int, str], Tables] = {}
+
+
+def tables(spark: SparkSession, root: str) -> Tables:
+    """One :class:`Tables` per (session, folder), so the readers and the
+    bronze bindings are built once and shared by every query."""
+    key = (id(spark), root.rstrip("/"))
+    t = _SHARED.get(key)
+    if t is None or t.spark is not spark:
+        t = _SHARED[key] = Tables(spark, root)
+    return t
+
+
 def read_bronze(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one headered bronze CSV with its declared schema.
 
