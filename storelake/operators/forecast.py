@@ -40,33 +40,30 @@ def weekly_series(daily_sales: DataFrame) -> DataFrame:
     """Weeks ending Sunday, every week between a category's first and last
     one present, empty weeks 0 (A6). ``x`` is the week index from 0, ``n``
     the series length and ``n_days`` the category's number of sale days."""
-    d = daily_series(daily_sales)
-    wk = d.groupBy(CAT, week_ending_sunday("sale_date").alias("week")).agg(F.sum("y").alias("y"))
-    bounds = d.groupBy(CAT).agg(
-        F.min(week_ending_sunday("sale_date")).alias("lo"),
-        F.max(week_ending_sunday("sale_date")).alias("hi"),
-        F.count(F.lit(1)).alias("n_days"))
+    wk = (daily_series(daily_sales)
+          .groupBy(CAT, week_ending_sunday("sale_date").alias("week"))
+          .agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("days")))
+    bounds = wk.groupBy(CAT).agg(F.min("week").alias("lo"), F.max("week").alias("hi"),
+                                 F.sum("days").alias("n_days"))
     cal = bounds.select(CAT, "lo", "n_days",
                         (F.datediff("hi", "lo") / 7 + 1).cast("int").alias("n"),
                         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week"))
-    return (cal.join(wk, [CAT, "week"], "left")
+    return (cal.join(wk.select(CAT, "week", "y"), [CAT, "week"], "left")
             .select(CAT, "week", (F.datediff("week", "lo") / 7).cast("int").alias("x"),
                     F.coalesce("y", F.lit(0)).cast("long").alias("y"), "n", "n_days"))
 
 
 def fit_trend(series: DataFrame) -> DataFrame:
     """Least-squares ``y = intercept + slope * x`` per category from exact
-    integer sums."""
+    integer sums; also the last week and index of the series."""
     agg = series.groupBy(CAT).agg(
         F.count(F.lit(1)).alias("m"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"),
+        F.max("week").alias("last_week"), F.max("x").alias("last_x"))
     m, sx, sy, sxx, sxy = (F.col(c).cast("double") for c in ("m", "sx", "sy", "sxx", "sxy"))
-    slope = (m * sxy - sx * sy) / (m * sxx - sx * sx)
-    return agg.select(CAT, "m", slope.alias("slope")).join(
-        agg.select(CAT, "sx", "sy"), CAT).select(
-        CAT, "m", "slope",
-        ((F.col("sy").cast("double") - F.col("slope") * F.col("sx").cast("double"))
-         / F.col("m").cast("double")).alias("intercept"))
+    return (agg.withColumn("slope", (m * sxy - sx * sy) / (m * sxx - sx * sx))
+               .withColumn("intercept", (sy - F.col("slope") * sx) / m)
+               .select(CAT, "m", "slope", "intercept", "last_week", "last_x"))
 
 
 def _predict(x: Column) -> Column:
@@ -98,20 +95,21 @@ def forecast(daily_sales: DataFrame, horizon: int = FORECAST_HORIZON_WEEKS,
     days give no rows."""
     s = weekly_series(daily_sales).filter(F.col("n_days") >= min_days)
     fit = fit_trend(s)
-    resid = (s.join(fit, CAT).select(CAT, (F.col("y").cast("double") - _predict(F.col("x"))).alias("r"))
-             .groupBy(CAT).agg(_ordered_sum(F.collect_list(F.col("r") * F.col("r"))).alias("rss"),
-                               F.count(F.lit(1)).alias("m")))
-    sigma = resid.select(CAT, F.when(F.col("m") > 2, F.sqrt(F.col("rss") / (F.col("m") - 2)))
-                         .otherwise(F.lit(0.0)).alias("sigma"))
-    last = s.groupBy(CAT).agg(F.max("week").alias("last_week"), F.max("x").alias("last_x"))
-    future = last.select(CAT, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("i"),
-                         "last_week", "last_x").select(
-        CAT, F.date_add("last_week", F.col("i") * 7).alias("week"),
+    hist = s.select(CAT, "week", "x", "y").join(fit, CAT).withColumn(
+        "r", F.col("y").cast("double") - _predict(F.col("x")))
+    sigma = (hist.groupBy(CAT).agg(_ordered_sum(F.collect_list(F.col("r") * F.col("r"))).alias("rss"),
+                                   F.count(F.lit(1)).alias("m"))
+             .select(CAT, F.when(F.col("m") > 2, F.sqrt(F.col("rss") / (F.col("m") - 2)))
+                     .otherwise(F.lit(0.0)).alias("sigma")))
+    future = fit.select(CAT, "slope", "intercept",
+                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("i"),
+                        "last_week", "last_x").select(
+        CAT, "slope", "intercept", F.date_add("last_week", F.col("i") * 7).alias("week"),
         (F.col("last_x") + F.col("i")).alias("x"))
-    frame = s.select(CAT, "week", "x").unionByName(future)
+    frame = hist.select(CAT, "slope", "intercept", "week", "x").unionByName(future)
     yhat = _predict(F.col("x"))
     band = F.lit(Z80) * F.col("sigma")
-    return (frame.join(fit, CAT).join(sigma, CAT)
+    return (frame.join(sigma, CAT)
             .select(CAT, F.col("week").cast("timestamp_ntz").alias("ds"), yhat.alias("yhat"),
                     (yhat - band).alias("yhat_lower"), (yhat + band).alias("yhat_upper")))
 
