@@ -304,10 +304,19 @@ def _price_table(spark, sf_dir):
 
 
 def _fit_predict(df, spec):
+    """Fit on the train side and return the test predictions (lazy).
+
+    The model input is persisted (memory and disk) only while fitting: the
+    indexer pass and GBT's own passes then read it instead of recomputing the
+    feature joins."""
+    from pyspark import StorageLevel
     from storelake.operators import models as m
-    data = m.model_input(df, spec)
-    train, test = m.split(data, key="order_id")
-    model = m.fit(train, spec)
+    data = m.model_input(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = m.split(data, key="order_id")
+        model = m.fit(train, spec)
+    finally:
+        data.unpersist()
     return model.transform(test)
 
 

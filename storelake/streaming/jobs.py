@@ -36,8 +36,15 @@ def _trigger(writer, trigger: str | None):
 
 def start_alerts(raw: DataFrame, out_path: str, checkpoint: str,
                  trigger: str | None = "10 seconds", cfg: RuleConfig = DEFAULT_RULES) -> StreamingQuery:
-    """Append alerts to a Parquet table."""
-    w = (alert_stream(raw, cfg).writeStream.format("parquet").outputMode("append")
+    """Append alerts to a Parquet table.
+
+    Each micro-batch reports its alert count per rule type as observed
+    metrics (A13): ``query.lastProgress["observedMetrics"]["batch_alerts"]``.
+    """
+    from pyspark.sql import functions as F
+    counts = [F.count(F.when(F.col("type") == t, 1)).alias(t) for t in rules.RULE_TYPES]
+    alerts = alert_stream(raw, cfg).observe("batch_alerts", F.count(F.lit(1)).alias("alerts"), *counts)
+    w = (alerts.writeStream.format("parquet").outputMode("append")
          .option("path", out_path).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 

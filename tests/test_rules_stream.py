@@ -111,7 +111,10 @@ def test_stream_equals_batch_across_batches(spark, tmp_path, raw):
                      str(tmp_path / "ck"), trigger="availableNow")
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
+    observed = sum(p["observedMetrics"]["batch_alerts"]["alerts"]
+                   for p in q.recentProgress if "batch_alerts" in p.get("observedMetrics", {}))
     got = spark.read.parquet(str(tmp_path / "out"))
+    assert observed == got.count()
     batch = rules.all_alerts(rules.prepare_orders(parse_orders(raw)))
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
