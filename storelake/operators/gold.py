@@ -94,14 +94,25 @@ def order_totals(base: DataFrame) -> DataFrame:
 
 
 def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
-                     sellers: DataFrame, keep_order_id: bool = False) -> DataFrame:
+                     sellers: DataFrame, keep_order_id: bool = False,
+                     dims_unique: bool = True) -> DataFrame:
     """Shipment-delay features, one row per fact row with a delay and a weight.
 
     ``delay_vs_estimate_days`` is estimated − delivered, so a late delivery is
     negative. The filter on the product weight turns the product left join
     into an inner join (Catalyst). ``keep_order_id`` carries the order id so
     predictions can be joined back.
+
+    The per-order totals are defined over the fact joined to the three
+    dimensions. When every dimension key is unique (``dims_unique``, true for
+    keyed dimension tables) that join neither adds nor drops rows, so the
+    totals are computed on the fact itself: the fact is already partitioned
+    by ``order_id`` and aggregating and joining back needs no exchange. With
+    ``dims_unique=False`` they are computed on the joined rows, exact for
+    repeated keys too, at the cost of a second pass over the joins.
     """
+    if dims_unique:
+        fact = fact.join(order_totals(fact), on="order_id", how="left")
     base = (fact
             .join(products.select("product_id", "product_weight_g", "product_length_cm",
                                   "product_width_cm", "product_height_cm", "product_photos_qty",
@@ -125,7 +136,9 @@ def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
                           * F.col("product_height_cm"),
     })
     cols = (["order_id"] if keep_order_id else []) + ML_COLUMNS
-    return (feats.join(order_totals(base), on="order_id", how="left")
+    if not dims_unique:
+        feats = feats.join(order_totals(base), on="order_id", how="left")
+    return (feats
             .filter(F.col("delay_vs_estimate_days").isNotNull()
                     & F.col("product_weight_g").isNotNull())
             .select(cols))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake import schemas
+from storelake.operators.joins import broadcast_if_small
 
 # Fixed values of the stream binding: the state codes an event is mapped to,
 # indexed by (event_id * 7 + user_id) mod 13.
@@ -106,9 +107,14 @@ class Bronze:
                                 F.lower("p_type").alias("category_english")),
                         "category_translation")
 
+    @cached_property
+    def nations(self) -> DataFrame:
+        """Nation names, broadcast once their size is checked (25 in TPC-H)."""
+        return broadcast_if_small(self.t.nation.select("n_nationkey", "n_name"))
+
     @cached_property
     def customers(self) -> DataFrame:
-        n = self.t.nation.select("n_nationkey", "n_name")
+        n = self.nations
         c = self.t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
         return _conform(c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
             F.col("c_custkey").alias("customer_id"),
@@ -117,7 +123,7 @@ class Bronze:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        n = self.t.nation.select("n_nationkey", "n_name")
+        n = self.nations
         s = self.t.supplier.select("s_suppkey", "s_nationkey")
         return _conform(s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
             F.col("s_suppkey").alias("seller_id"),
