@@ -207,8 +207,11 @@ def q_upsert(spark, sf_dir):
 
 # --- forecasting -------------------------------------------------------------
 def _daily_sales(spark, sf_dir):
+    """The gold daily-sales table the forecasts read: written once to the
+    shared folder and read back, as the layer jobs hand it over."""
+    from storelake.sources.sinks import materialize
     s = _silver(spark, sf_dir)
-    return gold.daily_sales_by_category(s.fact, s.products)
+    return materialize(gold.daily_sales_by_category(s.fact, s.products), "daily-sales")
 
 
 @register("weekly_category_demand")
@@ -346,14 +349,24 @@ def q_state_index(spark, sf_dir):
 
 @register("model_input_counts")
 def q_model_input_counts(spark, sf_dir):
+    """Rows loaded, with the required columns, and surviving the assembler,
+    for both model tables: one conditional-count pass per table."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
     from storelake.operators import models as m
-    from storelake.sources.sinks import row_counts
-    d, p = _delay_table(spark, sf_dir), _price_table(spark, sf_dir)
-    d1, p1 = m.model_input(d, m.DELAY), m.model_input(p, m.PRICE)
-    return row_counts({"delay.loaded": d, "delay.required": d1,
-                       "delay.assembled": m.assembled_rows(d1, m.DELAY),
-                       "price.loaded": p, "price.required": p1,
-                       "price.assembled": m.assembled_rows(p1, m.PRICE)})
+
+    def counts(df, spec, prefix):
+        req = reduce(lambda a, c: a & F.col(c).isNotNull(), spec.required, F.lit(True))
+        asm = reduce(lambda a, c: a & F.col(c).isNotNull(), spec.numeric, req)
+        row = df.agg(F.count(F.lit(1)).alias("loaded"), F.count(F.when(req, 1)).alias("required"),
+                     F.count(F.when(asm, 1)).alias("assembled"))
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(f"{prefix}.{k}").alias("table_name"), F.col(k).alias("row_count"))
+            for k in ("loaded", "required", "assembled")])).alias("c")).select("c.*")
+
+    return reduce(DataFrame.unionByName, [counts(_delay_table(spark, sf_dir), m.DELAY, "delay"),
+                                          counts(_price_table(spark, sf_dir), m.PRICE, "price")])
 
 
 # --- streaming runs (availableNow over the staged order files) -------------------

@@ -47,3 +47,13 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     path being read.
     """
     return updates.unionByName(base.join(updates.select(keys), on=keys, how="left_anti"))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint
+    folder and return a reader of it: the hand-off between two layers (a
+    gold table the next job reads), and a lineage cut."""
+    from storelake.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
