@@ -57,21 +57,50 @@ def _alert(df: DataFrame, typ: str, details: Column) -> DataFrame:
         details.alias("details"), F.col("ts").alias("detected_at"))
 
 
+def _alerts_in_one_pass(df: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Several rules over the same rows in one pass: each row yields the
+    alerts whose condition holds (an array of structs, exploded)."""
+    hits = F.array(*[F.when(cond, F.struct(F.lit(t).alias("type"), det.alias("details")))
+                     for t, cond, det in checks])
+    return (df.select("order_id", "ts", F.explode(F.filter(hits, lambda a: a.isNotNull())).alias("a"))
+            .select("order_id", F.col("a.type").alias("type"), F.lit(ALERT_SCORE).alias("score"),
+                    F.col("a.details").alias("details"), F.col("ts").alias("detected_at")))
+
+
+def _amount(cfg):
+    return ("amount", F.col("total") > cfg.amount_high_value,
+            text.amount_detail("total", cfg.amount_high_value))
+
+
+def _off_hours(cfg):
+    return ("off_hours", (F.col("purchase_hour") >= cfg.off_hours_start)
+            & (F.col("purchase_hour") < cfg.off_hours_end) & (F.col("total") > cfg.off_hours_high_value),
+            text.off_hours_detail("purchase_hour", "total"))
+
+
+def _freight(cfg):
+    return ("freight_mismatch", F.col("ts_ok") & (F.col("first_freight") > cfg.freight_limit),
+            text.freight_detail("first_freight"))
+
+
 def amount_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    hit = orders.filter(F.col("total") > cfg.amount_high_value)
-    return _alert(hit, "amount", text.amount_detail("total", cfg.amount_high_value))
+    typ, cond, det = _amount(cfg)
+    return _alert(orders.filter(cond), typ, det)
 
 
 def off_hours_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    hit = orders.filter((F.col("purchase_hour") >= cfg.off_hours_start)
-                        & (F.col("purchase_hour") < cfg.off_hours_end)
-                        & (F.col("total") > cfg.off_hours_high_value))
-    return _alert(hit, "off_hours", text.off_hours_detail("purchase_hour", "total"))
+    typ, cond, det = _off_hours(cfg)
+    return _alert(orders.filter(cond), typ, det)
 
 
 def freight_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    hit = orders.filter(F.col("ts_ok") & (F.col("first_freight") > cfg.freight_limit))
-    return _alert(hit, "freight_mismatch", text.freight_detail("first_freight"))
+    typ, cond, det = _freight(cfg)
+    return _alert(orders.filter(cond), typ, det)
+
+
+def stateless_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """amount, off_hours and freight_mismatch in one pass over the orders."""
+    return _alerts_in_one_pass(orders, [_freight(cfg), _amount(cfg), _off_hours(cfg)])
 
 
 def first_order_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
@@ -100,20 +129,29 @@ def _pair_key(a: Column, b: Column) -> Column:
     return F.concat(F.least(a, b), F.lit("|"), F.greatest(a, b))
 
 
-def geo_alerts_from(seq: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+def _geo(cfg):
     far = F.array(*[F.lit(k) for k in cfg.far_pair_keys()])
     st, prev = F.col("customer_state"), F.col("prev_customer_state")
-    hit = seq.filter(
-        prev.isNotNull() & (prev != F.lit("")) & F.col("prev_ts").isNotNull()
-        & (F.abs(F.col("gap_s")) < cfg.geo_time_hours * 3600)
-        & (st != prev)
-        & F.array_contains(far, _pair_key(st, prev)))
-    return _alert(hit, "geo_velocity", text.geo_detail(prev, st, "gap_s"))
+    cond = (prev.isNotNull() & (prev != F.lit("")) & F.col("prev_ts").isNotNull()
+            & (F.abs(F.col("gap_s")) < cfg.geo_time_hours * 3600)
+            & (st != prev)
+            & F.array_contains(far, _pair_key(st, prev)))
+    return "geo_velocity", cond, text.geo_detail(prev, st, "gap_s")
+
+
+def _velocity(cfg):
+    return ("velocity", F.col("session_count") > cfg.velocity_limit,
+            text.velocity_detail("session_count"))
+
+
+def geo_alerts_from(seq: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    typ, cond, det = _geo(cfg)
+    return _alert(seq.filter(cond), typ, det)
 
 
 def velocity_alerts_from(seq: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    hit = seq.filter(F.col("session_count") > cfg.velocity_limit)
-    return _alert(hit, "velocity", text.velocity_detail("session_count"))
+    typ, cond, det = _velocity(cfg)
+    return _alert(seq.filter(cond), typ, det)
 
 
 def geo_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
@@ -125,9 +163,11 @@ def velocity_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataF
 
 
 def all_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """Every alert of the six rules; an order may raise several (one row per type)."""
-    seq = customer_sequence(orders, cfg)
-    parts = [geo_alerts_from(seq, cfg), first_order_alerts(orders, cfg),
-             velocity_alerts_from(seq, cfg), freight_alerts(orders, cfg),
-             amount_alerts(orders, cfg), off_hours_alerts(orders, cfg)]
+    """Every alert of the six rules; an order may raise several (one row per type).
+
+    Three passes: the stateless rules over the orders, geo_velocity and
+    velocity over the one customer sequence, and the first-order aggregate.
+    """
+    seq = _alerts_in_one_pass(customer_sequence(orders, cfg), [_geo(cfg), _velocity(cfg)])
+    parts = [seq, first_order_alerts(orders, cfg), stateless_alerts(orders, cfg)]
     return reduce(DataFrame.unionByName, parts)

@@ -22,10 +22,7 @@ from storelake.streaming.processor import customer_alerts
 def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """All six rules over a stream of raw order messages (``value`` column)."""
     orders = rules.prepare_orders(parse_orders(raw))
-    stateless = (rules.freight_alerts(orders, cfg)
-                 .unionByName(rules.amount_alerts(orders, cfg))
-                 .unionByName(rules.off_hours_alerts(orders, cfg)))
-    return stateless.unionByName(customer_alerts(orders, cfg))
+    return rules.stateless_alerts(orders, cfg).unionByName(customer_alerts(orders, cfg))
 
 
 def _trigger(writer, trigger: str | None):
