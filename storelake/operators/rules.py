@@ -117,12 +117,9 @@ def customer_sequence(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES,
     """Parsable orders with the customer's previous state/time, the gap in
     seconds and the position inside the current velocity session."""
     c = sequence.chunk_rows(orders.filter("ts_ok"), CUSTOMER, ORDER, num_chunks)
-    c = sequence.add_previous(c, ORDER, ["customer_state", "ts"])
-    c = c.withColumn("gap_s", seconds_between("ts", "prev_ts"))
-    starts = F.when(F.col("prev_ts").isNull()
-                    | (F.col("gap_s") >= cfg.velocity_window_seconds), F.col(sequence.RN))
-    c = sequence.add_running_max(c, ORDER, starts, "_session_start")
-    return c.withColumn("session_count", F.col(sequence.RN) - F.col("_session_start") + 1)
+    c = sequence.add_previous_and_sessions(c, ORDER, ["customer_state", "ts"], "ts",
+                                           cfg.velocity_window_seconds)
+    return c.withColumn("gap_s", seconds_between("ts", "prev_ts"))
 
 
 def _pair_key(a: Column, b: Column) -> Column:

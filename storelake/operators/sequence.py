@@ -102,3 +102,56 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str], cols: list[st
     return (df.groupBy(F.struct(*key).alias(K))
             .agg(F.min_by(F.struct(*cols), F.struct(*_cols(order))).alias("_first"))
             .select(*[F.col(K)[k].alias(k) for k in key], "_first.*"))
+
+
+def add_previous_and_sessions(c: DataFrame, order: list[str], cols: list[str], ts: str,
+                              gap_seconds: int, prefix: str = "prev_") -> DataFrame:
+    """One round (local window, chunk summary, across-chunk window, join) that
+    adds ``prev_<col>``, ``_rn`` and ``session_count`` -- the 1-based position
+    of the row in its key's session, a session restarting when the time since
+    the key's previous row reaches ``gap_seconds``.
+
+    The only cross-chunk dependency of the sessions is whether a chunk's first
+    row starts one; that is decided in the summary from the previous chunk's
+    last time, so no second round over the rows is needed.
+    """
+    from storelake.functions.dates import seconds_between
+    wl = _local(order)
+    local = (c.withColumn("_rn_l", F.row_number().over(wl))
+              .withColumns({f"_pl_{x}": F.lag(x).over(wl) for x in cols if x != ts})
+              .withColumn("_pl_ts", F.lag(ts).over(wl)))
+    # rows after the first that start a session, judged inside the chunk
+    local_start = F.when((F.col("_rn_l") > 1)
+                         & (seconds_between(ts, "_pl_ts") >= gap_seconds), F.col("_rn_l"))
+    local = local.withColumn("_ls", local_start).withColumn(
+        "_ls_run", F.max("_ls").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
+    carry_cols = list(dict.fromkeys(cols + [ts]))
+    summary = (local.groupBy(K, CHUNK)
+               .agg(F.count(F.lit(1)).alias("_cnt"),
+                    F.min_by(F.col(ts), F.struct(*_cols(order))).alias("_first_ts"),
+                    F.max_by(F.struct(*carry_cols), F.struct(*_cols(order))).alias("_last"),
+                    F.max("_ls").alias("_chunk_ls")))
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
+    summary = (summary
+               .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+               .withColumn("_carry", F.lag("_last").over(_across()))
+               .withColumn("_first_starts",
+                           F.col("_carry").isNull()
+                           | (seconds_between(F.col("_first_ts"), F.col("_carry")[ts]) >= gap_seconds))
+               .withColumn("_chunk_start_abs", F.greatest(
+                   F.col("_chunk_ls") + F.col("_offset"),
+                   F.when(F.col("_first_starts"), F.col("_offset") + 1)))
+               .withColumn("_carry_start", F.max("_chunk_start_abs").over(before))
+               .select(K, CHUNK, "_offset", "_carry", "_first_starts", "_carry_start"))
+    first = F.col("_rn_l") == 1
+    out = local.join(summary, on=[K, CHUNK], how="left")
+    prev = {f"{prefix}{x}": F.when(first, F.col("_carry")[x]).otherwise(F.col(f"_pl_{x}"))
+            for x in cols if x != ts}
+    prev[f"{prefix}{ts}"] = F.when(first, F.col("_carry")[ts]).otherwise(F.col("_pl_ts"))
+    out = out.withColumns(prev).withColumn(RN, F.col("_rn_l") + F.col("_offset"))
+    start = F.greatest(F.col("_ls_run") + F.col("_offset"),
+                       F.when(F.col("_first_starts"), F.col("_offset") + 1),
+                       F.col("_carry_start"))
+    out = out.withColumn("session_count", F.col(RN) - start + 1)
+    return out.drop("_rn_l", "_offset", "_carry", "_first_starts", "_carry_start", "_ls", "_ls_run",
+                    "_pl_ts", *[f"_pl_{x}" for x in cols if x != ts])

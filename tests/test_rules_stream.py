@@ -178,3 +178,33 @@ def test_streaming_daily_totals_equal_batch(spark, tmp_path):
     exp = {(r.metric_date, r.orders, r.revenue)
            for r in daily_metrics(stream_fact_rows(parse_orders(raw))).collect()}
     assert got == exp
+
+
+def test_sessions_hot_key_match_windows(spark):
+    """Combined previous-row + gap-session scan over a hot key split into many
+    chunks equals the plain per-key window computation."""
+    import datetime as dt
+    from pyspark.sql import Window
+    base = dt.datetime(2024, 1, 1)
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 29).cast("string")).alias("k"),
+        (F.lit(base) + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") * 7919 % 6000) * 13 % 977 + F.col("id") * 3)).alias("ts"),
+        F.col("id").cast("string").alias("oid"),
+        (F.col("id") % 5).cast("string").alias("st"))
+    df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    c = sequence.chunk_rows(df, ["k"], ["ts", "oid"], num_chunks=16)
+    got = sequence.add_previous_and_sessions(c, ["ts", "oid"], ["st", "ts"], "ts", 600)
+    w = Window.partitionBy("k").orderBy("ts", "oid")
+    ref = df.select("oid", F.lag("st").over(w).alias("pst"), F.lag("ts").over(w).alias("pts"),
+                    "k", "ts")
+    ref = ref.withColumn("start", F.when(F.col("pts").isNull() | (
+        F.timestamp_diff("SECOND", F.col("pts"), F.col("ts")) >= 600), 1).otherwise(0))
+    ref = ref.withColumn("sid", F.sum("start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ref = ref.withColumn("pos", F.row_number().over(
+        Window.partitionBy("k", "sid").orderBy("ts", "oid")))
+    j = got.join(ref.select("oid", "pst", "pts", "pos"), "oid")
+    assert j.count() == 6000
+    assert j.filter("session_count > 1").count() > 100
+    bad = j.filter(~F.col("prev_st").eqNullSafe(F.col("pst")) | ~F.col("prev_ts").eqNullSafe(F.col("pts"))
+                   | (F.col("session_count") != F.col("pos")))
+    assert bad.count() == 0
