@@ -83,3 +83,14 @@ def kv_to_daily(kv: DataFrame) -> DataFrame:
         "metric_date",
         F.coalesce(F.col("orders"), F.lit(0)).cast("int").alias("orders"),
         F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(14,2)").cast("double").alias("revenue"))
+
+
+def all_fact_rows(batch_fact: DataFrame, stream_fact: DataFrame) -> DataFrame:
+    """Batch and stream order-item rows in one view (the two tables are
+    otherwise never merged): ids as strings, columns missing on one side
+    null, and a ``source`` column."""
+    ids = ["order_id", "product_id", "seller_id", "customer_id"]
+    b = batch_fact.withColumns({c: F.col(c).cast("string") for c in ids if c in batch_fact.columns})
+    s = stream_fact.withColumns({c: F.col(c).cast("string") for c in ids if c in stream_fact.columns})
+    return (b.withColumn("source", F.lit("batch"))
+            .unionByName(s.withColumn("source", F.lit("stream")), allowMissingColumns=True))

@@ -45,20 +45,35 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.conf.get("spark.master", "") or ""
+    except Exception:
+        return ""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the cluster
-    (a shared file system every executor can reach). Only when it is unset -- a
-    local test session -- do we create one under the local temp folder.
+    (a shared file system every executor can reach); if it is unset there, we
+    stop rather than write to a folder only the driver can see. Only a local
+    session (tests, ``local[*]``) without it gets a folder under the local temp
+    directory.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not _master(spark).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(e.g. on HDFS or an object store) that every executor can reach")
         d = tempfile.mkdtemp(prefix="storelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:   # Spark Connect: no SparkContext; the folder is used by path only
+        pass
     return d.rstrip("/")
 
 

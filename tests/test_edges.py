@@ -200,3 +200,14 @@ def test_seasonal_forecast_recovers_trend_and_season(spark):
     fc = seasonal_forecast(ds.union(spark.createDataFrame(
         [(start + dt.timedelta(days=d), "c", 1) for d in range(1, 30)], schemas.DAILY_SALES)))
     assert fc.count() == 120 + 12
+
+
+def test_batch_and_stream_fact_union(spark):
+    from conftest import SF_SMALL
+    from storelake.plans.registry import QUERIES
+    b = QUERIES["fact_order_items"](spark, SF_SMALL)
+    s = QUERIES["stream_fact_order_items"](spark, SF_SMALL)
+    u = sf.all_fact_rows(b, s)
+    assert u.count() == b.count() + s.count()
+    assert {r.source for r in u.select("source").distinct().collect()} == {"batch", "stream"}
+    assert dict(u.dtypes)["order_id"] == "string"
