@@ -40,12 +40,14 @@ def chunk_rows(df: DataFrame, key: list[str], order: list[str],
                num_chunks: int | None = None) -> DataFrame:
     """Tag rows with ``_k`` (the key struct) and ``_chunk`` (its range chunk)."""
     spark = df.sparkSession
-    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "chunks")
-    (df.withColumn(K, F.struct(*key))
-       .repartitionByRange(n, F.col(K), *_cols(order))
-       .withColumn(CHUNK, F.spark_partition_id())
-       .write.parquet(path))
+    keyed = df.withColumn(K, F.struct(*key))
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (adjacent ranges merged up to the advisory size), so chunks grow with
+    # the input; merged ranges stay contiguous, so chunk ids stay ordered.
+    ranged = (keyed.repartitionByRange(num_chunks, F.col(K), *_cols(order)) if num_chunks
+              else keyed.repartitionByRange(F.col(K), *_cols(order)))
+    ranged.withColumn(CHUNK, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 
