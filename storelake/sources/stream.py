@@ -19,8 +19,8 @@ def read_order_stream(spark: SparkSession, fmt: str = "kafka", **options) -> Dat
     r = spark.readStream.format(fmt)
     path = options.pop("path", None)
     for k, v in options.items():
-        r = r.option(k.replace("kafka_", "kafka.").replace("_servers", ".servers")
-                     if k.startswith("kafka_") else k, v)
+        # Python keywords cannot hold dots: kafka_bootstrap_servers -> kafka.bootstrap.servers
+        r = r.option(k.replace("_", ".") if k.startswith("kafka_") else k, v)
     df = r.load(path) if path else r.load()
     return df.select(F.col("value").cast("string").alias("value"))
 

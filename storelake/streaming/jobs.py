@@ -73,10 +73,9 @@ def _lit(v):
 
 def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """File-based order stream (one JSON message per line) for tests and replays."""
-    r = spark.readStream.format("text")
-    if files_per_trigger:
-        r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.load(path)
+    from storelake.sources.stream import read_order_stream
+    opts = {"maxFilesPerTrigger": files_per_trigger} if files_per_trigger else {}
+    return read_order_stream(spark, "text", path=path, **opts)
 
 
 def stage_order_files(spark: SparkSession, events: DataFrame, path: str, files: int = 4,
@@ -87,6 +86,7 @@ def stage_order_files(spark: SparkSession, events: DataFrame, path: str, files:
     Every event is written exactly once."""
     from pyspark.sql import functions as F
     from storelake.sources.bindings import order_struct
+    import time
     lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
     if lo is None:
         return
@@ -96,7 +96,6 @@ def stage_order_files(spark: SparkSession, events: DataFrame, path: str, files:
         part = events.filter((F.col("event_id") >= a) & (F.col("event_id") < b))
         (part.select(F.to_json(order_struct(part, customer_buckets)).alias("value"))
              .coalesce(1).write.mode("append").text(path))
-        import time
         time.sleep(1.05)   # distinct modification times (1 s resolution on some file systems)
 
 

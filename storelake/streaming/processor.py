@@ -78,15 +78,18 @@ class CustomerRulesProcessor(StatefulProcessor):
 
         out = []
 
-        # geo_velocity
-        for i in range(n):
-            ps, st = prev_state[i], states[i]
-            if ps is None or ps == "" or np.isnan(gap[i]) or st is None:
-                continue
-            if abs(gap[i]) < cfg.geo_time_hours * 3600 and st != ps \
-                    and "|".join(sorted((st, ps))) in self.far:
-                out.append((oids[i], "geo_velocity", f"State jump {ps}->{st} in {_tenths(gap[i])}h",
-                            detected[i]))
+        # geo_velocity: candidates by vectorised tests, pair lookup on those only
+        ps, st = pd.Series(prev_state, dtype=object), pd.Series(states, dtype=object)
+        cand = (ps.notna() & (ps != "") & st.notna()).to_numpy() & ~np.isnan(gap)
+        cand &= np.abs(np.nan_to_num(gap, nan=np.inf)) < cfg.geo_time_hours * 3600
+        idx = np.nonzero(cand)[0]
+        if len(idx):
+            a, b = st.to_numpy()[idx].astype(str), ps.to_numpy()[idx].astype(str)
+            keys = np.where(a < b, np.char.add(np.char.add(a, "|"), b), np.char.add(np.char.add(b, "|"), a))
+            hit = (a != b) & np.isin(keys, list(self.far))
+            for i in idx[hit]:
+                out.append((oids[i], "geo_velocity",
+                            f"State jump {prev_state[i]}->{states[i]} in {_tenths(gap[i])}h", detected[i]))
 
         # first_order_high_value: only the customer's first order ever
         if not seen:

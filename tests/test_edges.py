@@ -211,3 +211,16 @@ def test_batch_and_stream_fact_union(spark):
     assert u.count() == b.count() + s.count()
     assert {r.source for r in u.select("source").distinct().collect()} == {"batch", "stream"}
     assert dict(u.dtypes)["order_id"] == "string"
+
+
+def test_fact_rows_equal_items_times_payment_rows(spark):
+    """Invariant: fact rows = Σ over items of max(1, payment rows of the order)."""
+    from conftest import SF_SMALL
+    from storelake.sources.tables import tables
+    b = tables(spark, SF_SMALL).bronze
+    items = silver.clean_items(b.order_items).join(
+        silver.clean_orders(b.orders).select("order_id"), "order_id")
+    pays = b.payments.groupBy("order_id").count()
+    expected = (items.join(pays, "order_id", "left")
+                .agg(F.sum(F.greatest(F.coalesce("count", F.lit(0)), F.lit(1)))).first()[0])
+    assert silver.fact_order_items(b.order_items, b.orders, b.payments).count() == expected
