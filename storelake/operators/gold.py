@@ -24,7 +24,10 @@ def customer_spending_profile(fact: DataFrame, customers: DataFrame) -> DataFram
         F.sum(money("price")).alias("_spent"),
         F.count("price").alias("_n_prices"),
         F.sum(money("freight_value")).alias("_freight"))
+    # one shuffle of the dimension on customer_id serves both the copy count
+    # (its grouping contains customer_id) and the join
     dims = (customers.select("customer_id", "customer_state", "customer_city")
+            .repartition("customer_id")
             .groupBy("customer_id", "customer_state", "customer_city")
             .agg(F.count(F.lit(1)).alias("_copies")))
     m = F.coalesce(F.col("_copies"), F.lit(1))
