@@ -25,6 +25,18 @@ def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     return rules.stateless_alerts(orders, cfg).unionByName(customer_alerts(orders, cfg))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark: SparkSession) -> None:
+    """transformWithState keeps its state in several column families, which
+    only the RocksDB state store supports; select it unless a session already
+    did (the provider is fixed in a query's checkpoint at its first start)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "") != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger in (None, "availableNow"):
         return writer.trigger(availableNow=True)
@@ -39,6 +51,7 @@ def start_alerts(raw: DataFrame, out_path: str, checkpoint: str,
     metrics (A13): ``query.lastProgress["observedMetrics"]["batch_alerts"]``.
     """
     from pyspark.sql import functions as F
+    ensure_rocksdb_state(raw.sparkSession)
     counts = [F.count(F.when(F.col("type") == t, 1)).alias(t) for t in rules.RULE_TYPES]
     alerts = alert_stream(raw, cfg).observe("batch_alerts", F.count(F.lit(1)).alias("alerts"), *counts)
     w = (alerts.writeStream.format("parquet").outputMode("append")

@@ -208,3 +208,16 @@ def test_sessions_hot_key_match_windows(spark):
     bad = j.filter(~F.col("prev_st").eqNullSafe(F.col("pst")) | ~F.col("prev_ts").eqNullSafe(F.col("pts"))
                    | (F.col("session_count") != F.col("pos")))
     assert bad.count() == 0
+
+
+def test_alert_stream_selects_rocksdb_state(spark, tmp_path):
+    """A session left on the default state store still runs the stateful rules."""
+    from storelake.streaming.jobs import ROCKSDB, read_text_stream, start_alerts
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    _write_files(spark, str(tmp_path / "in"), [[t for t, _ in CASES]])
+    q = start_alerts(read_text_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"),
+                     str(tmp_path / "ck"), trigger="availableNow")
+    q.awaitTermination()
+    assert spark.conf.get(key) == ROCKSDB
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(expected())
