@@ -29,10 +29,5 @@ def money_sum(c) -> Column:
     return F.sum(money(c)).cast("double")
 
 
-def money_avg(c) -> Column:
-    """Exact sum / count of a currency column, as double."""
-    return F.sum(money(c)).cast("double") / F.count(_c(c))
-
-
 def zero_if_null(c) -> Column:
     return F.coalesce(_c(c), F.lit(0.0))

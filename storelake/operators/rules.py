@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from storelake.config import ALERT_SCORE, DEFAULT_RULES, RuleConfig
 from storelake.functions import text
 from storelake.functions.dates import parse_wire_ts, seconds_between
+from storelake.functions.numeric import zero_if_null
 from storelake.operators import sequence
 from storelake.sources.stream import valid_orders
 
@@ -47,7 +48,7 @@ def prepare_orders(parsed: DataFrame) -> DataFrame:
         "order_id", "customer_unique_id", "customer_state",
         ts.alias("ts"),
         F.col("total_payment_value").alias("total"),
-        F.coalesce(F.get(F.col("items"), 0)["freight_value"], F.lit(0.0)).alias("first_freight"),
+        zero_if_null(F.get(F.col("items"), 0)["freight_value"]).alias("first_freight"),
     ).withColumns({"purchase_hour": F.hour("ts"), "ts_ok": F.col("ts").isNotNull()})
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, DateType, DecimalType, DoubleType,
+from pyspark.sql.types import (ArrayType, DateType, DoubleType,
                                FloatType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
 
@@ -65,8 +65,6 @@ ALERT_JSON = _s(("order_id", StringType()), ("type", StringType()), ("score", Do
                 ("details", StringType()), ("detected_at", StringType()))
 
 # Serving tables.
-DAILY_METRICS = _s(("metric_date", DateType()), ("orders", IntegerType()),
-                   ("revenue", DecimalType(14, 2)))
 ANOMALIES = _s(("id", LongType()), ("order_id", StringType()), ("type", StringType()),
                ("score", FloatType()), ("details", StringType()),
                ("detected_at", TimestampNTZType()))
