@@ -42,12 +42,15 @@ def chunk_rows(df: DataFrame, key: list[str], order: list[str],
     spark = df.sparkSession
     path = scratch_path(spark, "chunks")
     keyed = df.withColumn(K, F.struct(*key))
-    # Without an explicit count AQE sizes the range partitions from the data
-    # (adjacent ranges merged up to the advisory size), so chunks grow with
-    # the input; merged ranges stay contiguous, so chunk ids stay ordered.
-    ranged = (keyed.repartitionByRange(num_chunks, F.col(K), *_cols(order)) if num_chunks
-              else keyed.repartitionByRange(F.col(K), *_cols(order)))
-    ranged.withColumn(CHUNK, F.spark_partition_id()).write.parquet(path)
+    if num_chunks is None:
+        # one chunk per core of the cluster: every core scans a range, and a
+        # key holding a third of the rows is split over a third of the cores
+        try:
+            num_chunks = spark.sparkContext.defaultParallelism
+        except Exception:       # Spark Connect: no SparkContext
+            num_chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (keyed.repartitionByRange(num_chunks, F.col(K), *_cols(order))
+          .withColumn(CHUNK, F.spark_partition_id()).write.parquet(path))
     return spark.read.parquet(path)
 
 
