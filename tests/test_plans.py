@@ -60,3 +60,11 @@ def test_model_save_load_parity(spark, tmp_path):
     assert a.exceptAll(b).count() == 0 and a.count() == b.count() > 0
     met = m.regression_metrics(model.transform(test), "price").first()
     assert met.test_rows == a.count() and met.rmse >= 0
+
+
+def test_broadcast_only_after_size_check(spark):
+    from storelake.operators.joins import broadcast_if_small
+    small = broadcast_if_small(spark.range(25), max_rows=100)
+    big = broadcast_if_small(spark.range(1000), max_rows=100)
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
