@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelake.llm import line_dedup, pii
+from storelake.llm import bpe, licenses, line_dedup, pii, token_store
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -18,6 +18,21 @@ def op1_pii(spark, sf_dir):
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_bpe(spark, sf_dir):
+    return bpe.encode_report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_token_store(spark, sf_dir):
+    return token_store.store_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
