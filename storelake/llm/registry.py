@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelake.llm import bpe, licenses, line_dedup, pii, token_store
+from storelake.llm import bpe, licenses, line_dedup, pii, quality, token_store
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -36,3 +36,8 @@ def op5_token_store(spark, sf_dir):
 @register
 def op6_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
