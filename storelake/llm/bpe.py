@@ -24,10 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelake.llm.common import grouped
+
 MAX_WIDTH = 256
 CACHE_ENTRIES = 500_000
 CACHE_CHARS = 48            # longer chunks are not remembered
-BATCH_CHARS = 6_000_000     # texts encoded together
 
 _NONE = np.int32(2**31 - 1)
 # white space other than blank and line feed; str.split and the expression differ on some of them
@@ -232,19 +233,6 @@ def vocabulary(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path, pattern
 
 
-def grouped(texts: list[str | None], most: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts in lists of about ``most`` characters."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t or "")
-        size += len(part[-1])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every text."""
     where = vocabulary(path, pattern)

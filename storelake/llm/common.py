@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.session import checkpoint_root, scratch_path
 
+BATCH_CHARS = 6_000_000     # texts handled together in a task
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -56,3 +59,16 @@ def _word_table() -> bytes:
 def words(text: str | None) -> list[bytes]:
     """Words of a text as UTF-8 bytes: runs of digits, letters (A-Z lower-cased) and non-ASCII."""
     return (text or "").encode("utf-8", "replace").translate(_word_table()).split()
+
+
+def grouped(texts: list[str | None], most: int = BATCH_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts in lists of about ``most`` characters."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t or "")
+        size += len(part[-1])
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part

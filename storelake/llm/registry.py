@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelake.llm import bpe, licenses, line_dedup, pii, quality, token_store
+from storelake.llm import bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality, token_store
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -41,3 +41,13 @@ def op6_licenses(spark, sf_dir):
 @register
 def op10_quality(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op7_near_dup(spark, sf_dir):
+    return near_dup.classes(table(spark, sf_dir, "documents"))

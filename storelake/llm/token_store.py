@@ -33,7 +33,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelake.llm.common import stored, text_or_empty
+from storelake.llm.common import grouped, stored, text_or_empty
 from storelake.session import scratch_path
 
 END_ID = 1
@@ -248,7 +248,6 @@ def write_store(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     bounds = _bounds(docs, shard_bytes)
 
     def encode(batches):
-        from storelake.llm.bpe import grouped
         tok = tokenizer(path)
         end = np.array([end_id], tok.dtype).tobytes()
         for b in batches:
