@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelake.llm import bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality, token_store
+from storelake.llm import bpe, decontaminate, embed_dup, licenses, line_dedup, near_dup, pii, quality, token_store
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -51,3 +51,8 @@ def op3_decontaminate(spark, sf_dir):
 @register
 def op7_near_dup(spark, sf_dir):
     return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_embed_dup(spark, sf_dir):
+    return embed_dup.near_vectors(table(spark, sf_dir, "embeddings"))
