@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storelake.llm import bpe, decontaminate, embed_dup, licenses, line_dedup, near_dup, pii, quality, token_store
+from storelake.llm import bpe, decontaminate, embed_dup, html_text, licenses, line_dedup, near_dup, pii, quality, token_store
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -56,3 +56,8 @@ def op7_near_dup(spark, sf_dir):
 @register
 def op8_embed_dup(spark, sf_dir):
     return embed_dup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op9_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
