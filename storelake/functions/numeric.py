@@ -21,13 +21,10 @@ def ratio(num, den, digits: int = 4) -> Column:
 
 
 def money(c) -> Column:
+    """A currency amount of two decimals, exact. Finer amounts are rounded half-up
+    to cents one by one: sum 0.125 and 0.124 and you get 0.13 + 0.12."""
     return _c(c).cast(MONEY)
 
 
-def money_sum(c) -> Column:
-    """Exact sum of a currency column, as double."""
-    return F.sum(money(c)).cast("double")
-
-
 def zero_if_null(c) -> Column:
     return F.coalesce(_c(c), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelake.functions.dates import days_between
@@ -38,6 +38,7 @@ def customer_spending_profile(fact: DataFrame, customers: DataFrame) -> DataFram
         (F.col("_freight") * m).cast("double").alias("total_freight_paid"))
 
 
+# fixed values: the columns of the pricing table
 PRICING_COLUMNS = [
     "order_id", "product_id", "price", "freight_value", "freight_ratio",
     "delivery_days", "estimated_vs_actual_delivery",
@@ -71,6 +72,7 @@ def order_features_for_pricing(fact: DataFrame, products: DataFrame,
             .select(PRICING_COLUMNS))
 
 
+# fixed values: the columns of the model feature table
 ML_COLUMNS = [
     "delay_vs_estimate_days", "estimated_delivery_days",
     "purchase_month", "purchase_day", "purchase_weekday", "purchase_hour", "is_weekend_order",
@@ -83,39 +85,31 @@ ML_COLUMNS = [
 ]
 
 
-def order_totals(base: DataFrame) -> DataFrame:
-    """Per-order item count, value, max installments and payment sum (A2).
-
-    A plain aggregate (partial + final), so a very large order is reduced
-    map-side; joined back to the rows with AQE skew-join splitting available.
-    """
-    return base.groupBy("order_id").agg(
-        F.count("product_id").alias("total_items_in_order"),
-        F.sum(money("price")).cast("double").alias("total_order_value"),
-        F.max("payment_installments").alias("max_installments"),
-        F.sum(money("payment_value")).cast("double").alias("total_payment"))
+def order_totals() -> dict[str, Column]:
+    """Per-order item count, value, max installments and payment sum (A2) as
+    window columns. An order is a small key, so a window over it is safe."""
+    w = Window.partitionBy("order_id")
+    return {
+        "total_items_in_order": F.count("product_id").over(w),
+        "total_order_value": F.sum(money("price")).over(w).cast("double"),
+        "max_installments": F.max("payment_installments").over(w),
+        "total_payment": F.sum(money("payment_value")).over(w).cast("double"),
+    }
 
 
 def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
-                     sellers: DataFrame, keep_order_id: bool = False,
-                     dims_unique: bool = True) -> DataFrame:
+                     sellers: DataFrame, keep_order_id: bool = False) -> DataFrame:
     """Shipment-delay features, one row per fact row with a delay and a weight.
 
     ``delay_vs_estimate_days`` is estimated − delivered, so a late delivery is
-    negative. The filter on the product weight turns the product left join
-    into an inner join (Catalyst). ``keep_order_id`` carries the order id so
-    predictions can be joined back.
+    negative. ``keep_order_id`` carries the order id so predictions can be
+    joined back.
 
     The per-order totals are defined over the fact joined to the three
-    dimensions. When every dimension key is unique (``dims_unique``, true for
-    keyed dimension tables) that join neither adds nor drops rows, so the
-    totals are computed on the fact itself: the fact is already partitioned
-    by ``order_id`` and aggregating and joining back needs no exchange. With
-    ``dims_unique=False`` they are computed on the joined rows, exact for
-    repeated keys too, at the cost of a second pass over the joins.
+    dimensions (a key listed twice counts twice), so they are a window over
+    those joined rows: one pass over the items, and no exchange for it when the
+    dimensions are broadcast. The filter comes after the totals.
     """
-    if dims_unique:
-        fact = fact.join(order_totals(fact), on="order_id", how="left")
     base = (fact
             .join(products.select("product_id", "product_weight_g", "product_length_cm",
                                   "product_width_cm", "product_height_cm", "product_photos_qty",
@@ -125,7 +119,7 @@ def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
                   on="customer_id", how="left")
             .join(sellers.select("seller_id", "seller_state", "seller_city"),
                   on="seller_id", how="left"))
-    feats = base.withColumns({
+    feats = base.withColumns(order_totals()).withColumns({
         "delay_vs_estimate_days": days_between("order_estimated_delivery_date",
                                                "order_delivered_customer_date"),
         "estimated_delivery_days": days_between("order_estimated_delivery_date",
@@ -139,23 +133,22 @@ def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
                           * F.col("product_height_cm"),
     })
     cols = (["order_id"] if keep_order_id else []) + ML_COLUMNS
-    if not dims_unique:
-        feats = feats.join(order_totals(base), on="order_id", how="left")
     return (feats
             .filter(F.col("delay_vs_estimate_days").isNotNull()
                     & F.col("product_weight_g").isNotNull())
             .select(cols))
 
 
-def daily_sales_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Distinct orders per purchase day and English category (A4).
+def daily_sales_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Distinct orders per purchase day and English category (A4), from the order
+    lines (the fact works too; payments don't matter here).
 
     The source project reads this table but has no producer for it; we read
     ``num_orders`` as the number of distinct orders with an item in the
     category that day. Items whose category has no English name are kept
     under a null category.
     """
-    return (fact.select("order_purchase_date", "order_id", "product_id")
+    return (lines.select("order_purchase_date", "order_id", "product_id")
             .join(products.select("product_id", "category_english"), on="product_id", how="left")
             .groupBy(F.col("order_purchase_date").alias("sale_date"), "category_english")
             .agg(F.count_distinct("order_id").alias("num_orders")))

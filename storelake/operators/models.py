@@ -61,27 +61,20 @@ def model_input(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.na.drop(subset=list(spec.required))
 
 
-def assembled_rows(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    """The rows VectorAssembler(handleInvalid="skip") keeps: no null feature (M2)."""
-    cond = F.lit(True)
-    for c in spec.numeric:
-        cond = cond & F.col(c).isNotNull()
-    return df.filter(cond)
-
-
 def split(df: DataFrame, key: str | None = None, weights=SPLIT_WEIGHTS,
           seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """Train/test split (M7).
 
-    With ``key`` the split is a hash of the key and the seed: repeatable under
-    any partitioning and keeps all rows of a key on one side. Without it,
-    ``randomSplit`` as in the reproduced job (depends on partitioning).
+    With ``key`` the split is by an MD5 of key and seed: repeatable under any
+    partitioning and in any engine, and all rows of a key are on one side. Without
+    it, ``randomSplit`` as in the reproduced job (depends on partitioning).
     """
     if key is None:
         train, test = df.randomSplit(list(weights), seed=seed)
         return train, test
     cut = int(round(weights[0] / sum(weights) * 1000))
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000))
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 1000
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 

@@ -16,8 +16,10 @@ time-ordered input.
 
 Orders whose purchase time cannot be parsed take part in ``amount`` only
 (``off_hours`` needs the hour) and are invisible to the customer state.
-Each alert is ``(order_id, type, score, details, detected_at)``; ``detected_at``
-is the order's purchase time, so reruns give the same rows.
+Each alert is ``(order_id, type, score, details, detected_at)``. ``detected_at``
+is the order's purchase time, so reruns give the same rows; an order whose time
+can't be parsed is stamped with ``as_of``, the time at which it was looked at, so
+that its alerts are among the newest instead of last.
 """
 
 from __future__ import annotations
@@ -41,12 +43,18 @@ RULE_TYPES = ("geo_velocity", "first_order_high_value", "velocity", "freight_mis
               "amount", "off_hours")
 
 
-def prepare_orders(parsed: DataFrame) -> DataFrame:
-    """Valid orders with the columns the rules read (T7 gate included)."""
+def prepare_orders(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Valid orders with the columns the rules read (T7 gate included).
+
+    ``as_of`` is the detection time of orders without a readable time: the
+    present time unless given.
+    """
+    if as_of is None:
+        as_of = F.current_timestamp()
     ts = parse_wire_ts("order_purchase_timestamp")
     return valid_orders(parsed).select(
         "order_id", "customer_unique_id", "customer_state",
-        ts.alias("ts"),
+        ts.alias("ts"), F.coalesce(ts, as_of.cast("timestamp_ntz")).alias("detected_at"),
         F.col("total_payment_value").alias("total"),
         zero_if_null(F.get(F.col("items"), 0)["freight_value"]).alias("first_freight"),
     ).withColumns({"purchase_hour": F.hour("ts"), "ts_ok": F.col("ts").isNotNull()})
@@ -55,7 +63,7 @@ def prepare_orders(parsed: DataFrame) -> DataFrame:
 def _alert(df: DataFrame, typ: str, details: Column) -> DataFrame:
     return df.select(
         F.col("order_id"), F.lit(typ).alias("type"), F.lit(ALERT_SCORE).alias("score"),
-        details.alias("details"), F.col("ts").alias("detected_at"))
+        details.alias("details"), "detected_at")
 
 
 def _alerts_in_one_pass(df: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
@@ -63,9 +71,9 @@ def _alerts_in_one_pass(df: DataFrame, checks: list[tuple[str, Column, Column]])
     alerts whose condition holds (an array of structs, exploded)."""
     hits = F.array(*[F.when(cond, F.struct(F.lit(t).alias("type"), det.alias("details")))
                      for t, cond, det in checks])
-    return (df.select("order_id", "ts", F.explode(F.filter(hits, lambda a: a.isNotNull())).alias("a"))
+    return (df.select("order_id", "detected_at", F.explode(F.filter(hits, lambda a: a.isNotNull())).alias("a"))
             .select("order_id", F.col("a.type").alias("type"), F.lit(ALERT_SCORE).alias("score"),
-                    F.col("a.details").alias("details"), F.col("ts").alias("detected_at")))
+                    F.col("a.details").alias("details"), "detected_at"))
 
 
 def _amount(cfg):
@@ -107,7 +115,7 @@ def stateless_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> Data
 def first_order_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """A customer's first (parsable) order above the limit; later orders never alert."""
     first = sequence.first_per_key(orders.filter("ts_ok"), CUSTOMER, ORDER,
-                                   ["order_id", "ts", "total"])
+                                   ["order_id", "detected_at", "total"])
     hit = first.filter(F.coalesce(F.col("total"), F.lit(0.0)) > cfg.first_order_high_value)
     return _alert(hit, "first_order_high_value",
                   text.first_order_detail("total", cfg.first_order_high_value))
@@ -117,7 +125,8 @@ def customer_sequence(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES,
                       num_chunks: int | None = None) -> DataFrame:
     """Parsable orders with the customer's previous state/time, the gap in
     seconds and the position inside the current velocity session."""
-    c = sequence.chunk_rows(orders.filter("ts_ok"), CUSTOMER, ORDER, num_chunks)
+    narrow = orders.filter("ts_ok").select("order_id", "customer_unique_id", "customer_state", "ts", "detected_at")
+    c = sequence.chunk_rows(narrow, CUSTOMER, ORDER, num_chunks)
     c = sequence.add_previous_and_sessions(c, ORDER, ["customer_state", "ts"], "ts",
                                            cfg.velocity_window_seconds)
     return c.withColumn("gap_s", seconds_between("ts", "prev_ts"))

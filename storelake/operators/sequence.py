@@ -36,6 +36,20 @@ def _cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+CHUNK_BYTES = 256 << 20
+
+
+def _chunks_for(df: DataFrame) -> int:
+    """Chunks of about ``CHUNK_BYTES`` by the planner's size estimate, and at least
+    one per core of the cluster, so that a hot key is split over many cores and
+    no chunk outgrows a task."""
+    sc = getattr(df.sparkSession, "_sc", None)
+    if sc is None:      # Spark Connect has no view of the plan's size
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(sc.defaultParallelism, min(size, 1 << 50) // CHUNK_BYTES)
+
+
 def chunk_rows(df: DataFrame, key: list[str], order: list[str],
                num_chunks: int | None = None) -> DataFrame:
     """Tag rows with ``_k`` (the key struct) and ``_chunk`` (its range chunk)."""
@@ -43,12 +57,7 @@ def chunk_rows(df: DataFrame, key: list[str], order: list[str],
     path = scratch_path(spark, "chunks")
     keyed = df.withColumn(K, F.struct(*key))
     if num_chunks is None:
-        # one chunk per core of the cluster: every core scans a range, and a
-        # key holding a third of the rows is split over a third of the cores
-        try:
-            num_chunks = spark.sparkContext.defaultParallelism
-        except Exception:       # Spark Connect: no SparkContext
-            num_chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_chunks = _chunks_for(keyed)
     (keyed.repartitionByRange(num_chunks, F.col(K), *_cols(order))
           .withColumn(CHUNK, F.spark_partition_id()).write.parquet(path))
     return spark.read.parquet(path)

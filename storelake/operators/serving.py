@@ -9,6 +9,9 @@ from storelake import schemas
 from storelake.config import RECENT_ALERTS_KEPT
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _check_limit(n: int, lo: int, hi: int) -> int:
     if not lo <= int(n) <= hi:
         raise ValueError(f"limit must be within [{lo}, {hi}], got {n}")
@@ -33,7 +36,7 @@ def live_metrics(daily: DataFrame, as_of) -> DataFrame:
                  .otherwise(F.lit(0).cast("long"))
     return row.select(
         F.col("metric_date").alias("date"),
-        orders.cast("int").alias("orders"),
+        orders.alias("orders"),
         (cents / F.lit(100.0)).alias("revenue"),
         (aov_cents / F.lit(100.0)).alias("avg_order_value"))
 
@@ -44,7 +47,9 @@ def alert_order() -> list[Column]:
 
 
 def alert_summary(alerts: DataFrame) -> DataFrame:
-    """L3: alerts per type, most frequent first."""
+    """L3: alerts per type, most frequent first. Give it all alerts for the whole
+    picture (``alert_summary``), or the reloaded list for the served one, which
+    holds at most the newest 200 (``served_alert_summary``)."""
     return (alerts.groupBy("type").agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("type")))
 
@@ -64,15 +69,15 @@ def alerts_to_json(alerts: DataFrame) -> DataFrame:
 
 
 def reload_anomalies(alert_json: DataFrame) -> DataFrame:
-    """Parse the kept alert texts into the serving table, skipping texts
-    that do not parse; ``id`` numbers them newest first (the list head is
-    loaded first). The list holds at most the newest 200 alerts (enforced
+    """Parse the kept alert texts into the serving table, skipping only
+    texts that are no JSON object; a record that lacks fields is loaded with
+    nulls. ``id`` numbers them newest first (the list head is loaded first). The list holds at most the newest 200 alerts (enforced
     here by a distributed top-k), so numbering them in one ordered window is
     bounded work."""
+    record = schemas.StructType([*schemas.ALERT_JSON.fields, schemas.StructField(CORRUPT, schemas.StringType())])
     parsed = (alert_json
-              .select(F.from_json("value", schemas.ALERT_JSON,
-                                  {"mode": "PERMISSIVE"}).alias("a"), "value")
-              .filter(F.col("a").isNotNull() & F.col("a.type").isNotNull())
+              .select(F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("a"))
+              .filter(F.col("a").isNotNull() & F.col(f"a.{CORRUPT}").isNull())
               .select("a.*"))
     typed = parsed.select(
         "order_id", "type", F.col("score").cast("float").alias("score"), "details",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelake.functions.dates import calendar_columns
+from storelake.operators.joins import broadcast_if_small
 
 ORDER_KEYS = ["order_id", "customer_id", "order_purchase_timestamp"]
 ITEM_KEYS = ["order_id", "product_id", "seller_id", "price"]
@@ -47,11 +48,12 @@ def dim_sellers(sellers: DataFrame) -> DataFrame:
 def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with their English category name (left join: misses stay, name null).
 
-    The translation table is a handful of rows; AQE turns this join into a
-    broadcast once that side's measured size is under the broadcast threshold.
+    The translation table has a row per category; it is broadcast once its size
+    is checked, because a shuffle on a few categories would put the products of
+    each in one task.
     """
     return products.na.drop(subset=["product_id"]).join(
-        translation, on="product_category_name", how="left")
+        broadcast_if_small(translation), on="product_category_name", how="left")
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
@@ -62,6 +64,13 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.sum("payment_value").alias("payment_value"))
 
 
+def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """items ⋈ orders on ``order_id`` plus purchase calendar columns: the fact
+    without payments, for what doesn't need them."""
+    joined = clean_items(items).join(clean_orders(orders), on="order_id", how="inner")
+    return joined.withColumns(calendar_columns("order_purchase_timestamp"))
+
+
 def fact_order_items(items: DataFrame, orders: DataFrame, payments: DataFrame,
                      payment_mode: str = "fanout") -> DataFrame:
     """items ⋈ orders ⟕ payments on ``order_id`` plus purchase calendar columns.
@@ -74,10 +83,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, payments: DataFrame,
         payments = payments_per_order(payments)
     elif payment_mode != "fanout":
         raise ValueError(f"payment_mode must be 'fanout' or 'aggregate', not {payment_mode!r}")
-    joined = (clean_items(items)
-              .join(clean_orders(orders), on="order_id", how="inner")
-              .join(payments, on="order_id", how="left"))
-    return joined.withColumns(calendar_columns("order_purchase_timestamp")).select(FACT_COLUMNS)
+    return order_lines(items, orders).join(payments, on="order_id", how="left").select(FACT_COLUMNS)
 
 
 @dataclass
@@ -85,6 +91,7 @@ class Silver:
     """The silver star schema built from the bronze bindings."""
 
     fact: DataFrame
+    lines: DataFrame
     customers: DataFrame
     products: DataFrame
     sellers: DataFrame
@@ -93,6 +100,7 @@ class Silver:
     def from_bronze(cls, bronze, payment_mode: str = "fanout") -> "Silver":
         return cls(
             fact=fact_order_items(bronze.order_items, bronze.orders, bronze.payments, payment_mode),
+            lines=order_lines(bronze.order_items, bronze.orders),
             customers=dim_customers(bronze.customers),
             products=dim_products(bronze.products, bronze.category_translation),
             sellers=dim_sellers(bronze.sellers),

@@ -10,11 +10,6 @@ from storelake.functions.numeric import money
 from storelake.functions.text import key_prefix, key_suffix
 from storelake.sources.stream import valid_orders
 
-FACT_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "customer_id",
-                "customer_unique_id", "order_status", "order_purchase_timestamp", "price",
-                "freight_value", "product_category_name"]
-
-
 def stream_fact_rows(parsed: DataFrame) -> DataFrame:
     """One row per item of each valid order (T8); orders with no items give none."""
     return valid_orders(parsed).select(
@@ -23,12 +18,12 @@ def stream_fact_rows(parsed: DataFrame) -> DataFrame:
         F.explode("items").alias("item"),
     ).select(
         "order_id",
-        F.col("item.order_item_id").cast("int").alias("order_item_id"),
+        F.col("item.order_item_id").alias("order_item_id"),
         F.col("item.product_id").alias("product_id"),
         F.col("item.seller_id").alias("seller_id"),
         "customer_id", "customer_unique_id", "order_status", "order_purchase_timestamp",
-        F.col("item.price").cast("double").alias("price"),
-        F.col("item.freight_value").cast("double").alias("freight_value"),
+        F.col("item.price").alias("price"),
+        F.col("item.freight_value").alias("freight_value"),
         F.col("item.product_category").alias("product_category_name"),
     )
 
@@ -41,15 +36,16 @@ def _revenue(price="price", freight="freight_value"):
 def daily_metrics(fact_rows: DataFrame) -> DataFrame:
     """Per purchase day: item rows (``orders``, the served figure), distinct
     orders and revenue = sum(price + freight), summed exactly in cents and
-    returned as double (the serving column is NUMERIC(14,2)).
+    returned as double. Counts are long and sums DECIMAL(28,2), so no day is
+    too large; a serving table may narrow them.
 
     Keyed by the order's own date (event time), so replays and late batches
     land on the right day.
     """
     return (fact_rows.groupBy(F.to_date("order_purchase_timestamp").alias("metric_date"))
-            .agg(F.count(F.lit(1)).cast("int").alias("orders"),
-                 F.count_distinct("order_id").cast("int").alias("distinct_orders"),
-                 _revenue().cast("decimal(14,2)").cast("double").alias("revenue"))
+            .agg(F.count(F.lit(1)).alias("orders"),
+                 F.count_distinct("order_id").alias("distinct_orders"),
+                 _revenue().cast("decimal(28,2)").cast("double").alias("revenue"))
             .filter(F.col("metric_date").isNotNull()))
 
 
@@ -57,14 +53,14 @@ def batch_increments(fact_rows: DataFrame, batch_col: str = "batch_id") -> DataF
     """The key/value increments each micro-batch adds to the running totals
     (S12): ``orders:<day>`` (+item rows) and ``revenue:<day>`` (+revenue)."""
     per = (fact_rows.groupBy(batch_col, F.to_date("order_purchase_timestamp").alias("d"))
-           .agg(F.count(F.lit(1)).cast("decimal(18,2)").alias("orders"),
-                _revenue().cast("decimal(18,2)").alias("revenue"))
+           .agg(F.count(F.lit(1)).cast("decimal(28,2)").alias("orders"),
+                _revenue().cast("decimal(28,2)").alias("revenue"))
            .filter(F.col("d").isNotNull()))
     day = F.date_format("d", "yyyy-MM-dd")
     return per.select(batch_col, F.explode(F.array(
         F.struct(F.concat(F.lit("orders:"), day).alias("key"), F.col("orders").alias("value")),
         F.struct(F.concat(F.lit("revenue:"), day).alias("key"),
-                 F.coalesce("revenue", F.lit(0)).cast("decimal(18,2)").alias("value")),
+                 F.coalesce("revenue", F.lit(0)).cast("decimal(28,2)").alias("value")),
     )).alias("kv")).select(batch_col, "kv.*")
 
 
@@ -81,8 +77,8 @@ def kv_to_daily(kv: DataFrame) -> DataFrame:
             .groupBy("metric_date").pivot("metric", ["orders", "revenue"]).agg(F.sum("value")))
     return wide.select(
         "metric_date",
-        F.coalesce(F.col("orders"), F.lit(0)).cast("int").alias("orders"),
-        F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(14,2)").cast("double").alias("revenue"))
+        F.coalesce(F.col("orders"), F.lit(0)).cast("long").alias("orders"),
+        F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(28,2)").cast("double").alias("revenue"))
 
 
 def all_fact_rows(batch_fact: DataFrame, stream_fact: DataFrame) -> DataFrame:

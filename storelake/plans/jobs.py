@@ -9,6 +9,8 @@ row-count report is one job over the written tables.
     python -m storelake.plans.jobs models   --gold GOLD --out GOLD --models MODELS
     python -m storelake.plans.jobs baskets  --silver SILVER --out GOLD
     python -m storelake.plans.jobs forecast --gold GOLD --out GOLD
+    python -m storelake.plans.jobs stream   --messages DIR --out STREAM
+    python -m storelake.plans.jobs serving  --stream STREAM --out SERVING
     python -m storelake.plans.jobs testdata --tables /root/testdata/sf0.01 --out BRONZE
 """
 
@@ -20,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from storelake.operators import baskets, forecast, gold, models, silver
 from storelake.sources.sinks import row_counts, write_table
-from storelake.sources.tables import Tables, read_bronze, read_daily_sales
+from storelake.sources.tables import Tables, read_bronze, read_daily_sales, read_geolocation
 
 BRONZE_TABLES = ("orders", "order_items", "payments", "products", "category_translation",
                  "customers", "sellers")
@@ -33,8 +35,10 @@ def export_test_bronze(spark: SparkSession, tables_dir: str, out: str) -> None:
         getattr(b, name).write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
 
 
-def silver_job(spark: SparkSession, bronze_root: str, out: str, payment_mode: str = "fanout"):
-    r = {n: read_bronze(spark, bronze_root, n) for n in BRONZE_TABLES}
+def silver_job(spark: SparkSession, bronze_root: str, out: str, payment_mode: str = "fanout",
+               ids: str = "string", geolocation: bool = False):
+    """``ids``: see :func:`read_bronze`. ``geolocation`` also passes that extract through."""
+    r = {n: read_bronze(spark, bronze_root, n, ids) for n in BRONZE_TABLES}
     fact = silver.fact_order_items(r["order_items"], r["orders"], r["payments"], payment_mode)
     outputs = {
         "fact_order_items": fact,
@@ -44,6 +48,8 @@ def silver_job(spark: SparkSession, bronze_root: str, out: str, payment_mode: st
     }
     for name, df in outputs.items():
         write_table(df, f"{out}/{name}")
+    if geolocation:
+        write_table(read_geolocation(spark, bronze_root), f"{out}/geolocation")
     return row_counts({n: spark.read.parquet(f"{out}/{n}") for n in outputs})
 
 
@@ -53,7 +59,8 @@ def gold_job(spark: SparkSession, silver_root: str, out: str):
     fact = s["fact_order_items"]
     write_table(gold.order_features_for_pricing(fact, s["dim_products"], s["dim_customers"]),
                 f"{out}/order_features_for_pricing")
-    write_table(gold.ml_feature_store(fact, s["dim_products"], s["dim_customers"], s["dim_sellers"]),
+    write_table(gold.ml_feature_store(fact, s["dim_products"], s["dim_customers"], s["dim_sellers"],
+                                      keep_order_id=True),
                 f"{out}/ml_feature_store_v2", partition_by=["purchase_month"])
     write_table(gold.customer_spending_profile(fact, s["dim_customers"]),
                 f"{out}/customer_spending_profile")
@@ -70,8 +77,7 @@ def models_job(spark: SparkSession, gold_root: str, out: str, model_root: str,
             (models.PRICE, "order_features_for_pricing", "dynamic_pricing",
              models.pricing_recommendations)):
         data = models.model_input(spark.read.parquet(f"{gold_root}/{table}"), spec)
-        key = "order_id" if "order_id" in data.columns else None
-        train, test = models.split(data, key=key)
+        train, test = models.split(data, key="order_id")
         model = models.fit(train, spec, **kw)
         pred = model.transform(test).cache()
         try:
@@ -103,20 +109,42 @@ def forecast_job(spark: SparkSession, gold_root: str, out: str):
     return forecast.evaluation_summary(ev), forecast.worst_categories(ev)
 
 
+def stream_job(spark: SparkSession, source: str, out: str, trigger: str | None = "availableNow"):
+    """The alert and fact streams over a folder of order messages, under ``out``."""
+    from storelake.streaming.jobs import read_text_stream, start_alerts, start_facts
+    runs = [start_alerts(read_text_stream(spark, source), f"{out}/alerts", f"{out}/_alerts", trigger),
+            start_facts(read_text_stream(spark, source), f"{out}/facts", f"{out}/increments", f"{out}/_facts", trigger)]
+    for q in runs:
+        q.awaitTermination()
+
+
+def serving_job(spark: SparkSession, stream_root: str, out: str):
+    """Load the serving tables from what the streams wrote; returns the load summary."""
+    from storelake.operators import serving
+    from storelake.operators.stream_facts import accumulate, kv_to_daily
+    alerts = spark.read.parquet(f"{stream_root}/alerts")
+    write_table(kv_to_daily(accumulate(spark.read.parquet(f"{stream_root}/increments"))), f"{out}/daily_metrics")
+    write_table(serving.reload_anomalies(serving.alerts_to_json(serving.kept_alerts(alerts))), f"{out}/anomalies")
+    return row_counts({n: spark.read.parquet(f"{out}/{n}") for n in ("daily_metrics", "anomalies")})
+
+
 def main(argv=None) -> None:
-    from storelake.session import get_session
+    from storelake.session import clear_scratch, get_session
     ap = argparse.ArgumentParser(prog="storelake.plans.jobs")
-    ap.add_argument("job", choices=["testdata", "silver", "gold", "models", "baskets", "forecast"])
+    ap.add_argument("job", choices=["testdata", "silver", "gold", "models", "baskets", "forecast", "stream", "serving"])
+    ap.add_argument("--messages"), ap.add_argument("--stream"), ap.add_argument("--trigger", default="availableNow")
     ap.add_argument("--tables"), ap.add_argument("--bronze"), ap.add_argument("--silver")
     ap.add_argument("--gold"), ap.add_argument("--out", required=True), ap.add_argument("--models")
     ap.add_argument("--item", default="product_id")
-    ap.add_argument("--master"), ap.add_argument("--partitions", type=int, default=200)
+    ap.add_argument("--master"), ap.add_argument("--partitions", type=int)
+    ap.add_argument("--geolocation", action="store_true")
+    ap.add_argument("--ids", choices=["string", "declared"], default="string")
     a = ap.parse_args(argv)
     spark = get_session(a.master, a.partitions, app_name=f"storelake-{a.job}")
     if a.job == "testdata":
         export_test_bronze(spark, a.tables, a.out)
     elif a.job == "silver":
-        silver_job(spark, a.bronze, a.out).show()
+        silver_job(spark, a.bronze, a.out, ids=a.ids, geolocation=a.geolocation).show()
     elif a.job == "gold":
         gold_job(spark, a.silver, a.out)
     elif a.job == "models":
@@ -128,6 +156,11 @@ def main(argv=None) -> None:
     elif a.job == "forecast":
         s, w = forecast_job(spark, a.gold, a.out)
         s.show(truncate=False), w.show(truncate=False)
+    elif a.job == "stream":
+        stream_job(spark, a.messages, a.out, a.trigger)
+    elif a.job == "serving":
+        serving_job(spark, a.stream, a.out).show()
+    clear_scratch(spark)
     spark.stop()
 
 

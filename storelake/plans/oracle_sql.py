@@ -174,27 +174,32 @@ SELECT * FROM q""")
 
 
 # --- the order stream (events -> order messages) and the six rules ----------
-def stream_orders(buckets: int | None = None) -> str:
+def stream_orders(buckets: int | None = None, bad_rows: bool = False) -> str:
     cust = "user_id" if buckets is None else f"user_id % {buckets}"
+    when = (lambda n, bad, good: f"CASE WHEN event_id % {n} = 0 THEN {bad} ELSE {good} END") if bad_rows \
+        else (lambda n, bad, good: good)
+    state = """(['SP','RJ','MG','RS','PR','BA','PE','CE','AM','PA','AC','RR','AP'])
+           [CAST((event_id * 7 + user_id) % 13 AS INTEGER) + 1]"""
+    freight = "CAST(json_extract_string(props, '$.k') AS INTEGER) * CAST(1.2 AS DOUBLE)"
     return f"""
 ev AS (
   SELECT CAST(event_id AS VARCHAR) AS order_id, CAST({cust} AS VARCHAR) AS customer_id,
          CAST({cust} AS VARCHAR) AS customer_unique_id,
-         (['SP','RJ','MG','RS','PR','BA','PE','CE','AM','PA','AC','RR','AP'])
-           [CAST((event_id * 7 + user_id) % 13 AS INTEGER) + 1] AS customer_state,
-         date_trunc('minute', ts) AS ts,
-         round(value * 20, 2) AS total,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) * CAST(1.2 AS DOUBLE) AS item_freight,
+         {when(53, 'NULL', state)} AS customer_state,
+         {when(97, 'NULL', "date_trunc('minute', ts)")} AS ts,
+         round(value * 20, 2) AS total, event_id, event_type,
+         {when(31, 'NULL', freight)} AS item_freight,
          json_extract_string(props, '$.k') AS item_product_id
   FROM events),
 o AS (
   SELECT *, coalesce(item_freight, 0.0) AS first_freight,
-         CAST(hour(ts) AS INTEGER) AS purchase_hour
+         CAST(hour(ts) AS INTEGER) AS purchase_hour,
+         coalesce(ts, TIMESTAMP '2030-01-01 00:00:00') AS seen_at
   FROM ev WHERE order_id IS NOT NULL AND customer_id IS NOT NULL),
 seq AS (
   SELECT *, lag(customer_state) OVER w AS prev_state, lag(ts) OVER w AS prev_ts,
          epoch(ts) - epoch(lag(ts) OVER w) AS gap_s
-  FROM o WINDOW w AS (PARTITION BY customer_unique_id ORDER BY ts, order_id)),
+  FROM o WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY customer_unique_id ORDER BY ts, order_id)),
 sess AS (
   SELECT *, SUM(CASE WHEN prev_ts IS NULL OR gap_s >= 3600 THEN 1 ELSE 0 END)
               OVER (PARTITION BY customer_unique_id ORDER BY ts, order_id
@@ -206,34 +211,34 @@ sess2 AS (
   FROM sess),
 firsts AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY ts, order_id) AS rn
-                 FROM o) WHERE rn = 1),
+                 FROM o WHERE ts IS NOT NULL) WHERE rn = 1),
 a_amount AS (
   SELECT order_id, 'amount' AS type, 1.0::DOUBLE AS score,
          'Value ' || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) || ' exceeds 3000' AS details,
-         ts AS detected_at
+         seen_at AS detected_at
   FROM o WHERE total > 3000),
 a_off AS (
   SELECT order_id, 'off_hours' AS type, 1.0::DOUBLE AS score,
          'Order at ' || CAST(purchase_hour AS VARCHAR) || 'h value '
            || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) AS details,
-         ts AS detected_at
+         seen_at AS detected_at
   FROM o WHERE purchase_hour >= 1 AND purchase_hour < 5 AND total > 1000),
 a_freight AS (
   SELECT order_id, 'freight_mismatch' AS type, 1.0::DOUBLE AS score,
          'Freight ' || CAST(CAST(round(first_freight) AS BIGINT) AS VARCHAR) || ' unusually high' AS details,
-         ts AS detected_at
+         seen_at AS detected_at
   FROM o WHERE ts IS NOT NULL AND first_freight > 100),
 a_first AS (
   SELECT order_id, 'first_order_high_value' AS type, 1.0::DOUBLE AS score,
          'First order ' || CAST(CAST(round(total) AS BIGINT) AS VARCHAR) || ' exceeds 500' AS details,
-         ts AS detected_at
+         seen_at AS detected_at
   FROM firsts WHERE coalesce(total, 0.0) > 500),
 a_geo AS (
   SELECT order_id, 'geo_velocity' AS type, 1.0::DOUBLE AS score,
          'State jump ' || prev_state || '->' || customer_state || ' in '
            || CAST((CAST(gap_s AS BIGINT) + 180) // 360 // 10 AS VARCHAR) || '.'
            || CAST((CAST(gap_s AS BIGINT) + 180) // 360 % 10 AS VARCHAR) || 'h' AS details,
-         ts AS detected_at
+         seen_at AS detected_at
   FROM seq
   WHERE prev_state IS NOT NULL AND prev_state <> '' AND prev_ts IS NOT NULL
     AND abs(gap_s) < 4 * 3600 AND customer_state <> prev_state
@@ -241,13 +246,13 @@ a_geo AS (
         IN ('AC|MG', 'AC|SP', 'AM|RJ', 'AM|RS', 'AM|SP', 'AP|PR', 'PA|SP', 'RR|SP')),
 a_velocity AS (
   SELECT order_id, 'velocity' AS type, 1.0::DOUBLE AS score,
-         CAST(session_count AS VARCHAR) || ' orders in 1 hour' AS details, ts AS detected_at
+         CAST(session_count AS VARCHAR) || ' orders in 1 hour' AS details, seen_at AS detected_at
   FROM sess2 WHERE session_count > 5)
 """
 
 
-def rules_sql(select: str, buckets: int | None = None) -> str:
-    return "WITH " + stream_orders(buckets).strip() + "\n" + select
+def rules_sql(select: str, buckets: int | None = None, bad_rows: bool = False) -> str:
+    return "WITH " + stream_orders(buckets, bad_rows).strip() + "\n" + select
 
 
 SQL["alerts_amount"] = rules_sql("SELECT * FROM a_amount")
@@ -274,15 +279,14 @@ STREAM_FACTS = """,
 sfact AS (
   SELECT o.order_id, 1 AS order_item_id, o.item_product_id AS product_id,
          CAST(NULL AS VARCHAR) AS seller_id, o.customer_id, o.customer_unique_id,
-         e.event_type AS order_status, o.ts AS order_purchase_timestamp,
-         o.total AS price, o.item_freight AS freight_value, e.event_type AS product_category_name
-  FROM o JOIN (SELECT CAST(event_id AS VARCHAR) AS order_id, event_type FROM events) e USING (order_id)),
+         o.event_type AS order_status, o.ts AS order_purchase_timestamp,
+         o.total AS price, o.item_freight AS freight_value, o.event_type AS product_category_name
+  FROM o),
 dm AS (
   SELECT CAST(order_purchase_timestamp AS DATE) AS metric_date,
-         CAST(COUNT(*) AS INTEGER) AS orders,
-         CAST(COUNT(DISTINCT order_id) AS INTEGER) AS distinct_orders,
+         COUNT(*) AS orders, COUNT(DISTINCT order_id) AS distinct_orders,
          CAST(CAST(SUM(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)))
-              AS DECIMAL(14,2)) AS DOUBLE) AS revenue
+              AS DECIMAL(28,2)) AS DOUBLE) AS revenue
   FROM sfact WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1),
 alerts AS (""" + ALL_ALERTS + """),
 kept AS (
@@ -303,7 +307,7 @@ SQL["daily_metrics"] = serving_sql("SELECT * FROM dm")
 SQL["daily_metrics_from_kv"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")
 SQL["sales_by_day"] = serving_sql("SELECT metric_date, orders, revenue FROM dm ORDER BY metric_date")
 SQL["live_metrics"] = serving_sql("""
-SELECT DATE '2024-01-15' AS date, CAST(coalesce(dm.orders, 0) AS INTEGER) AS orders,
+SELECT DATE '2024-01-15' AS date, coalesce(dm.orders, 0) AS orders,
        CAST(round(coalesce(dm.revenue, 0.0) * 100) AS BIGINT) / 100.0 AS revenue,
        CASE WHEN coalesce(dm.orders, 0) > 0
             THEN ((2 * CAST(round(dm.revenue * 100) AS BIGINT) + dm.orders) // (2 * dm.orders)) / 100.0
@@ -316,6 +320,29 @@ SQL["anomalies_reload"] = serving_sql("SELECT * FROM anomalies")
 SQL["alert_history"] = serving_sql(
     "SELECT * FROM anomalies ORDER BY detected_at DESC NULLS LAST, order_id, type LIMIT 50")
 SQL["daily_metrics_upsert"] = serving_sql("SELECT * FROM dm")
+SQL["served_alert_summary"] = serving_sql("SELECT type, COUNT(*) AS count FROM anomalies GROUP BY type")
+SQL["serving_load_summary"] = serving_sql("""
+SELECT 'daily_metrics' AS table_name, COUNT(*) AS row_count FROM dm
+UNION ALL SELECT 'anomalies', COUNT(*) FROM anomalies""")
+SQL["sales_by_day_positions"] = serving_sql("""
+SELECT metric_date, orders, revenue, CAST(ROW_NUMBER() OVER (ORDER BY metric_date) AS INTEGER) AS position FROM dm""")
+SQL["alert_summary_positions"] = serving_sql("""
+SELECT type, COUNT(*) AS count, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, type) AS INTEGER) AS position
+FROM alerts GROUP BY type""")
+SQL["order_alerts_bad_rows"] = rules_sql(ALL_ALERTS, bad_rows=True)
+SQL["stream_facts_bad_rows"] = rules_sql("""
+SELECT order_id, CAST(i AS INTEGER) AS order_item_id, item_product_id AS product_id, CAST(NULL AS VARCHAR) AS seller_id,
+       customer_id, customer_unique_id, event_type AS order_status, ts AS order_purchase_timestamp,
+       total + (i - 1) AS price, CASE WHEN i = 1 THEN item_freight END AS freight_value,
+       event_type AS product_category_name
+FROM o, range(1, 4) t(i)
+WHERE i <= CASE WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 20 = 0 THEN 3 WHEN event_id % 10 = 0 THEN 2 ELSE 1 END""",
+                                         bad_rows=True)
+SQL["anomalies_reload_bad_rows"] = "WITH " + stream_orders(bad_rows=True).strip() + STREAM_FACTS + "SELECT * FROM anomalies"
+SQL["bronze_csv_roundtrip"] = with_bindings("""
+q AS (SELECT * FROM b_orders)
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status,
+       order_purchase_timestamp, order_delivered_customer_date, order_estimated_delivery_date FROM q""")
 
 
 # --- forecasting ---------------------------------------------------------------
@@ -368,10 +395,10 @@ f_coef AS (
 f_coef2 AS (SELECT category_english, slope, (sy - slope * sx) / m AS intercept FROM f_coef),
 f_sigma AS (
   SELECT s.category_english,
-         CASE WHEN COUNT(*) > 2 THEN sqrt(list_reduce(list_sort(list(
+         sqrt(list_reduce(list_sort(list(
               (CAST(s.y AS DOUBLE) - (c.intercept + c.slope * CAST(s.x AS DOUBLE)))
             * (CAST(s.y AS DOUBLE) - (c.intercept + c.slope * CAST(s.x AS DOUBLE))))),
-              lambda a, v: a + v) / (COUNT(*) - 2)) ELSE 0.0 END AS sigma
+              lambda a, v: a + v) / (COUNT(*) - 2)) AS sigma
   FROM fs s JOIN f_coef2 c USING (category_english) GROUP BY 1),
 f_last AS (SELECT category_english, MAX(week) AS last_week, MAX(x) AS last_x FROM fs GROUP BY 1),
 f_frame AS (
@@ -396,8 +423,8 @@ SQL["weekly_category_demand"] = forecast_sql("SELECT category_english, week, x,
 SQL["forecast_evaluation_metrics"] = forecast_sql("SELECT * FROM evaluation")
 SQL["forecast_weekly_demand"] = forecast_sql("SELECT * FROM forecast")
 SQL["forecast_accuracy_summary"] = forecast_sql("""
-SELECT list_reduce(list_sort(list(mae)), lambda a, v: a + v) / COUNT(mae) AS avg_mae,
-       list_reduce(list_sort(list(rmse)), lambda a, v: a + v) / COUNT(rmse) AS avg_rmse,
+SELECT CAST(SUM(CAST(mae AS DECIMAL(28,9))) AS DOUBLE) / COUNT(mae) AS avg_mae,
+       CAST(SUM(CAST(rmse AS DECIMAL(28,9))) AS DOUBLE) / COUNT(rmse) AS avg_rmse,
        COUNT(*) AS categories
 FROM evaluation""")
 SQL["forecast_worst_categories"] = forecast_sql(
@@ -405,7 +432,7 @@ SQL["forecast_worst_categories"] = forecast_sql(
 
 
 # --- baskets: single-antecedent rules by counting pairs inside baskets -------
-def basket_sql(item: str, select: str) -> str:
+def basket_sql(item: str, select: str, support: float = 0.001, confidence: float = 0.2) -> str:
     src = ("SELECT order_id, product_id AS item FROM fact" if item == "product_id" else
            f"SELECT f.order_id, p.{item} AS item FROM fact f LEFT JOIN dim_products p USING (product_id)")
     return with_bindings(f"""
@@ -413,7 +440,7 @@ src AS ({src}),
 bi0 AS (SELECT DISTINCT order_id, item FROM src WHERE item IS NOT NULL),
 bsz AS (SELECT order_id, COUNT(*) AS n_items FROM bi0 GROUP BY order_id HAVING COUNT(*) > 1),
 bi AS (SELECT bi0.* FROM bi0 JOIN bsz USING (order_id)),
-n AS (SELECT COUNT(*) AS n, CEIL(0.001 * COUNT(*)) AS min_count FROM bsz),
+n AS (SELECT COUNT(*) AS n, CEIL({support} * COUNT(*)) AS min_count FROM bsz),
 ic AS (SELECT item, COUNT(*) AS f FROM bi GROUP BY item),
 pc AS (SELECT a.item AS x, c.item AS y, COUNT(*) AS f
        FROM bi a JOIN bi c ON a.order_id = c.order_id AND a.item <> c.item GROUP BY 1, 2),
@@ -423,7 +450,7 @@ rules AS (
          (CAST(pc.f AS DOUBLE) / ia.f) / (CAST(ib.f AS DOUBLE) / n.n) AS lift,
          CAST(pc.f AS DOUBLE) / n.n AS support
   FROM pc JOIN ic ia ON ia.item = pc.x JOIN ic ib ON ib.item = pc.y CROSS JOIN n
-  WHERE pc.f >= n.min_count AND CAST(pc.f AS DOUBLE) / ia.f >= 0.2)
+  WHERE pc.f >= n.min_count AND CAST(pc.f AS DOUBLE) / ia.f >= {confidence})
 {select}""")
 
 
@@ -432,6 +459,7 @@ SELECT order_id, CAST(COUNT(*) AS INTEGER) AS n_items, string_agg(item, ',' ORDE
 FROM bi GROUP BY order_id""")
 SQL["basket_rules"] = basket_sql("product_category_name", "SELECT * FROM rules")
 SQL["basket_rules_by_product"] = basket_sql("product_id", "SELECT * FROM rules")
+SQL["basket_rules_by_product_pairs"] = basket_sql("product_id", "SELECT * FROM rules", 0.0002, 0.05)
 SQL["basket_rule_quality"] = basket_sql("product_category_name", """
 SELECT round(AVG(confidence), 9) AS avg_confidence, round(AVG(lift), 9) AS avg_lift,
        round(AVG(support), 9) AS avg_support, MAX(confidence) AS max_confidence,
@@ -476,3 +504,20 @@ UNION ALL SELECT 'price.required', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)}
 UNION ALL SELECT 'price.assembled', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)} AND {_nn(_PRICE_NUM)}""")
 SQL["stream_order_alerts"] = rules_sql(ALL_ALERTS)
 SQL["stream_daily_metrics"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")
+
+_PRICED = with_bindings(PRICING_CTE + f""",
+mi AS (SELECT *, floor(price) + delivery_days * CAST(0.5 AS DOUBLE) AS prediction FROM pq WHERE {_nn(_PRICE_REQ)})""")
+SQL["model_split_counts"] = _PRICED + """,
+sides AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|42'), 1, 7) AS BIGINT) % 1000 < 800
+                         THEN 'train' ELSE 'test' END AS side FROM mi)
+SELECT side, COUNT(*) AS row_count, COUNT(DISTINCT order_id) AS orders, CAST(SUM(order_id) AS BIGINT) AS id_sum
+FROM sides GROUP BY side"""
+SQL["model_metrics"] = _PRICED + """
+SELECT round(AVG(abs(prediction - price)), 6) AS mae, round(sqrt(AVG((prediction - price) * (prediction - price))), 6) AS rmse,
+       round(1 - SUM((prediction - price) * (prediction - price)) / (COUNT(price) * var_pop(price)), 6) AS r2,
+       COUNT(*) AS test_rows
+FROM mi"""
+SQL["pricing_adjustments"] = _PRICED + """
+SELECT product_id, price, prediction AS predicted_price, round(prediction / NULLIF(price, 0), 4) AS adjustment_factor,
+       customer_state, delivery_days
+FROM mi"""

@@ -60,7 +60,7 @@ def q_ml_features(spark, sf_dir):
 @register("daily_sales_by_category")
 def q_daily_sales(spark, sf_dir):
     s = _silver(spark, sf_dir)
-    return gold.daily_sales_by_category(s.fact, s.products)
+    return gold.daily_sales_by_category(s.lines, s.products)
 
 
 @register("layer_row_counts")
@@ -192,17 +192,97 @@ def q_alert_history(spark, sf_dir):
 
 @register("daily_metrics_upsert")
 def q_upsert(spark, sf_dir):
-    """The serving table loaded a week before the last data day, then upserted
-    with the last week recomputed from every order: equals a full reload."""
+    """The serving table as loaded while the last two weeks were half in (their
+    days hold stale totals), then upserted with the last three weeks recomputed
+    from every order: stale days are replaced, and the result equals a full reload."""
     from pyspark.sql import functions as F
     from storelake.operators.stream_facts import daily_metrics
     from storelake.sources.sinks import upsert
     facts = _stream_facts(spark, sf_dir)
-    last_day = facts.select(F.max(F.to_date("order_purchase_timestamp"))).scalar()
-    cut = F.date_sub(last_day, 7)
-    base = daily_metrics(facts.filter(F.to_date("order_purchase_timestamp") < cut))
-    updates = daily_metrics(facts).filter(F.col("metric_date") >= cut)
-    return upsert(base, updates, ["metric_date"])
+    day = F.to_date("order_purchase_timestamp")
+    last_day = facts.select(F.max(day)).scalar()
+    loaded = facts.filter((day < F.date_sub(last_day, 14)) | (F.col("order_id").cast("long") % 2 == 0))
+    updates = daily_metrics(facts).filter(F.col("metric_date") >= F.date_sub(last_day, 21))
+    return upsert(daily_metrics(loaded), updates, ["metric_date"])
+
+
+@register("served_alert_summary")
+def q_served_summary(spark, sf_dir):
+    """L3 over the reloaded alert list (at most the newest 200), as it is served."""
+    from storelake.operators.serving import alert_summary
+    return alert_summary(_anomalies(spark, sf_dir))
+
+
+@register("serving_load_summary")
+def q_load_summary(spark, sf_dir):
+    from storelake.sources.sinks import row_counts
+    return row_counts({"daily_metrics": _daily(spark, sf_dir), "anomalies": _anomalies(spark, sf_dir)})
+
+
+def _positions(ordered):
+    """The rows of a sorted frame with the place at which it returns them."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return at.withColumn("position", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+@register("sales_by_day_positions")
+def q_sales_positions(spark, sf_dir):
+    from storelake.operators.serving import sales_by_day
+    return _positions(sales_by_day(_daily(spark, sf_dir)))
+
+
+@register("alert_summary_positions")
+def q_summary_positions(spark, sf_dir):
+    from storelake.operators.serving import alert_summary
+    return _positions(alert_summary(_alerts(spark, sf_dir)))
+
+
+# --- bad rows in the stream: unreadable times, no state, no items, several items ---
+BAD_ROWS_AS_OF = "2030-01-01 00:00:00"
+
+
+def _bad_orders(spark, sf_dir):
+    from storelake.sources.stream import parse_orders
+    return parse_orders(Tables(spark, sf_dir).bronze.order_messages(bad_rows=True))
+
+
+def _bad_alerts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from storelake.operators.rules import all_alerts, prepare_orders
+    return all_alerts(prepare_orders(_bad_orders(spark, sf_dir), F.lit(BAD_ROWS_AS_OF).cast("timestamp_ntz")))
+
+
+@register("stream_facts_bad_rows")
+def q_bad_facts(spark, sf_dir):
+    from storelake.operators.stream_facts import stream_fact_rows
+    return stream_fact_rows(_bad_orders(spark, sf_dir))
+
+
+@register("order_alerts_bad_rows")
+def q_bad_alerts(spark, sf_dir):
+    return _bad_alerts(spark, sf_dir)
+
+
+@register("anomalies_reload_bad_rows")
+def q_bad_anomalies(spark, sf_dir):
+    from storelake.operators import serving
+    return serving.reload_anomalies(serving.alerts_to_json(serving.kept_alerts(_bad_alerts(spark, sf_dir))))
+
+
+@register("bronze_csv_roundtrip")
+def q_bronze_csv(spark, sf_dir):
+    """Orders written as a headered extract with further columns and another
+    column order, and read back by name."""
+    from pyspark.sql import functions as F
+    from storelake.session import scratch_path
+    from storelake.sources.tables import read_bronze
+    root = scratch_path(spark, "bronze-csv")
+    o = Tables(spark, sf_dir).bronze.orders
+    extra = o.select(F.lit("x").alias("order_approved_at"), *reversed(o.columns), F.lit(1).alias("carrier"))
+    extra.write.option("header", True).csv(f"{root}/orders")
+    return read_bronze(spark, root, "orders")
 
 
 # --- forecasting -------------------------------------------------------------
@@ -211,7 +291,7 @@ def _daily_sales(spark, sf_dir):
     shared folder and read back, as the layer jobs hand it over."""
     from storelake.sources.sinks import materialize
     s = _silver(spark, sf_dir)
-    return materialize(gold.daily_sales_by_category(s.fact, s.products), "daily-sales")
+    return materialize(gold.daily_sales_by_category(s.lines, s.products), "daily-sales")
 
 
 @register("weekly_category_demand")
@@ -278,6 +358,17 @@ def q_basket_rules_product(spark, sf_dir):
     return _recs(spark, sf_dir, item="product_id")
 
 
+PRODUCT_PAIR_SUPPORT, PRODUCT_PAIR_CONFIDENCE = 0.0002, 0.05
+
+
+@register("basket_rules_by_product_pairs")
+def q_basket_product_pairs(spark, sf_dir):
+    """Product rules at thresholds that product baskets reach."""
+    from storelake.operators import baskets as b
+    bk = b.baskets(_basket_fact(spark, sf_dir, "product_id"), "product_id")
+    return b.recommendations(b.fit_rules(bk, PRODUCT_PAIR_SUPPORT, PRODUCT_PAIR_CONFIDENCE), single_antecedent=True)
+
+
 @register("basket_rules_all_antecedents")
 def q_basket_rules_all(spark, sf_dir):
     return _recs(spark, sf_dir, single=False)
@@ -335,10 +426,45 @@ def q_pricing_recs(spark, sf_dir):
     return m.pricing_recommendations(_fit_predict(_price_table(spark, sf_dir), m.PRICE))
 
 
+@register("model_split_counts")
+def q_split_counts(spark, sf_dir):
+    """Both sides of the model split: rows, orders and the sum of their ids."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+    from storelake.operators import models as m
+    sides = zip(("train", "test"), m.split(m.model_input(_price_table(spark, sf_dir), m.PRICE), key="order_id"))
+    return reduce(DataFrame.unionAll, [
+        df.agg(F.lit(n).alias("side"), F.count(F.lit(1)).alias("row_count"),
+               F.count_distinct("order_id").alias("orders"), F.sum("order_id").alias("id_sum")) for n, df in sides])
+
+
+def _plain_predictions(spark, sf_dir):
+    """The pricing input with an arithmetic stand-in for the model's prediction."""
+    from pyspark.sql import functions as F
+    from storelake.operators import models as m
+    return m.model_input(_price_table(spark, sf_dir), m.PRICE).withColumn(
+        "prediction", F.floor("price") + F.col("delivery_days") * 0.5)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from storelake.operators import models as m
+    r = m.regression_metrics(_plain_predictions(spark, sf_dir), "price")
+    return r.select(*[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")], "test_rows")
+
+
+@register("pricing_adjustments")
+def q_adjustments(spark, sf_dir):
+    from storelake.operators import models as m
+    return m.pricing_recommendations(_plain_predictions(spark, sf_dir))
+
+
 @register("customer_state_index")
 def q_state_index(spark, sf_dir):
     """StringIndexer labels of the delay model's customer_state (frequency
-    descending, ties alphabetical), as applied to the training rows."""
+    descending, ties alphabetical), fitted on all rows that the model may read."""
     from pyspark.ml.feature import StringIndexer
     from storelake.operators import models as m
     data = m.model_input(_delay_table(spark, sf_dir), m.DELAY)
@@ -370,21 +496,14 @@ def q_model_input_counts(spark, sf_dir):
 
 
 # --- streaming runs (availableNow over the staged order files) -------------------
-def _staged_stream(spark, sf_dir, files=4):
-    from storelake.session import scratch_path
-    from storelake.streaming.jobs import read_text_stream, stage_order_files
-    inp = scratch_path(spark, "orders-in")
-    stage_order_files(spark, Tables(spark, sf_dir).events, inp, files)
-    return read_text_stream(spark, inp, files_per_trigger=1)
-
-
 @register("stream_order_alerts")
 def q_stream_alerts(spark, sf_dir):
-    """The six rules run as a stream (4 micro-batches, state carried across)."""
+    """The six rules run as a stream (4 arrivals, state carried across)."""
     from storelake.session import scratch_path
-    from storelake.streaming.jobs import start_alerts
-    out, ck = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-ck")
-    start_alerts(_staged_stream(spark, sf_dir), out, ck, trigger="availableNow").awaitTermination()
+    from storelake.streaming.jobs import replay, start_alerts
+    inp, out, ck = (scratch_path(spark, n) for n in ("orders-in", "alerts", "alerts-ck"))
+    replay(spark, Tables(spark, sf_dir).events, inp,
+           lambda raw: start_alerts(raw, out, ck, trigger="availableNow"))
     return spark.read.parquet(out)
 
 
@@ -393,9 +512,10 @@ def q_stream_daily(spark, sf_dir):
     """Stream fact rows and per-batch day increments, then the served totals."""
     from storelake.operators.stream_facts import accumulate, kv_to_daily
     from storelake.session import scratch_path
-    from storelake.streaming.jobs import start_facts
-    facts, inc, ck = (scratch_path(spark, n) for n in ("facts", "increments", "facts-ck"))
-    start_facts(_staged_stream(spark, sf_dir), facts, inc, ck, trigger="availableNow").awaitTermination()
+    from storelake.streaming.jobs import replay, start_facts
+    inp, facts, inc, ck = (scratch_path(spark, n) for n in ("orders-in", "facts", "increments", "facts-ck"))
+    replay(spark, Tables(spark, sf_dir).events, inp,
+           lambda raw: start_facts(raw, facts, inc, ck, trigger="availableNow"))
     return kv_to_daily(accumulate(spark.read.parquet(inc)))
 
 

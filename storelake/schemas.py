@@ -11,7 +11,8 @@ def _s(*fields) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-# Bronze tables (the raw CSV extracts). Ids are numeric in our bindings.
+# Bronze tables (the raw CSV extracts). Ids are numeric in our bindings and
+# text in raw extracts (see sources.tables.read_bronze).
 BRONZE = {
     "orders": _s(("order_id", LongType()), ("customer_id", LongType()),
                  ("order_status", StringType()),

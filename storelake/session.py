@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,17 +23,20 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "storelake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    ``master`` is only set when given: on a cluster the launcher decides it.
+    ``master`` and ``shuffle_partitions`` are only set when given: on a cluster
+    the launcher decides the one, and AQE coalesces from
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for the other.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
@@ -57,7 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the cluster
     (a shared file system every executor can reach); if it is unset there, we
-    stop rather than write to a folder only the driver can see. Only a local
+    stop rather than write to a folder only the driver can see; a ``file:`` path
+    there must be a mount that all executors share. Only a local
     session (tests, ``local[*]``) without it gets a folder under the local temp
     directory.
     """
@@ -68,27 +71,27 @@ def checkpoint_root(spark: SparkSession) -> str:
                                "(e.g. on HDFS or an object store) that every executor can reach")
         d = tempfile.mkdtemp(prefix="storelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-    except Exception:   # Spark Connect: no SparkContext; the folder is used by path only
-        pass
+    sc = getattr(spark, "_sc", None)     # Spark Connect has none; the folder is used by path only
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few local-only test helpers)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+_SCRATCH: list[str] = []
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process has made; call it once their results are written.
+    Returns how many there were."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

@@ -140,14 +140,21 @@ class Bronze:
         e = self.t.events
         return e.select([c.alias(n) for n, c in order_columns(customer_buckets).items()])
 
-    def order_messages(self, customer_buckets: int | None = None) -> DataFrame:
+    def order_messages(self, customer_buckets: int | None = None, bad_rows: bool = False) -> DataFrame:
         """The order stream as the topic carries it: one JSON text per order.
 
         Each event becomes one order with one item. ``customer_buckets`` folds
         users into that many customers (a denser stream per customer).
+        ``bad_rows`` makes some orders bad or larger by rule: every 97th has an
+        unreadable time, every 53rd no state, every 31st no items; of the rest
+        every 10th has two items and every 20th three, the later ones without
+        freight.
         """
         e = self.t.events
-        return e.select(F.to_json(order_struct(e, customer_buckets)).alias("value"))
+        cols = order_columns(customer_buckets)
+        if bad_rows:
+            cols = with_bad_rows(cols)
+        return e.select(F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()])).alias("value"))
 
 
 def order_columns(customer_buckets: int | None = None) -> dict[str, Column]:
@@ -188,6 +195,21 @@ def order_columns(customer_buckets: int | None = None) -> dict[str, Column]:
     }
 
 
+def with_bad_rows(cols: dict[str, Column]) -> dict[str, Column]:
+    """The order-message fields with bad and larger orders by event id (see ``order_messages``)."""
+    def every(n):
+        return F.col("event_id") % n == 0
+    item = F.get(cols["items"], 0)
+    more = [item.withField("order_item_id", F.lit(k).cast("int")).withField("price", item["price"] + (k - 1))
+                .withField("freight_value", F.lit(None).cast("double")) for k in (2, 3)]
+    return cols | {
+        "order_purchase_timestamp": F.when(every(97), "no time").otherwise(cols["order_purchase_timestamp"]),
+        "customer_state": F.when(~every(53), cols["customer_state"]),
+        "items": F.when(every(31), F.slice(cols["items"], 1, 0)).when(every(20), F.array(item, *more))
+                  .when(every(10), F.array(item, more[0])).otherwise(cols["items"]),
+    }
+
+
 def order_struct(e: DataFrame, customer_buckets: int | None = None) -> Column:
     """The declared order-message struct built from one ``events`` row."""
     return F.struct(*[c.alias(n) for n, c in order_columns(customer_buckets).items()])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storelake import schemas
 
@@ -13,50 +14,23 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
-# Fact and event tables (the ones whose size grows with the data), with the
-# leading key each is spread on when it arrives under-split.
-FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
 class Tables:
     """Lazy Parquet readers for the driver's test tables in ``root``.
 
     Each attribute is a plain ``spark.read.parquet`` -- Catalyst prunes the
     columns and pushes the filters of whatever query uses it into the scan.
-
-    A fact table stored as fewer splits than the cluster has cores (one
-    file with a single row group, say) would run everything before its first
-    shuffle in that many tasks; such a scan is hash-spread on its leading key
-    over ``min_splits`` partitions first (no sort, unlike round-robin, and
-    the order tables come out co-partitioned on the order key). The check is
-    made at planning time from the scan's split count; with many input files
-    it never fires.
     """
 
-    def __init__(self, spark: SparkSession, root: str, min_splits: int | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        if min_splits is None:
-            try:
-                min_splits = spark.sparkContext.defaultParallelism
-            except Exception:       # Spark Connect: leave the scans as they are
-                min_splits = 1
-        self.min_splits = min_splits
         self._frames: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
         """The table as a lazy DataFrame (one reader per table and instance:
         DataFrames are immutable, so every query may share it)."""
         if name not in self._frames:
-            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-            if name in FACT_TABLES and self.min_splits > 1:
-                try:
-                    splits = df.rdd.getNumPartitions()
-                except Exception:   # Spark Connect has no RDD view
-                    splits = self.min_splits
-                if splits < self.min_splits:
-                    df = df.repartition(self.min_splits, FACT_TABLES[name])
-            self._frames[name] = df
+            self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -83,15 +57,46 @@ def tables(spark: SparkSession, root: str) -> Tables:
     return t
 
 
-def read_bronze(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read one headered bronze CSV with its declared schema.
+def _raw_bronze(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A headered CSV as text columns named by its header (no inference pass)."""
+    raw = spark.read.option("header", True).csv(f"{root.rstrip('/')}/{name}")
+    missing = [c for c in schemas.BRONZE[name].names if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{name}: the extract has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    return raw
+
+
+def _typed(f, ids: str):
+    from pyspark.sql.types import StringType
+    return StringType() if ids == "string" and f.name.endswith("_id") and f.name != "order_item_id" else f.dataType
+
 
-    Declaring the schema avoids the extra inference pass and keeps ids typed
-    as declared; malformed fields become null (PERMISSIVE).
+def read_bronze(spark: SparkSession, root: str, name: str, ids: str = "string") -> DataFrame:
+    """Read one headered bronze CSV (S1): declared columns by header name, in
+    declared order; further columns are ignored and a missing one fails.
+
+    ``ids`` is the type of the key columns: ``"string"`` as in raw extracts, or
+    ``"declared"`` for the numeric keys of the test tables. Fields that don't
+    fit their type become null; :func:`bronze_cast_failures` counts them.
     """
-    return (spark.read.schema(schemas.BRONZE[name])
-            .option("header", True).option("mode", "PERMISSIVE")
-            .csv(f"{root.rstrip('/')}/{name}"))
+    raw = _raw_bronze(spark, root, name)
+    return raw.select([F.col(f"`{f.name}`").try_cast(_typed(f, ids)).alias(f.name)
+                       for f in schemas.BRONZE[name].fields])
+
+
+def bronze_cast_failures(spark: SparkSession, root: str, name: str, ids: str = "string") -> DataFrame:
+    """Per declared column the number of non-empty fields that don't fit its type."""
+    raw = _raw_bronze(spark, root, name)
+    bad = {f.name: F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(_typed(f, ids)).isNull())
+           for f in schemas.BRONZE[name].fields}
+    row = raw.agg(*[c.alias(n) for n, c in bad.items()])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("failed"))
+                                          for n in bad])).alias("c")).select("c.*")
+
+
+def read_geolocation(spark: SparkSession, root: str) -> DataFrame:
+    """The geolocation extract, passed through as it is (text columns by header)."""
+    return spark.read.option("header", True).csv(f"{root.rstrip('/')}/geolocation")
 
 
 def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:

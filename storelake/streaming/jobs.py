@@ -47,6 +47,10 @@ def start_alerts(raw: DataFrame, out_path: str, checkpoint: str,
                  trigger: str | None = "10 seconds", cfg: RuleConfig = DEFAULT_RULES) -> StreamingQuery:
     """Append alerts to a Parquet table.
 
+    A micro-batch holds all its rows of a customer in one state call, so bound
+    it at the source after a backlog: ``maxOffsetsPerTrigger`` for a topic,
+    ``maxFilesPerTrigger`` for files.
+
     Each micro-batch reports its alert count per rule type as observed
     metrics (A13): ``query.lastProgress["observedMetrics"]["batch_alerts"]``.
     """
@@ -91,54 +95,52 @@ def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | No
     return read_order_stream(spark, "text", path=path, **opts)
 
 
-def stage_order_files(spark: SparkSession, events: DataFrame, path: str, files: int = 4,
-                      customer_buckets: int | None = None) -> None:
-    """Write the order messages of ``events`` as ``files`` text files in
-    arrival (event id) order, one append per file so each file is newer than
-    the previous one -- the file source then replays them in arrival order.
-    Every event is written exactly once."""
+def replay(spark: SparkSession, events: DataFrame, path: str, start, steps: int = 4,
+           customer_buckets: int | None = None) -> None:
+    """Feed ``events`` to a streaming query in ``steps`` arrivals, in event id order.
+
+    Each step writes its messages to ``path`` (range-partitioned, one file a task) and
+    runs ``start(stream)`` until it has taken them; the query's checkpoint carries the
+    state from step to step. Every event is written exactly once."""
     from pyspark.sql import functions as F
     from storelake.sources.bindings import order_struct
-    import time
     lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
     if lo is None:
         return
     span = hi - lo + 1
-    for i in range(files):
-        a, b = lo + span * i // files, lo + span * (i + 1) // files
-        part = events.filter((F.col("event_id") >= a) & (F.col("event_id") < b))
+    for i in range(steps):
+        a, b = lo + span * i // steps, lo + span * (i + 1) // steps
+        part = events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)).repartitionByRange("event_id")
         (part.select(F.to_json(order_struct(part, customer_buckets)).alias("value"))
-             .coalesce(1).write.mode("append").text(path))
-        time.sleep(1.05)   # distinct modification times (1 s resolution on some file systems)
+             .write.mode("append").text(path))
+        start(read_text_stream(spark, path)).awaitTermination()
+
 
+def daily_totals_stream(raw: DataFrame, dedupe_within: str | None = None) -> DataFrame:
+    """Running day totals as a streaming aggregate (T9), in update mode.
 
-def daily_totals_stream(raw: DataFrame, watermark: str = "7 days",
-                        dedupe: bool = False) -> DataFrame:
-    """Running day totals as a bounded streaming aggregate.
+    Keyed by the order's own date; the state is one row per day, so it needs no
+    watermark, and an order counts however late it comes.
 
-    Keyed by the order's event date through a 1-day tumbling window; the
-    watermark lets Spark drop the state of days older than ``watermark``
-    (orders arriving later than that are not counted -- choose it generously).
-    ``dedupe`` drops redelivered order items within the watermark.
+    ``dedupe_within`` drops redelivered order items that come within that time
+    of the first delivery. This needs a watermark, by which Spark forgets old
+    items: orders later than it are then not counted.
     """
     from pyspark.sql import functions as F
     from storelake.functions.numeric import money
-    facts = (stream_fact_rows(parse_orders(raw))
-             .withColumn("event_ts", F.col("order_purchase_timestamp").cast("timestamp"))
-             .filter(F.col("event_ts").isNotNull())
-             .withWatermark("event_ts", watermark))
-    if dedupe:
-        facts = facts.dropDuplicatesWithinWatermark(["order_id", "order_item_id"])
-    return (facts.groupBy(F.window("event_ts", "1 day").alias("w"))
-            .agg(F.count(F.lit(1)).cast("int").alias("orders"),
-                 F.sum(money("price") + money("freight_value")).alias("revenue"))
-            .select(F.to_date(F.col("w.start")).alias("metric_date"), "orders",
-                    F.col("revenue").cast("decimal(14,2)").cast("double").alias("revenue")))
+    facts = stream_fact_rows(parse_orders(raw)).filter(F.col("order_purchase_timestamp").isNotNull())
+    if dedupe_within:
+        facts = (facts.withColumn("event_ts", F.col("order_purchase_timestamp").cast("timestamp"))
+                 .withWatermark("event_ts", dedupe_within)
+                 .dropDuplicatesWithinWatermark(["order_id", "order_item_id"]))
+    return (facts.groupBy(F.to_date("order_purchase_timestamp").alias("metric_date"))
+            .agg(F.count(F.lit(1)).alias("orders"),
+                 F.sum(money("price") + money("freight_value")).cast("decimal(28,2)").cast("double").alias("revenue")))
 
 
 def start_daily_totals(raw: DataFrame, table_path: str, checkpoint: str,
-                       trigger: str | None = "10 seconds", watermark: str = "7 days",
-                       dedupe: bool = False) -> StreamingQuery:
+                       trigger: str | None = "10 seconds",
+                       dedupe_within: str | None = None) -> StreamingQuery:
     """Upsert the changed days into a table partitioned by ``metric_date``:
     each micro-batch overwrites exactly the partitions of the days it updated
     (a keyed upsert; replaying a batch writes the same rows again)."""
@@ -146,6 +148,6 @@ def start_daily_totals(raw: DataFrame, table_path: str, checkpoint: str,
         (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("metric_date").parquet(table_path))
 
-    w = (daily_totals_stream(raw, watermark, dedupe).writeStream.outputMode("update")
+    w = (daily_totals_stream(raw, dedupe_within).writeStream.outputMode("update")
          .foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

@@ -7,6 +7,12 @@ last state and purchase time (geo_velocity), whether the customer was seen
 last time (velocity). A customer's rows in a micro-batch are processed in
 (purchase time, order id) order, vectorised with numpy; the state carries the
 sequence into the next micro-batch.
+
+Late rows (older than what an earlier micro-batch brought) never move the state
+back. Velocity: a row within the window before the session's last time counts in
+that session; an older one neither extends nor restarts it and raises nothing.
+geo_velocity: a late row is compared with the stored last order, and the rows
+after it with the newer of their predecessor and that order.
 """
 
 from __future__ import annotations
@@ -64,9 +70,9 @@ class CustomerRulesProcessor(StatefulProcessor):
         n = len(df)
 
         if self.state.exists():
-            last_state, last_ts, seen, count, _count_ts = self.state.get()
+            last_state, last_ts, seen, count, count_ts = self.state.get()
         else:
-            last_state, last_ts, seen, count = None, None, False, 0
+            last_state, last_ts, seen, count, count_ts = None, None, False, 0, None
 
         prev_state = np.empty(n, dtype=object)
         prev_state[0] = last_state
@@ -74,6 +80,9 @@ class CustomerRulesProcessor(StatefulProcessor):
         prev_ts = np.empty(n, dtype=float)
         prev_ts[0] = np.nan if last_ts is None else float(last_ts)
         prev_ts[1:] = ts[:-1]
+        if last_ts is not None:
+            older = prev_ts < last_ts                        # the stored order is newer than the predecessor
+            prev_state[older], prev_ts[older] = last_state, float(last_ts)
         gap = ts - prev_ts                                   # nan where no previous order
 
         out = []
@@ -99,16 +108,25 @@ class CustomerRulesProcessor(StatefulProcessor):
                             f"First order {_whole(t0)} exceeds {cfg.first_order_high_value:g}",
                             detected[0]))
 
-        # velocity: sessions split where the gap reaches the window
-        starts = np.isnan(gap) | (gap >= cfg.velocity_window_seconds)
-        session = np.cumsum(starts)
-        pos = np.arange(n) - np.searchsorted(session, session, side="left") + 1
-        carried = (session == 0)                             # continues the stored session
-        counts = np.where(carried, pos + count, pos)
-        for i in np.nonzero(counts > cfg.velocity_limit)[0]:
-            out.append((oids[i], "velocity", f"{int(counts[i])} orders in 1 hour", detected[i]))
-
-        self.state.update((states[-1], int(ts[-1]), True, int(counts[-1]), int(ts[-1])))
+        # velocity: sessions split where the gap reaches the window; rows too old for the session stay out
+        keep = np.arange(n) if count_ts is None else np.nonzero(ts > count_ts - cfg.velocity_window_seconds)[0]
+        if len(keep):
+            t = ts[keep]
+            before = np.concatenate([[np.nan if count_ts is None else float(count_ts)], t[:-1]])
+            if count_ts is not None:
+                before = np.maximum(before, float(count_ts))
+            starts = np.isnan(before) | (t - before >= cfg.velocity_window_seconds)
+            session = np.cumsum(starts)
+            pos = np.arange(len(t)) - np.searchsorted(session, session, side="left") + 1
+            counts = np.where(session == 0, pos + count, pos)    # session 0 continues the stored one
+            for i, c in zip(keep, counts):
+                if c > cfg.velocity_limit:
+                    out.append((oids[i], "velocity", f"{int(c)} orders in 1 hour", detected[i]))
+            count, count_ts = int(counts[-1]), int(t[-1]) if count_ts is None else max(int(t[-1]), count_ts)
+
+        if last_ts is None or ts[-1] >= last_ts:
+            last_state, last_ts = states[-1], int(ts[-1])
+        self.state.update((last_state, last_ts, True, count, count_ts))
         if out:
             res = pd.DataFrame(out, columns=["order_id", "type", "details", "detected_at"])
             res.insert(2, "score", ALERT_SCORE)

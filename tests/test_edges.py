@@ -181,7 +181,7 @@ def test_csv_bronze_roundtrip(spark, tmp_path):
     rows = [(1, 10, "d", T(2024, 1, 6, 10), None, T(2024, 1, 12))]
     df = bronze(spark, "orders", rows)
     df.write.option("header", True).csv(str(tmp_path / "orders"))
-    back = read_bronze(spark, str(tmp_path), "orders")
+    back = read_bronze(spark, str(tmp_path), "orders", ids="declared")
     assert back.schema == schemas.BRONZE["orders"]
     assert back.collect() == df.collect()
 
@@ -224,3 +224,78 @@ def test_fact_rows_equal_items_times_payment_rows(spark):
     expected = (items.join(pays, "order_id", "left")
                 .agg(F.sum(F.greatest(F.coalesce("count", F.lit(0)), F.lit(1)))).first()[0])
     assert silver.fact_order_items(b.order_items, b.orders, b.payments).count() == expected
+
+
+def test_bronze_read_by_header_name(spark, tmp_path):
+    """Reordered and further columns and text ids give the right fact; bad fields are counted."""
+    import pytest
+    from storelake.operators.silver import fact_order_items
+    from storelake.sources.tables import bronze_cast_failures, read_bronze, read_geolocation
+    def put(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(text)
+    put("orders", "order_id,order_approved_at,customer_id,order_status,order_delivered_carrier_date,"
+                  "order_estimated_delivery_date,order_delivered_customer_date,order_purchase_timestamp\n"
+                  "00e8a,2024-01-06 11:00:00,c9,delivered,2024-01-07 09:00:00,2024-01-20 00:00:00,"
+                  "2024-01-12 15:00:00,2024-01-06 10:30:00\n")
+    put("order_items", "freight_value,price,order_id,order_item_id,product_id,seller_id,shipping_limit_date\n"
+                       "8.5,19.9,00e8a,1,p1,s1,2024-01-09 10:00:00\nfree,29.9,00e8a,2,p2,s1,2024-01-09 10:00:00\n")
+    put("payments", "order_id,payment_type,payment_sequential,payment_installments,payment_value\n00e8a,card,1,3,58.3\n")
+    put("geolocation", "zip,lat,lng\n01000,-23.5,-46.6\n")
+    r = {n: read_bronze(spark, str(tmp_path), n) for n in ("orders", "order_items", "payments")}
+    rows = fact_order_items(r["order_items"], r["orders"], r["payments"]).orderBy("order_item_id").collect()
+    assert [(x.order_id, x.customer_id, x.product_id, x.price, x.freight_value, x.payment_value) for x in rows] == [
+        ("00e8a", "c9", "p1", 19.9, 8.5, 58.3), ("00e8a", "c9", "p2", 29.9, None, 58.3)]
+    assert rows[0].order_delivered_customer_date == dt.datetime(2024, 1, 12, 15)
+    assert rows[0].order_estimated_delivery_date == dt.datetime(2024, 1, 20)
+    failed = {x.column_name: x.failed for x in bronze_cast_failures(spark, str(tmp_path), "order_items").collect()}
+    assert failed["freight_value"] == 1 and sum(failed.values()) == 1
+    assert read_geolocation(spark, str(tmp_path)).columns == ["zip", "lat", "lng"]
+    put("sellers", "seller_id,seller_state\ns1,SP\n")
+    with pytest.raises(ValueError, match="seller_city"):
+        read_bronze(spark, str(tmp_path), "sellers")
+
+
+def test_totals_with_repeated_dimension_keys(spark):
+    """A seller listed twice counts its rows twice, as the row-level joins do."""
+    from storelake.operators import gold, silver
+    facts = silver.fact_order_items(
+        bronze(spark, "order_items", [(1, 1, 5, 7, 10.0, 1.0)]),
+        bronze(spark, "orders", [(1, 10, "d", T(2024, 1, 6, 10), T(2024, 1, 9), T(2024, 1, 12))]),
+        bronze(spark, "payments", [(1, 1, 2, 11.0)]))
+    products = bronze(spark, "products", [(5, "A", 100, 1, 1, 1, 1, 1, 1)])
+    customers, sellers = bronze(spark, "customers", [(10, "SP", "x")]), bronze(spark, "sellers", [(7, "SP", "y"), (7, "RJ", "z")])
+    rows = gold.ml_feature_store(facts, products, customers, sellers).collect()
+    assert [(r.total_items_in_order, r.total_order_value, r.total_payment) for r in rows] == [(2, 20.0, 22.0)] * 2
+
+
+def test_totals_are_never_too_large(spark):
+    from storelake.operators.stream_facts import accumulate, batch_increments, daily_metrics, kv_to_daily
+    day = spark.range(200).select(F.lit("o").alias("order_id"), F.lit(T(2024, 1, 6)).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+                                  F.lit(5e11).alias("price"), F.lit(0.0).alias("freight_value"))
+    assert daily_metrics(day).first().revenue == 1e14
+    kv = accumulate(batch_increments(day.withColumn("batch_id", F.lit(1))))
+    many = kv.withColumn("value", F.when(F.col("key").startswith("orders"), F.lit(3_000_000_000).cast("decimal(38,2)")).otherwise(F.col("value")))
+    assert kv_to_daily(many).first().orders == 3_000_000_000 and kv_to_daily(many).first().revenue == 1e14
+
+
+def test_reload_keeps_records_that_lack_fields(spark):
+    raw = spark.createDataFrame([('{"order_id":"1","score":1.0,"detected_at":"2024-01-02 10:00:00"}',), ("[1", ), ("no",), (None,)],
+                                "value string")
+    assert [(r.order_id, r.type) for r in serving.reload_anomalies(raw).collect()] == [("1", None)]
+
+
+def test_upsert_replaces_stale_days(spark):
+    base = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    new = spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int")
+    assert sorted(tuple(r) for r in sinks.upsert(base, new, ["k"]).collect()) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    import os
+    from storelake import session
+    kept, session._SCRATCH[:] = session._SCRATCH[:], []
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path) and session.clear_scratch(spark) == 1 and not os.path.isdir(path)
+    session._SCRATCH[:] = kept

@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from storelake.plans.oracle_sql import SQL
+from storelake.plans.registry import QUERIES
 
 SLOW = {"shipment_delay_predictions", "pricing_recommendations",
         "stream_order_alerts", "stream_daily_metrics"}
-NAMES = sorted(n for n in E.oracle_sql() if n not in SLOW)
+NAMES = sorted(n for n in SQL if n not in SLOW)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +28,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_known():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(SQL)
     assert missing <= {"basket_rules_all_antecedents", "shipment_delay_predictions",
                        "pricing_recommendations", "forecast_weekly_demand_seasonal",
                        "forecast_evaluation_seasonal"}

@@ -68,3 +68,19 @@ def test_broadcast_only_after_size_check(spark):
     big = broadcast_if_small(spark.range(1000), max_rows=100)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+
+
+
+def test_one_item_scan_and_no_payments_where_not_needed(spark):
+    ml = optimized(QUERIES["ml_feature_store_v2"](spark, SF_SMALL))
+    assert ml.count("l_orderkey") > 0 and ml.count("Relation [l_orderkey") == 1
+    from storelake.operators import gold
+    from storelake.plans.registry import _silver
+    s = _silver(spark, SF_SMALL)
+    sales = optimized(gold.daily_sales_by_category(s.lines, s.products))
+    assert "payment" not in sales and "o_totalprice" not in sales.split("Relation")[0]
+
+
+def test_scans_are_left_as_they_are(spark):
+    from storelake.sources.tables import Tables
+    assert "Repartition" not in optimized(Tables(spark, SF_SMALL).lineitem)

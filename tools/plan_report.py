@@ -53,7 +53,7 @@ def main() -> None:
     spark = get_session("local[8]", 200, extra={
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    tables._SHARED[(id(spark), a.sf.rstrip("/"))] = tables.Tables(spark, a.sf, min_splits=1)
+    tables._SHARED[(id(spark), a.sf.rstrip("/"))] = tables.Tables(spark, a.sf)
     import __spark_entry__ as E
     cols = ["shuffle stages", "reused", "shuffle keys", "broadcasts", "smj", "windows", "scans pushed", "python"]
     print("| query | " + " | ".join(cols) + " |")
