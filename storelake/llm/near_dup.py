@@ -249,7 +249,8 @@ def classes(docs: DataFrame) -> DataFrame:
                                       F.count("*").alias("n")).filter("n > 1").drop("n")
     members = stored(buckets.join(hubs, "key"), "buckets")
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(multisets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")), "multisets")
+    # the ids grow with the corpus: a merge join at every size
+    sets = stored(multisets(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")), "multisets")
     sigs = reps.select("rep", "sig")
     links = stored(_verified(members.filter("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")),
                              sets), "links")
@@ -271,4 +272,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without those that another document of their group stands for, columns as before."""
     gone = classes(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti").select(*names)
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["_gone"], "left_anti").select(*names)
