@@ -50,9 +50,15 @@ _NO_ID = -(1 << 63)
 # tokenizing
 
 class ChunkTokenizer:
-    """The public tokenizer behind a bounded memory of chunks. Its pieces never span white space,
-    so chunks between blanks are encoded separately. A Latin-1 chunk that ends in a letter or digit
-    and one mark falls into these two pieces, in any case of its letters."""
+    """The public tokenizer behind a bounded memory of chunks.
+
+    Its pieces never span white space, so chunks between blanks are encoded separately. It lower-cases
+    letter by letter, so texts of Latin-1 characters, where that changes no other character, are
+    lower-cased first and share their chunks. A Latin-1 chunk that ends in a letter or digit and one
+    mark falls into these two pieces.
+    """
+
+    MARKS = frozenset(".,;:!?")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -62,32 +68,34 @@ class ChunkTokenizer:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.cache: dict[str, bytes] = {}
 
-    def _raw(self, chunks: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _marked(self, chunk: str) -> bool:
+        return chunk[-1:] in self.MARKS and chunk[-2:-1].isalnum() and (chunk.isascii() or max(chunk) < "\u0100")
 
     @staticmethod
-    def _parts(chunk: str) -> list[str]:
-        if not chunk.isascii() and max(chunk) > "\u00ff":
-            return [chunk]
-        low = chunk.lower()
-        return [low[:-1], low[-1]] if len(low) > 1 and low[-1] in ".,;:!?" and low[-2].isalnum() else [low]
+    def _folded(text: str) -> str:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*chunks).difference(cache))
-        parts = [self._parts(c) for c in new]
-        todo = list({p for ps in parts for p in ps}.difference(cache))
-        known = dict(zip(todo, self._raw(todo)))
-        cache.update((p, x) for p, x in known.items() if len(p) <= CACHE_CHARS)
-        passing = {}
-        for c, ps in zip(new, parts):
-            (cache if len(c) <= CACHE_CHARS else passing)[c] = b"".join([known[p] if p in known else cache[p] for p in ps])
-        if passing:
-            return [b"".join([cache[c] if c in cache else passing[c] for c in cs]) for cs in chunks]
-        return [b"".join(map(cache.__getitem__, cs)) for cs in chunks]
+        chunks = [self._folded(t).replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*chunks).difference(cache)
+        marked = [c for c in new if self._marked(c)]
+        todo = list(new.difference(marked).union(c[:-1] for c in marked).union(c[-1] for c in marked).difference(cache))
+        for c, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False)):
+            cache[c] = array(self.code, e.ids).tobytes()
+        for c in marked:
+            cache[c] = cache[c[:-1]] + cache[c[-1]]
+        out = [b"".join(map(cache.__getitem__, cs)) for cs in chunks]
+        for c in new.union(todo):
+            if len(c) > CACHE_CHARS:
+                del cache[c]
+        return out
 
 
 @functools.cache
