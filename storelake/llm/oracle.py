@@ -19,3 +19,52 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+def _pii_kind(rank: int, kind: str, pattern: str, near: str, prior: float, valid: str) -> str:
+    """Confirmed spans of one kind; the pieces between the matches give their places."""
+    return rf"""
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, start, start + length(m) AS stop,
+       least(1.0, {prior} + CASE WHEN regexp_matches(right(piece, 40), '(?i)(?:{near})') THEN 0.4 ELSE 0.0 END) AS score
+FROM (SELECT doc_id, found[i] AS m, pieces[i] AS piece,
+             CAST(list_sum([length(x) for x in pieces[:i]]) + coalesce(list_sum([length(x) for x in found[:i - 1]]), 0)
+                  AS BIGINT) AS start
+      FROM (SELECT doc_id, pieces, found, unnest(range(1, len(found) + 1)) AS i
+            FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS pieces, regexp_extract_all(t, '{pattern}') AS found
+                  FROM d)))
+WHERE {valid}"""
+
+
+# RE2 has no look-behind: plain forms of the base expressions, word boundaries for the further kinds
+_LUHN = """list_sum([CASE WHEN (length(g) - k) % 2 = 0 THEN CAST(g[k] AS INTEGER)
+                          WHEN CAST(g[k] AS INTEGER) > 4 THEN 2 * CAST(g[k] AS INTEGER) - 9
+                          ELSE 2 * CAST(g[k] AS INTEGER) END for k in range(1, length(g) + 1)]) % 10 = 0"""
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_IBAN = """list_reduce([0] || [CASE WHEN ch BETWEEN 'A' AND 'Z' THEN ascii(ch) - 55 ELSE CAST(ch AS INTEGER) END
+                               for ch in string_split(replace(m, ' ', '')[5:] || m[1:4], '')],
+                       lambda a, x: (CASE WHEN x > 9 THEN a * 100 ELSE a * 10 END + x) % 97) = 1"""
+
+SQL["op1_pii"] = "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), spans AS (" + " UNION ALL ".join([
+    _pii_kind(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "mail|contact|write|reply|e-mail", 0.9, "true"),
+    _pii_kind(1, "ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "ip|address|host|server|login|client", 0.6,
+              "list_max([CAST(x AS HUGEINT) for x in string_split(m, '.')]) <= 255"),
+    _pii_kind(2, "card", "[0-9](?:[ -]?[0-9])+", "card|visa|master|amex|credit|debit|payment|pay", 0.8,
+              f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN.replace('g[', _DIGITS + '[').replace('length(g)', f'length({_DIGITS})')}"),
+    _pii_kind(3, "phone", r"\+[0-9][ ().0-9-]+[0-9]", "phone|tel|call|mobile|cell|fax|dial", 0.6,
+              f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    _pii_kind(4, "iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b", "iban|bank|account|transfer|konto|cuenta|compte", 0.9, _IBAN),
+    _pii_kind(5, "ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "ssn|social|security|taxpayer", 0.3,
+              "NOT regexp_matches(m, '^(?:000|666|9)|-00-|-0000$') "
+              "AND regexp_matches(right(piece, 40), '(?i)(?:ssn|social|security|taxpayer)')"),
+]) + """),
+own AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip,
+         count(*) FILTER (rank = 2) AS n_card, count(*) FILTER (rank = 3) AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+         string_agg(printf('%.1f', score), ',' ORDER BY start, rank) AS scores
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(scores, '') AS scores
+FROM d LEFT JOIN own USING (doc_id)"""
