@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from storelake.llm.common import grouped
 
 MAX_WIDTH = 256
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 48            # longer chunks are not remembered
 
 _NONE = np.int32(2**31 - 1)
@@ -166,7 +166,7 @@ class ByteBPE:
             else:
                 buckets.setdefault(max(2, 1 << (len(p) - 1).bit_length()), []).append(i)
         for width, rows in buckets.items():
-            step = max(1, 4_000_000 // width)
+            step = max(1, 1_000_000 // width)
             for k in range(0, len(rows), step):
                 part = rows[k:k + step]
                 for i, ids in zip(part, self._matrix([pieces[r] for r in part], width)):

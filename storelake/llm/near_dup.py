@@ -46,7 +46,7 @@ K = ROWS * BANDS
 DARTS = K * (math.log(K) + 2)       # darts after which nearly all coordinates are taken
 BLOCK = 256                         # members of a bucket compared at once
 ESTIMATE = 0.65                     # signature agreement that makes a candidate; 0.8 has a deviation of 0.04
-WORD_CACHE = 1_000_000
+WORD_CACHE = 200_000
 
 _U = np.uint64
 
