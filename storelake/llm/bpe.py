@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from storelake.llm.common import grouped
 
 MAX_WIDTH = 256
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 48            # longer chunks are not remembered
 
 _NONE = np.int32(2**31 - 1)

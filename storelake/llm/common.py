@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from storelake.session import checkpoint_root, scratch_path
 
-BATCH_CHARS = 3_000_000     # texts handled together in a task
+BATCH_CHARS = 2_000_000     # texts handled together in a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

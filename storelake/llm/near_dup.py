@@ -44,9 +44,9 @@ SIMILARITY = 0.8
 ROWS, BANDS = 5, 20
 K = ROWS * BANDS
 DARTS = K * (math.log(K) + 2)       # darts after which nearly all coordinates are taken
-BLOCK = 256                         # members of a bucket compared at once
+BLOCK = 1024                        # members of a bucket compared at once
 ESTIMATE = 0.65                     # signature agreement that makes a candidate; 0.8 has a deviation of 0.04
-WORD_CACHE = 200_000
+WORD_CACHE = 100_000
 
 _U = np.uint64
 
@@ -221,7 +221,8 @@ def _rest_candidates(members: DataFrame, labels: DataFrame, sigs: DataFrame) ->
     def best(batches):
         for b in batches:
             out = set()
-            for mine, theirs in zip(b.column("mine").to_pylist(), b.column("theirs").to_pylist()):
+            for k in range(b.num_rows):     # one block pair as Python objects at a time
+                mine, theirs = b.column("mine")[k].as_py(), b.column("theirs")[k].as_py()
                 ids = [np.array([x["rep"] for x in side]) for side in (mine, theirs)]
                 sig = [np.array([np.frombuffer(x["sig"], np.uint32) for x in side]) for side in (mine, theirs)]
                 for i, s in zip(ids[0], sig[0]):
