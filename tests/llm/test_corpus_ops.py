@@ -307,6 +307,20 @@ def test_quality_odd_rows(spark):
     assert quality.keep_good(d, labels.limit(0)).count() == 65
 
 
+def test_junk_goes_in_small_languages_and_short_classes(spark):
+    """No class is too small to judge: junk goes in a language, and in a shortest class, with few trusted texts."""
+    rows = [(k, prose(k, 80), "en") for k in range(60)] + [(100 + k, prose(100 + k, 5), "en") for k in range(10)]
+    rows += [(200 + k, prose(200 + k, 80), "xx") for k in range(10)]
+    junk = [(300, "#$%& " * 80, "xx"), (301, "#$%&*" * 6, "en"), (302, "#$%& " * 80, "none"), (303, "#$%& " * 4000, "en")]
+    d = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    scored = quality.score_documents(d, labels)
+    kept = {r["doc_id"]: r["kept"] for r in scored.collect()}
+    assert not any(kept[i] for i, _, _ in junk) and all(kept[i] for i, _, _ in rows)
+    found = quality.bands(scored, labels)
+    assert all(np.isfinite(high) for band in found.values() for _, _, high in band)
+
+
 # pipeline
 
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
