@@ -15,7 +15,9 @@ Linking, without all pairs of a group:
    compared with the bucket's smallest id, and then with a second member picked by hash, unless the
    links found so far join them;
 3. members that are still apart from the bucket's hub are compared with all members by their
-   signatures, block by block inside numpy; the best partner in each block becomes a candidate.
+   signatures, block by block inside numpy; the best partner in each block that is of another
+   component becomes a candidate. This repeats, without the pairs that failed and with more partners
+   a round, until no pair of different components is above ``ESTIMATE`` untested.
 
 Every candidate pair is verified on the exact multisets. At similarity 0.8 the bands miss a pair with
 probability (1 - 0.8 ** 5) ** 20 = 0.0004, at 0.9 with 1e-8.
@@ -206,36 +208,57 @@ def _apart(members: DataFrame, labels: DataFrame, hub: str) -> DataFrame:
     return joined.filter(F.coalesce("_own", "rep") != F.coalesce("_its", hub)).drop("_own", "_its")
 
 
-def _rest_candidates(members: DataFrame, labels: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of members still apart from their bucket's hub with their best partners in the bucket,
-    by signature, a block of members against a block of members at a time."""
+def _rest_candidates(members: DataFrame, labels: DataFrame, sigs: DataFrame, failed: DataFrame, most: int) -> DataFrame:
+    """Pairs of members still apart from their bucket's hub with their best ``most`` partners of other
+    components that didn't fail before, by signature, a block of members against a block of members at a time."""
     apart = stored(_apart(members, labels, "hub").select("key", "rep"), "apart")
     others = members.join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep")
     sized = others.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-
-    def blocks(rows: DataFrame, side: str) -> DataFrame:
-        b = rows.join(sized, "key").join(sigs, "rep")
+    known = sigs.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left") \
+                .select("rep", "sig", F.coalesce("component", "rep").alias("component"))
+    tried = failed.select(F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("other")),
+                                            F.struct(F.col("b").alias("rep"), F.col("a").alias("other")))).alias("p")) \
+                  .select("p.*").groupBy("rep").agg(F.collect_list("other").alias("tried"))
+
+    def blocks(rows: DataFrame, side: str, *more: str) -> DataFrame:
+        b = rows.join(sized, "key")
         block = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int").alias(f"{side}_block")
-        return b.groupBy("key", block).agg(F.collect_list(F.struct("rep", "sig")).alias(side))
+        return b.groupBy("key", block).agg(F.collect_list(F.struct("rep", "sig", "component", *more)).alias(side))
 
     def best(batches):
         for b in batches:
-            out = set()
             for k in range(b.num_rows):     # one block pair as Python objects at a time
                 mine, theirs = b.column("mine")[k].as_py(), b.column("theirs")[k].as_py()
-                ids = [np.array([x["rep"] for x in side]) for side in (mine, theirs)]
-                sig = [np.array([np.frombuffer(x["sig"], np.uint32) for x in side]) for side in (mine, theirs)]
-                for i, s in zip(ids[0], sig[0]):
-                    same = (sig[1] == s).mean(1)
-                    same[ids[1] == i] = 0
-                    j = int(same.argmax())
-                    if same[j] >= ESTIMATE:
-                        out.add((int(min(i, ids[1][j])), int(max(i, ids[1][j]))))
-            cols = list(zip(*out)) if out else [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], ["a", "b"])
-
-    both = blocks(apart, "mine").join(blocks(others, "theirs"), "key").select("mine", "theirs")
-    return both.mapInArrow(best, "a long, b long")
+                ids, parts = (np.array([x[c] for x in theirs], np.int64) for c in ("rep", "component"))
+                sig = np.array([np.frombuffer(x["sig"], np.uint32) for x in theirs])
+                left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for x in mine:
+                    other = np.flatnonzero(parts != x["component"])
+                    same = (sig[other] == np.frombuffer(x["sig"], np.uint32)).mean(1)
+                    ok = same >= ESTIMATE
+                    if x["tried"]:
+                        ok &= ~np.isin(ids[other], x["tried"])
+                    got = ids[other[ok]][np.argsort(-same[ok], kind="stable")[:most]]
+                    left.append(np.minimum(got, x["rep"])), right.append(np.maximum(got, x["rep"]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (left, right)], ["a", "b"])
+
+    mine = blocks(apart.join(known, "rep").join(tried, "rep", "left"), "mine", "tried")
+    both = mine.join(blocks(others.join(known, "rep"), "theirs"), "key").select("mine", "theirs")
+    return both.mapInArrow(best, "a long, b long").distinct()
+
+
+def _rest_links(links: DataFrame, labels: DataFrame, members: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Labels after all candidates between components are tested: rounds until none is left. Each round
+    allows twice the partners of the one before, so that failures don't make as many rounds as partners."""
+    failed, most = links.limit(0), 1
+    while True:
+        found = stored(_rest_candidates(members, labels, sigs, failed, most), "candidates")
+        if found.isEmpty():
+            return labels
+        new = stored(_verified(found, sets), "links")
+        failed = failed.unionAll(found.join(new, ["a", "b"], "left_anti"))
+        links = links.unionAll(new)
+        labels, most = components(links), 2 * most
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -258,9 +281,8 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = components(links)
     again = _apart(members.filter("rep != second"), labels, "second")
     links = links.unionAll(stored(_verified(again.select(F.col("rep").alias("a"), F.col("second").alias("b")), sets), "links"))
-    labels = components(links)
-    links = links.unionAll(stored(_verified(_rest_candidates(members, labels, sigs), sets), "links"))
-    labels = components(links).select(F.col("node").alias("rep"), "component")
+    labels = _rest_links(links, components(links), members, sigs, sets) \
+        .select(F.col("node").alias("rep"), "component")
     named = reps.select(*same, "rep").join(labels, "rep", "left") \
                 .select(*same, F.coalesce("component", "rep").alias("class_id"))
     out = signed.select("doc_id", *same).join(named, same, "left") \

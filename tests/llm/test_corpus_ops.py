@@ -124,6 +124,57 @@ def test_near_copies_equal_brute_force(spark):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
 
 
+def test_drifted_chain_equals_brute_force(spark, monkeypatch):
+    """Copies that drift word by word, in buckets larger than a block: a best partner is often linked already."""
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = random.Random(11)
+    texts = []
+    for chain in range(4):
+        ws = prose(500 + chain, 120).split()
+        for k in range(60):
+            ws[rng.randrange(120)] = f"w{chain}x{k}"
+            ws[rng.randrange(120)] = f"v{chain}x{k}"
+            texts.append(" ".join(ws))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    want, links = brute_classes(rows)
+    assert links > 200
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.classes(frame(spark, rows)).collect()} == want
+
+
+def test_candidates_beyond_the_best_partner(spark, monkeypatch):
+    """Bridges whose best partner is in the own component, and true copies that a near miss outdoes by signature."""
+    def sig(*changed):
+        out = np.arange(100, dtype=np.uint32)
+        for k, at in enumerate(changed):
+            out[at] += 1000 * (k + 1)
+        return out.tobytes()
+
+    def elems(low, high):
+        return np.arange(low, high, dtype=np.uint32).tobytes()
+
+    signed, sets, want = [], [], {}
+    for g in range(20):
+        i = 100 * g
+        a, b, c = slice(0, 15), slice(15, 33), slice(33, 38)
+        # hub and copy of 0.85; two copies of 0.95; the first of them and the hub's copy 0.82
+        bridge = [(sig(a), elems(920, 1920)), (sig(), elems(1000, 2000)), (sig(slice(0, 0), b), elems(1099, 2099)),
+                  (sig(slice(0, 0), b, c), elems(1124, 2124))]
+        # a hub apart; m and t are copies, f looks nearer to both and is not
+        miss = [(sig(slice(0, 100)), elems(9000, 9100)), (sig(slice(0, 0), slice(0, 10)), elems(1000, 2000)),
+                (sig(), elems(5000, 6000)), (sig(slice(0, 0), slice(0, 0), slice(10, 20)), elems(1100, 2100))]
+        for base, group, classes in ((i, bridge, [0, 0, 0, 0]), (i + 50, miss, [0, 1, 2, 1])):
+            for k, (s, e) in enumerate(group):
+                signed.append((base + k, 1000, base + k, 1, [base], s))
+                sets.append((base + k, e))
+                want[base + k] = base + classes[k]
+    signed = spark.createDataFrame(signed, "doc_id long, weight long, h1 long, h2 long, bands array<long>, sig binary")
+    sets = spark.createDataFrame(sets, "id long, elems binary")
+    monkeypatch.setattr(near_dup, "sign", lambda docs: signed)
+    monkeypatch.setattr(near_dup, "multisets", lambda docs: sets)
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.classes(frame(spark, [(0, "")])).collect()} == want
+
+
 def test_near_copies_empty_null_and_columns(spark):
     d = frame(spark, [(None, "one two three four five six"), (None, "one two three four five six"),
                       (1, "one two three four five six"), (2, "one two three four five six"), (3, None)])
