@@ -54,7 +54,7 @@ class ChunkTokenizer:
 
     Its pieces never span white space, so chunks between blanks are encoded separately. It lower-cases
     letter by letter, so texts of Latin-1 characters, where that changes no other character, are
-    lower-cased first and share their chunks. A Latin-1 chunk that ends in a letter or digit and one
+    lower-cased first and share their chunks. Strings of added tokens have their own ids. A Latin-1 chunk that ends in a letter or digit and one
     mark falls into these two pieces.
     """
 
@@ -63,7 +63,7 @@ class ChunkTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.cache: dict[str, bytes] = {}
@@ -71,13 +71,14 @@ class ChunkTokenizer:
     def _marked(self, chunk: str) -> bool:
         return chunk[-1:] in self.MARKS and chunk[-2:-1].isalnum() and (chunk.isascii() or max(chunk) < "\u0100")
 
-    @staticmethod
-    def _folded(text: str) -> str:
+    def _folded(self, text: str) -> str:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return text
-        return text.lower()
+        low = text.lower()
+        # an added token counts as written, so one in capitals must not become one
+        return text if any(t in low and low.count(t) != text.count(t) for t in self.special) else low
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache

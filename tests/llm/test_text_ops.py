@@ -137,6 +137,18 @@ def test_store_round_trip(spark, small):
         start += len(ids)
 
 
+def test_added_tokens_equal_the_unmodified_library():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["one<|endoftext|>two <|startoftext|> three", "<|endoftext|>.", "a <|ENDOFTEXT|> b", "É<|EndOfText|>x<|endoftext|>a.",
+             "😀<|endoftext|>\tZ", "<|endoftext", "<|Other|> <|endoftext|>"]
+    got = token_store.ChunkTokenizer(path)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, got.dtype).tolist() for x in got.encode(texts)] == want
+    assert 49407 in want[0] and 49407 not in want[2]
+
+
 def test_store_repeated_and_missing_ids(spark):
     got = token_store.store_report(frame(spark, [(None, "x y"), (3, None), (3, "b c"), (3, "b c"), (-5, "")])).collect()
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"]) for r in got) == [
