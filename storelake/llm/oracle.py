@@ -68,3 +68,80 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
        coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
        coalesce(scores, '') AS scores
 FROM d LEFT JOIN own USING (doc_id)"""
+
+
+def _window_coverage(n: int, what: str) -> str:
+    """Words inside ``n``-word windows found twice or more (``all``) or seen before (``seen``) in their text."""
+    return f"""
+SELECT DISTINCT doc, place + unnest(range({n})) AS place FROM (
+  SELECT doc, place, count(*) OVER (PARTITION BY doc, win) AS times, row_number() OVER (PARTITION BY doc, win ORDER BY place) AS turn
+  FROM (SELECT doc, i AS place, list_slice(w, i, i + {n - 1}) AS win
+        FROM (SELECT doc, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n})))
+WHERE {"times > 1" if what == "all" else "turn > 1"}"""
+
+
+def _quality_rules() -> str:
+    top, seen, lines, symbols = {2: 20, 3: 18, 4: 16}, {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}, (30, 20), 10
+    parts = ["""
+t AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
+d AS (SELECT doc, doc_id, text, list_filter(string_split_regex(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w FROM t),
+wd AS (SELECT doc, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM d),
+ln AS (SELECT doc, line, length(regexp_replace(line, '[ \\t\\n\\v\\f\\r]', '', 'g')) AS chars, count(*) AS times
+       FROM (SELECT doc, unnest(string_split(text, chr(10))) AS line FROM t)
+       WHERE regexp_matches(line, '[^ \\t\\n\\v\\f\\r]') GROUP BY doc, line),
+lines AS (SELECT doc, sum(times) AS n_lines, sum(times - 1) AS n_dup_lines, sum((times - 1) * chars) AS dup_line_chars
+          FROM ln GROUP BY doc),
+repeated AS (SELECT doc, count(*) AS n FROM (""" + _window_coverage(3, "all") + """) GROUP BY doc)"""]
+    columns, joins = [], []
+    for n in top:
+        parts.append(f"""
+top_{n} AS (SELECT doc, max(chars) AS chars FROM (
+  SELECT doc, win, count(*) * length(list_reduce([''] || win, lambda a, b: a || b)) AS chars FROM (
+    SELECT doc, list_slice(w, i, i + {n - 1}) AS win
+    FROM (SELECT doc, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n}))
+  GROUP BY doc, win HAVING count(*) > 1) GROUP BY doc)""")
+        columns.append((f"top_{n}_chars", f"top_{n}.chars", top[n]))
+        joins.append(f"LEFT JOIN top_{n} USING (doc)")
+    for n in seen:
+        parts.append(f"""
+dup_{n} AS (SELECT c.doc, sum(length(word)) AS chars FROM ({_window_coverage(n, "seen")}) c JOIN wd ON c.doc = wd.doc AND c.place = wd.place
+            GROUP BY c.doc)""")
+        columns.append((f"dup_{n}_chars", f"dup_{n}.chars", seen[n]))
+        joins.append(f"LEFT JOIN dup_{n} USING (doc)")
+    over = " OR ".join(f"100 * {c} > {share} * word_chars" for c, _, share in columns)
+    return f"""
+WITH {",".join(parts)},
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ \\t\\n\\v\\f\\r]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(repeated.n, 0) AS n_repeat_words,
+         {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("n_lines", "n_dup_lines", "dup_line_chars"))},
+         {", ".join(f"CAST(coalesce({expr}, 0) AS BIGINT) AS {c}" for c, expr, _ in columns)}
+  FROM d LEFT JOIN lines USING (doc) LEFT JOIN repeated USING (doc) {" ".join(joins)}),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT (base_failed OR 100 * n_symbols > {symbols} * n_words OR 100 * n_dup_lines > {lines[0]} * n_lines
+               OR 100 * dup_line_chars > {lines[1]} * word_chars OR {over}) AS kept
+FROM v"""
+
+
+SQL["op11_quality_rules"] = _quality_rules()
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND NOT list_bool_or([x IS NULL OR NOT isfinite(x) for x in embedding])),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_sum([a.q[i] * r.q[i] for i in range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""

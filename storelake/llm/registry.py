@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from storelake.llm import bpe, decontaminate, embed_dup, html_text, licenses, line_dedup, near_dup, pii, quality, token_store
+from storelake.llm import (bpe, decontaminate, embed_dup, hard_negatives, html_text, licenses, line_dedup, near_dup, pii, quality,
+                           repetition, token_align, token_store)
 from storelake.llm.common import table
 
 QUERIES = {}
@@ -61,3 +62,18 @@ def op8_embed_dup(spark, sf_dir):
 @register
 def op9_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register
+def op11_quality_rules(spark, sf_dir):
+    return repetition.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_token_align(spark, sf_dir):
+    return token_align.alignment_report(table(spark, sf_dir, "documents"))
