@@ -21,21 +21,28 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import grouped, stored
+from storelake.session import scratch_path
 
 PIECE = 256                 # merged ends a piece walks
-BATCH_CHARS = 1_000_000     # texts aligned together
+BATCH_CHARS = 500_000       # texts aligned together
+CACHE_ENTRIES = 150_000     # chunks remembered, twice as many and a batch more at most
+CACHE_CHARS = 64            # longer chunks are not
+JOINED = 64                 # chunks encoded together
+CUT = re.compile(r"(?<=\S) (?!\Z)")
 BLOCK_PAIRS = 200_000       # pairs in a block's dictionary, one batch more at most
 PART = 4096                 # dictionary entries in a row
+ROW_GROUP = 16 << 20
 
 _FAR = np.int64(2**62)
 
@@ -94,6 +101,10 @@ class Tokenizers:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.by_chunk = _cuts_at_blanks(self.a, self.b)
+        # ids of both sides of chunks met lately, and of those met before them
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
         self.a_bytes = _byte_level(self.a)
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
@@ -110,17 +121,70 @@ class Tokenizers:
             return bytes([int(re.fullmatch("<0x(..)>", piece)[1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]):
-        """Ids of both sides for every text; none where a side's bytes don't join to blank + text."""
-        spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for k, t in enumerate(spaced):
-            raw = t.encode()
-            if (len(raw) == 1 or b"".join(map(self.a_bytes.__getitem__, a[k])) != raw
-                    or b"".join(map(self.b_bytes.__getitem__, b[k])) != raw):
-                a[k], b[k] = [], []
-        return a, b
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides for every text; none where a side's bytes don't join to blank + text.
+
+        Where both sides cut before a blank that follows no white space, texts are encoded by such chunks, and
+        chunks met before are remembered up to a bound; those that come again outlast the others."""
+        chunks = [CUT.split(t) for t in texts] if self.by_chunk else [[t] for t in texts]
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        known = self.known
+        asked = {c for parts in chunks for c in parts} - known.keys() - {""}
+        again = asked & self.older.keys()
+        known.update((c, self.older[c]) for c in again)
+        new = list(asked - again)
+        if self.by_chunk:
+            # chunks that end in white space may not stand before another
+            whole = [c for c in new if not c[-1].isspace()]
+            self._learn([whole[k:k + JOINED] for k in range(0, len(whole), JOINED)] + [[c] for c in new if c[-1].isspace()])
+        else:
+            self._learn([[c] for c in new])
+        out = ([], [])
+        for parts in chunks:
+            ids = [known[c] for c in parts] if parts != [""] else []
+            ids = [] if None in ids else ids
+            for side in (0, 1):
+                out[side].append(np.frombuffer(b"".join([x[side] for x in ids]), np.int32))
+        for c in new:
+            if len(c) > CACHE_CHARS:
+                del known[c]
+        return out
+
+    def _learn(self, groups: list[list[str]]) -> None:
+        """Encode chunks, those of a group joined by blanks, and remember the ids of each."""
+        texts, singly = [" ".join(g) for g in groups], []
+        for g, t, x, y in zip(groups, texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
+                              self.b.encode(texts, num_threads=1)):
+            raw, x = (" " + t).encode(), x.ids
+            if not b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y)):
+                if len(g) == 1:
+                    self.known[g[0]] = None
+                singly += [[c] for c in g if len(g) > 1]
+                continue
+            ends = np.cumsum([len(c.encode()) + 1 for c in g])
+            sides = []
+            for ids, length in ((x, self.a_len), (y, self.b_len)):
+                ids = np.array(ids, np.int32)
+                cut = [0, *(4 * (np.searchsorted(np.cumsum(length[ids]), ends) + 1)).tolist()]
+                data = ids.tobytes()
+                sides.append([data[s:e] for s, e in zip(cut, cut[1:])])
+            self.known.update(zip(g, zip(*sides)))
+        if singly:
+            self._learn(singly)
+
+
+def _cuts_at_blanks(a, b) -> bool:
+    """Whether no token of either side runs from a character that isn't white space over a blank: ``a`` cuts its
+    text by the byte-level expression before it merges, ``b`` has no such piece and changes no character."""
+    spec = json.loads(a.to_str())
+    pre = spec["pre_tokenizer"] or {}
+    plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and spec["truncation"] is None
+    pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
+    crossing = any(re.search("[^▁]▁", p) for p in pieces)
+    probe = "Ａ  ﬁ ½ Å e\u0301 \u00ad \u200b"
+    kept = "".join(b.id_to_piece(i) if not b.is_byte(i) else "" for i in b.encode("x  y z")) == "▁x▁▁y▁z" and b.normalize(probe) == "▁" + probe.replace(" ", "▁")
+    return bool(plain and kept and not crossing)
 
 
 def _byte_level(tok) -> list[bytes]:
@@ -154,8 +218,8 @@ class Aligned:
         a, b = tok.encode(texts)
         self.n_a = np.array([len(x) for x in a], np.int64)
         self.n_b = np.array([len(x) for x in b], np.int64)
-        self.a = np.array([x for ids in a for x in ids], np.int64)
-        self.b = np.array([x for ids in b for x in ids], np.int64)
+        self.a = np.concatenate([np.zeros(0, np.int32), *a]).astype(np.int64)
+        self.b = np.concatenate([np.zeros(0, np.int32), *b]).astype(np.int64)
         # texts end on both sides, so groups and overlaps never run from one into the next
         left, right, self.group_a, self.group_b = merge_ends(
             np.cumsum(tok.a_len[self.a]), np.cumsum(tok.b_len[self.b]), piece)
@@ -192,6 +256,19 @@ class Aligned:
         return key // span, key % span, times
 
 
+def _parts(batch: pa.RecordBatch):
+    """Slices of a batch with about ``BATCH_CHARS`` bytes of text, and their texts; only one slice is in Python's
+    strings at a time."""
+    length = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = length[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(length, before + BATCH_CHARS, side="right")))
+        part = batch.slice(at, to - at)
+        yield part, part.column("text").to_pylist()
+        at = to
+
+
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -204,19 +281,19 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
 
     def run(batches):
         tok = load(*where)
-        for batch in batches:
-            cols = [[] for _ in range(4)]
-            for part in grouped(batch.column("text").to_pylist(), BATCH_CHARS):
-                x = Aligned(tok, part)
-                for k in range(len(part)):
+        for whole in batches:
+            for batch, texts in _parts(whole):
+                cols = [[] for _ in range(4)]
+                x = Aligned(tok, texts)
+                for k in range(len(texts)):
                     sa = slice(x.from_a[k], x.from_a[k] + x.n_a[k])
                     sb = slice(x.from_b[k], x.from_b[k] + x.n_b[k])
                     first = x.group_a[sa.start] if x.n_a[k] else 0
                     for col, v in zip(cols, (x.a[sa], x.b[sb], x.group_a[sa] - first, x.group_b[sb] - first)):
                         col.append(v.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.list_(pa.int32())) for c in cols)],
-                ["doc_id", "a_ids", "b_ids", "group_a", "group_b"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), *(pa.array(c, pa.list_(pa.int32())) for c in cols)],
+                    ["doc_id", "a_ids", "b_ids", "group_a", "group_b"])
 
     return _documents(docs).mapInArrow(
         run, "doc_id long, a_ids array<int>, b_ids array<int>, group_a array<int>, group_b array<int>")
@@ -248,10 +325,9 @@ def _encode(docs: DataFrame, where: tuple[str, str]) -> DataFrame:
     def run(batches):
         tok = load(*where)
         block, known, docs_of = TaskContext.get().partitionId() << 32, {}, np.zeros(0, np.int64)
-        for batch in batches:
-            ids, at = batch.column("doc_id").to_pylist(), 0
-            for part in grouped(batch.column("text").to_pylist(), BATCH_CHARS):
-                x = Aligned(tok, part)
+        for whole in batches:
+            for batch, texts in _parts(whole):
+                x = Aligned(tok, texts)
                 text, code, times = x.pairs(len(tok.b_bytes))
                 distinct, inverse, n_docs = np.unique(code, return_inverse=True, return_counts=True)
                 place = np.array([known.setdefault(c, len(known)) for c in distinct.tolist()], np.int64)
@@ -259,12 +335,11 @@ def _encode(docs: DataFrame, where: tuple[str, str]) -> DataFrame:
                     docs_of = np.concatenate([docs_of, np.zeros(len(known) - len(docs_of), np.int64)])
                 docs_of[place] += n_docs
                 place, times = place[inverse].astype(np.uint32), times.astype(np.uint32)
-                cut = np.searchsorted(text, np.arange(len(part) + 1)).tolist()
-                yield _columns(len(part), block=[block] * len(part), doc_id=ids[at:at + len(part)], n_a=x.n_a, n_b=x.n_b,
+                cut = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+                yield _columns(len(texts), block=[block] * len(texts), doc_id=batch.column("doc_id"), n_a=x.n_a, n_b=x.n_b,
                                n_groups=x.n_groups, n_links=x.n_links, groups_sha256=x.digests(tok),
                                places=[place[s:e].tobytes() for s, e in zip(cut, cut[1:])],
                                times=[times[s:e].tobytes() for s, e in zip(cut, cut[1:])])
-                at += len(part)
                 if len(known) >= BLOCK_PAIRS:
                     yield entries(block, known, docs_of)
                     block, known, docs_of = block + 1, {}, np.zeros(0, np.int64)
@@ -278,7 +353,11 @@ def alignment_report(docs: DataFrame, a_path: str | None = None, b_path: str | N
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     where = vocabularies(a_path, b_path)
     n_b_ids = len(load(*where).b_bytes)
-    encoded = stored(_encode(docs, where), "aligned")
+    # small row groups: a task holds one of them while it writes
+    path = scratch_path(docs.sparkSession, "aligned")
+    written = _encode(docs, where)
+    written.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    encoded = docs.sparkSession.read.schema(written.schema).parquet(path)
     known = (encoded.filter(F.col("codes").isNotNull())
              .select("block", "first", F.posexplode(F.arrays_zip("codes", "docs")).alias("at", "e"))
              .select("block", (F.col("first") + F.col("at")).alias("place"), F.col("e.codes").alias("code"),
