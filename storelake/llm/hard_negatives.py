@@ -1,6 +1,6 @@
 """Hard-negative mining by Fagin's threshold algorithm (operator 12).
 
-Rows are packed into blocks of at most ``BLOCK`` vectors, anchors into blocks of at most ``ANCHORS``. A pair of blocks
+Rows are dealt to blocks of at most ``BLOCK`` vectors, anchors into blocks of at most ``ANCHORS``. A pair of blocks
 is one piece of work: the rows' block holds one sorted list per dimension, and an anchor reads the lists
 in step, from the large end where its component is positive and from the small end where it is
 negative. Every row met is scored at once by random access, as an exact integer. The threshold is the score
@@ -21,6 +21,7 @@ held at its limits. Further columns are ignored. An empty table, or one without
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -37,6 +38,7 @@ NEGATIVES = 10
 LOW, HIGH = 30, 90          # per cent of the positive's score between which negatives score
 BLOCK = 16_384              # rows of a block: a piece of work holds one, its lists, and one block of anchors
 ANCHORS = 8_192             # anchors of a block
+LEAST = 1_024               # a small table is not cut finer to fill the cluster
 TOGETHER = 8                # blocks of anchors that are broadcast at once
 FIRST_READ = 64             # places read from all lists at first; twice as many each time after
 
@@ -58,7 +60,12 @@ _PACKED = "block long, n int, dim int, ids binary, labels binary, data binary"
 
 
 def _pack(rows: DataFrame, most: int, name: str) -> DataFrame:
-    """Rows in blocks as they lie in their tasks: ids, labels and the matrix as bytes. Nothing is shuffled."""
+    """Rows dealt evenly to blocks of at most ``most``, and at least as many blocks as the cluster has cores where that
+    leaves ``LEAST`` rows in each: ids, labels and the matrix as bytes."""
+    n = rows.count()
+    cores = min(rows.sparkSession.sparkContext.defaultParallelism, n // LEAST)
+    rows = rows.repartition(max(1, cores, math.ceil(n / (0.9 * most))))
+
     def run(batches):
         block, held, n = TaskContext.get().partitionId() << 32, [], 0
 
@@ -182,7 +189,7 @@ def _search(anchors: DataFrame, rows: DataFrame, schema: str, find) -> DataFrame
     spark = rows.sparkSession
     numbers = sorted(r[0] for r in anchors.select("block").collect())     # one number for ANCHORS anchors
     prefixed = anchors.select([F.col(c).alias(f"a_{c}") for c in anchors.columns])
-    dealt = rows.repartition(max(1, rows.count()), "block")               # one block is one piece of work
+    dealt = rows.repartition(max(1, rows.count()))                        # one block is one piece of work
     parts = []
     for k in range(0, len(numbers), TOGETHER):
         some = numbers[k:k + TOGETHER]
