@@ -15,7 +15,7 @@ lowest score.
 
 Rows without id or label, and vectors that are null or hold null or non-finite components (also after
 multiplying), take no part. Shorter vectors count as ending in zeros. Rows equal in id, label and
-vector count once; an anchor's other rows are those of another id. Ties go to the smaller id. Scores beyond a long are
+vector count once, and so do vectors of one id that score alike; an anchor's other rows are those of another id. Ties go to the smaller id. Scores beyond a long are
 held at its limits. Further columns are ignored. An empty table, or one without anchors, gives an empty result.
 """
 
@@ -117,6 +117,7 @@ class Lists:
         reach = int(np.abs(x).max(initial=0)) * peak * max(1, x.shape[1])
         self.kind = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
         self.x = x.astype(self.kind)
+        self.plain = self.kind is not object and len(np.unique(self.ids)) == len(self.ids)
         self.order = np.argsort(x, axis=0, kind="stable")
         self.values = np.take_along_axis(self.x, self.order, 0)
 
@@ -152,12 +153,16 @@ class Lists:
                 inside = (scores >= low) & (scores <= high)
                 if inside.any():
                     r, s = np.concatenate([best[w][0], rows[inside]]), np.concatenate([best[w][1], scores[inside]])
-                    if len(r) > k:
-                        limit = np.partition(s, len(s) - k)[len(s) - k] if self.kind is not object else sorted(s)[len(s) - k]
+                    if len(r) > k and self.plain:
+                        limit = np.partition(s, len(s) - k)[len(s) - k]
                         r, s = r[s >= limit], s[s >= limit]
-                    order = np.lexsort((self.ids[r], -s))[:k] if self.kind is not object else np.array(
-                        sorted(range(len(r)), key=lambda i: (-s[i], self.ids[r[i]]))[:k], np.int64)
-                    best[w] = r[order], s[order]
+                    order = np.lexsort((self.ids[r], -s)) if self.kind is not object else np.array(
+                        sorted(range(len(r)), key=lambda i: (-s[i], self.ids[r[i]])), np.int64)
+                    r, s = r[order], s[order]
+                    if not self.plain:                      # one id may have several vectors of equal score
+                        first = np.append(True, (self.ids[r[1:]] != self.ids[r[:-1]]) | (s[1:] != s[:-1]))
+                        r, s = r[first], s[first]
+                    best[w] = r[:k], s[:k]
                 # an unmet row may still enter while the threshold reaches the k-th score, or the lowest allowed
                 floor = best[w][1][-1] if len(best[w][0]) == k else low
                 open_ |= threshold is not None and threshold >= floor
