@@ -129,7 +129,12 @@ def customer_sequence(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES,
     c = sequence.chunk_rows(narrow, CUSTOMER, ORDER, num_chunks)
     c = sequence.add_previous_and_sessions(c, ORDER, ["customer_state", "ts"], "ts",
                                            cfg.velocity_window_seconds)
-    return c.withColumn("gap_s", seconds_between("ts", "prev_ts"))
+    return c.withColumn("gap_s", gap_seconds())
+
+
+def gap_seconds() -> Column:
+    """Seconds since the customer's previous order."""
+    return seconds_between("ts", "prev_ts")
 
 
 def _pair_key(a: Column, b: Column) -> Column:
@@ -151,6 +156,17 @@ def _velocity(cfg):
             text.velocity_detail("session_count"))
 
 
+def _first_order(cfg):
+    return ("first_order_high_value", (F.col(sequence.RN) == 1) & (F.coalesce(F.col("total"), F.lit(0.0)) > cfg.first_order_high_value),
+            text.first_order_detail("total", cfg.first_order_high_value))
+
+
+def sequence_alerts(seq: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """geo_velocity, first_order_high_value and velocity in one pass over customer sequences that carry
+    the order's ``total``."""
+    return _alerts_in_one_pass(seq, [_geo(cfg), _first_order(cfg), _velocity(cfg)])
+
+
 def geo_alerts_from(seq: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     typ, cond, det = _geo(cfg)
     return _alert(seq.filter(cond), typ, det)

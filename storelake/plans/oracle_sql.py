@@ -266,6 +266,7 @@ ALL_ALERTS = """
   SELECT * FROM a_geo UNION ALL SELECT * FROM a_first UNION ALL SELECT * FROM a_velocity
   UNION ALL SELECT * FROM a_freight UNION ALL SELECT * FROM a_amount UNION ALL SELECT * FROM a_off"""
 SQL["order_alerts"] = rules_sql(ALL_ALERTS)
+SQL["stream_alerts_late_hot_customers"] = rules_sql(ALL_ALERTS, buckets=10)
 SQL["parsed_order_stream"] = rules_sql("""
 SELECT order_id, customer_id, customer_unique_id, customer_state,
        strftime(ts, '%d-%m-%Y %H:%M') AS order_purchase_timestamp,

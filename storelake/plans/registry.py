@@ -507,6 +507,23 @@ def q_stream_alerts(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_alerts_late_hot_customers")
+def q_stream_alert_tables(spark, sf_dir):
+    """The six rules over ten customers, kept in versioned tables by a stream in which every 7th order
+    arrives a week late: the same alerts as over all orders at once."""
+    from datetime import timedelta
+
+    from storelake.session import scratch_path
+    from storelake.sources.versions import Versions
+    from storelake.streaming.jobs import replay
+    from storelake.streaming.state_table import alerts, start_alert_tables
+    inp, root, ck = (scratch_path(spark, n) for n in ("orders-in", "alert-tables", "alert-tables-ck"))
+    replay(spark, Tables(spark, sf_dir).events, inp,
+           lambda raw: start_alert_tables(raw, root, ck, "availableNow", late_within=timedelta(days=16), compact_every=2),
+           customer_buckets=10, late_every=7)
+    return alerts(Versions(spark, root))
+
+
 @register("stream_daily_metrics")
 def q_stream_daily(spark, sf_dir):
     """Stream fact rows and per-batch day increments, then the served totals."""

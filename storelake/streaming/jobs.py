@@ -96,8 +96,9 @@ def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | No
 
 
 def replay(spark: SparkSession, events: DataFrame, path: str, start, steps: int = 4,
-           customer_buckets: int | None = None) -> None:
-    """Feed ``events`` to a streaming query in ``steps`` arrivals, in event id order.
+           customer_buckets: int | None = None, late_every: int | None = None) -> None:
+    """Feed ``events`` to a streaming query in ``steps`` arrivals, in event id order; of every ``late_every``
+    events one arrives a step later.
 
     Each step writes its messages to ``path`` (range-partitioned, one file a task) and
     runs ``start(stream)`` until it has taken them; the query's checkpoint carries the
@@ -110,7 +111,12 @@ def replay(spark: SparkSession, events: DataFrame, path: str, start, steps: int
     span = hi - lo + 1
     for i in range(steps):
         a, b = lo + span * i // steps, lo + span * (i + 1) // steps
-        part = events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)).repartitionByRange("event_id")
+        due = (F.col("event_id") >= a) & (F.col("event_id") < b)
+        if late_every:
+            late = F.col("event_id") % late_every == 0
+            before = lo + span * max(i - 1, 0) // steps
+            due = due & (~late | F.lit(i == steps - 1)) | late & (F.col("event_id") >= before) & (F.col("event_id") < a)
+        part = events.filter(due).repartitionByRange("event_id")
         (part.select(F.to_json(order_struct(part, customer_buckets)).alias("value"))
              .write.mode("append").text(path))
         start(read_text_stream(spark, path)).awaitTermination()
