@@ -34,7 +34,8 @@ from storelake.functions import text
 from storelake.functions.dates import parse_wire_ts, seconds_between
 from storelake.functions.numeric import zero_if_null
 from storelake.operators import sequence
-from storelake.sources.stream import valid_orders
+from storelake.sources.sinks import materialize
+from storelake.sources.stream import parse_orders, valid_orders
 
 CUSTOMER = ["customer_unique_id"]
 ORDER = ["ts", "order_id"]
@@ -194,3 +195,9 @@ def all_alerts(orders: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     seq = _alerts_in_one_pass(customer_sequence(orders, cfg), [_geo(cfg), _velocity(cfg)])
     parts = [seq, first_order_alerts(orders, cfg), stateless_alerts(orders, cfg)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def alerts_of_messages(raw: DataFrame, as_of: Column | None = None, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """Every alert of raw order messages. They are decoded once, into a narrow table in the shared folder, from
+    which the three passes of :func:`all_alerts` read."""
+    return all_alerts(materialize(prepare_orders(parse_orders(raw), as_of), "prepared-orders"), cfg)

@@ -340,6 +340,22 @@ FROM o, range(1, 4) t(i)
 WHERE i <= CASE WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 20 = 0 THEN 3 WHEN event_id % 10 = 0 THEN 2 ELSE 1 END""",
                                          bad_rows=True)
 SQL["anomalies_reload_bad_rows"] = "WITH " + stream_orders(bad_rows=True).strip() + STREAM_FACTS + "SELECT * FROM anomalies"
+_REJECT = """CASE WHEN event_id % 89 = 0 THEN 'malformed' WHEN event_id % 71 = 0 THEN 'no_customer_id'
+                  WHEN event_id % 61 = 0 THEN 'bad_field' END"""
+SQL["order_message_rejects"] = f"""
+SELECT CAST(event_id AS VARCHAR) AS order_key, {_REJECT} AS reject_reason, {_REJECT} = 'bad_field' AS used
+FROM events WHERE {_REJECT} IS NOT NULL"""
+SQL["order_messages_used"] = f"""
+SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS customer_id,
+       CASE WHEN event_id % 61 <> 0 THEN round(value * 20, 2) END AS total_payment_value, {_REJECT} AS reject_reason
+FROM events WHERE event_id % 89 <> 0 AND event_id % 71 <> 0"""
+SQL["bronze_csv_rejects"] = with_bindings("""
+q AS (SELECT * FROM b_orders)
+SELECT 'order_purchase_timestamp' AS column_name, strftime(order_purchase_timestamp, '%d/%m/%Y') AS value,
+       CAST(order_id AS VARCHAR) AS order_id
+FROM q WHERE order_id % 83 = 0 AND order_purchase_timestamp IS NOT NULL
+UNION ALL
+SELECT 'order_estimated_delivery_date', 'soon', CAST(order_id AS VARCHAR) FROM q WHERE order_id % 59 = 0""")
 SQL["bronze_csv_roundtrip"] = with_bindings("""
 q AS (SELECT * FROM b_orders)
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status,

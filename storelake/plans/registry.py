@@ -243,15 +243,37 @@ def q_summary_positions(spark, sf_dir):
 BAD_ROWS_AS_OF = "2030-01-01 00:00:00"
 
 
+def _bad_messages(spark, sf_dir):
+    return Tables(spark, sf_dir).bronze.order_messages(bad_rows=True)
+
+
 def _bad_orders(spark, sf_dir):
     from storelake.sources.stream import parse_orders
-    return parse_orders(Tables(spark, sf_dir).bronze.order_messages(bad_rows=True))
+    return parse_orders(_bad_messages(spark, sf_dir))
 
 
 def _bad_alerts(spark, sf_dir):
     from pyspark.sql import functions as F
-    from storelake.operators.rules import all_alerts, prepare_orders
-    return all_alerts(prepare_orders(_bad_orders(spark, sf_dir), F.lit(BAD_ROWS_AS_OF).cast("timestamp_ntz")))
+    from storelake.operators.rules import alerts_of_messages
+    return alerts_of_messages(_bad_messages(spark, sf_dir), F.lit(BAD_ROWS_AS_OF).cast("timestamp_ntz"))
+
+
+@register("order_message_rejects")
+def q_message_rejects(spark, sf_dir):
+    """The reject table of a stream in which messages are cut short, lack a customer, or hold text for a number."""
+    from pyspark.sql import functions as F
+    from storelake.sources.stream import decode_orders, rejected_messages
+    raw = Tables(spark, sf_dir).bronze.order_messages(bad_rows=True, malformed=True)
+    return rejected_messages(decode_orders(raw)).select(
+        F.regexp_extract("value", '"order_id":"([0-9]+)"', 1).alias("order_key"), "reject_reason", "used")
+
+
+@register("order_messages_used")
+def q_messages_used(spark, sf_dir):
+    """What the same stream leaves: usable orders with their totals, decoded in the same single pass."""
+    from storelake.sources.stream import decode_orders, valid_orders
+    raw = Tables(spark, sf_dir).bronze.order_messages(bad_rows=True, malformed=True)
+    return valid_orders(decode_orders(raw)).select("order_id", "customer_id", "total_payment_value", "reject_reason")
 
 
 @register("stream_facts_bad_rows")
@@ -285,6 +307,25 @@ def q_bronze_csv(spark, sf_dir):
     return read_bronze(spark, root, "orders")
 
 
+@register("bronze_csv_rejects")
+def q_bronze_rejects(spark, sf_dir):
+    """Fields of an orders extract that don't fit their type, with the row they stood in."""
+    from pyspark.sql import functions as F
+    from storelake.session import scratch_path
+    from storelake.sources.tables import bronze_rejects
+    root = scratch_path(spark, "bronze-csv")
+    o = Tables(spark, sf_dir).bronze.orders
+    late = F.col("order_id") % 83 == 0
+    odd = o.withColumns({
+        "order_purchase_timestamp": F.when(late, F.date_format("order_purchase_timestamp", "dd/MM/yyyy"))
+                                     .otherwise(F.col("order_purchase_timestamp").cast("string")),
+        "order_estimated_delivery_date": F.when(F.col("order_id") % 59 == 0, F.lit("soon"))
+                                          .otherwise(F.col("order_estimated_delivery_date").cast("string"))})
+    odd.write.option("header", True).csv(f"{root}/orders")
+    r = bronze_rejects(spark, root, "orders")
+    return r.select("column_name", "value", F.get_json_object("record", "$.order_id").alias("order_id"))
+
+
 # --- forecasting -------------------------------------------------------------
 def _daily_sales(spark, sf_dir):
     """The gold daily-sales table the forecasts read: written once to the

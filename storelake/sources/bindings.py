@@ -140,7 +140,7 @@ class Bronze:
         e = self.t.events
         return e.select([c.alias(n) for n, c in order_columns(customer_buckets).items()])
 
-    def order_messages(self, customer_buckets: int | None = None, bad_rows: bool = False) -> DataFrame:
+    def order_messages(self, customer_buckets: int | None = None, bad_rows: bool = False, malformed: bool = False) -> DataFrame:
         """The order stream as the topic carries it: one JSON text per order.
 
         Each event becomes one order with one item. ``customer_buckets`` folds
@@ -148,13 +148,21 @@ class Bronze:
         ``bad_rows`` makes some orders bad or larger by rule: every 97th has an
         unreadable time, every 53rd no state, every 31st no items; of the rest
         every 10th has two items and every 20th three, the later ones without
-        freight.
+        freight. ``malformed`` spoils messages: every 89th is cut short, every 71st lacks its customer, every 61st
+        has a text for its total.
         """
         e = self.t.events
         cols = order_columns(customer_buckets)
         if bad_rows:
             cols = with_bad_rows(cols)
-        return e.select(F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()])).alias("value"))
+        if malformed:
+            cols["customer_id"] = F.when(F.col("event_id") % 71 != 0, cols["customer_id"])
+        text = F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()]))
+        if malformed:
+            text = (F.when(F.col("event_id") % 89 == 0, F.substr(text, F.lit(1), F.length(text) - 20))
+                    .when(F.col("event_id") % 61 == 0, F.regexp_replace(text, '"total_payment_value":[0-9.E-]+', '"total_payment_value":"n/a"'))
+                    .otherwise(text))
+        return e.select(text.alias("value"))
 
 
 def order_columns(customer_buckets: int | None = None) -> dict[str, Column]:

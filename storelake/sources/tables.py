@@ -94,6 +94,18 @@ def bronze_cast_failures(spark: SparkSession, root: str, name: str, ids: str = "
                                           for n in bad])).alias("c")).select("c.*")
 
 
+def bronze_rejects(spark: SparkSession, root: str, name: str, ids: str = "string") -> DataFrame:
+    """The reject table of an extract: one row per non-empty field that doesn't fit its type, with the column, the
+    text found and the whole row as JSON. The extract is read once."""
+    raw = _raw_bronze(spark, root, name)
+    fields = F.array(*[F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(_typed(f, ids)).isNull(),
+                              F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("value")))
+                       for f in schemas.BRONZE[name].fields])
+    bad = raw.select(F.explode(F.filter(fields, lambda x: x.isNotNull())).alias("f"),
+                     F.to_json(F.struct("*")).alias("record"))
+    return bad.select("f.column_name", "f.value", "record")
+
+
 def read_geolocation(spark: SparkSession, root: str) -> DataFrame:
     """The geolocation extract, passed through as it is (text columns by header)."""
     return spark.read.option("header", True).csv(f"{root.rstrip('/')}/geolocation")

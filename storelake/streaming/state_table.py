@@ -14,6 +14,7 @@ The state after version N (a micro-batch):
 * ``alerts``  the alerts of orders older than ``cut``. They are final; every version adds its own.
 * ``late``  orders that came when their time was already before ``cut``. They raise the stateless alerts only, and
   are kept here rather than lost.
+* ``rejects``  messages that could not be decoded or used, with the reason; every version adds its own.
 
 A micro-batch unites its orders with ``orders``, puts each customer's ``last`` before them, and makes the
 chunked scan of :mod:`storelake.operators.sequence` once. All writes are one version (:mod:`storelake.sources.versions`):
@@ -33,13 +34,14 @@ from pyspark.sql.streaming import StreamingQuery
 from storelake.config import DEFAULT_RULES, RuleConfig
 from storelake.operators import rules, sequence
 from storelake.operators.sequence import RN
-from storelake.sources.stream import parse_orders
+from storelake.sources.stream import decode_orders, rejected_messages
 from storelake.sources.versions import Versions, newest_rows
 
 ORDER = "order_id string, customer_unique_id string, customer_state string, ts timestamp_ntz, total double, detected_at timestamp_ntz"
 SCANNED = f"{ORDER}, prev_customer_state string, prev_ts timestamp_ntz, gap_s bigint, {RN} bigint, session_count bigint, final boolean"
 LAST = "customer_unique_id string, customer_state string, ts timestamp_ntz, order_id string, session_count bigint"
 ALERT = "order_id string, type string, score double, details string, detected_at timestamp_ntz"
+REJECT = "value string, reject_reason string, used boolean"
 ORDER_COLUMNS = [c.split()[0] for c in ORDER.split(", ")]
 LAST_COLUMNS = [c.split()[0] for c in LAST.split(", ")]
 KEEP_VERSIONS = 3
@@ -66,8 +68,10 @@ def _scan(orders: DataFrame, last: DataFrame | None, cfg: RuleConfig) -> DataFra
 
 
 def advance(state: Versions, batch: DataFrame, version: int, cfg: RuleConfig = DEFAULT_RULES,
-            late_within: timedelta | None = None, compact_every: int = COMPACT_EVERY) -> None:
-    """Take a micro-batch of prepared orders (:func:`rules.prepare_orders`) into the state as ``version``."""
+            late_within: timedelta | None = None, compact_every: int = COMPACT_EVERY,
+            rejects: DataFrame | None = None) -> None:
+    """Take a micro-batch of prepared orders (:func:`rules.prepare_orders`) into the state as ``version``, with the
+    messages of the batch that were rejected."""
     if version <= state.current():
         return
     record = state.record()
@@ -75,6 +79,9 @@ def advance(state: Versions, batch: DataFrame, version: int, cfg: RuleConfig = D
     orders = batch.filter("ts_ok").select(*ORDER_COLUMNS)
     tables = ["orders", "alerts", "alerts_alone"]
     state.stage(version, "alerts_alone", rules.stateless_alerts(batch, cfg))
+    if rejects is not None:
+        state.stage(version, "rejects", rejects)
+        tables.append("rejects")
     last = None
     waiting = state.read("orders", SCANNED).filter(~F.col("final")).select(*ORDER_COLUMNS)
     if cut is not None:
@@ -132,6 +139,11 @@ def late_orders(state: Versions) -> DataFrame:
     return state.read_all("late", ORDER)
 
 
+def rejects(state: Versions) -> DataFrame:
+    """Messages that could not be decoded or used."""
+    return state.read_all("rejects", REJECT)
+
+
 def start_alert_tables(raw: DataFrame, root: str, checkpoint: str, trigger: str | None = "10 seconds",
                        cfg: RuleConfig = DEFAULT_RULES, late_within: timedelta | None = timedelta(days=2),
                        compact_every: int = COMPACT_EVERY) -> StreamingQuery:
@@ -141,11 +153,11 @@ def start_alert_tables(raw: DataFrame, root: str, checkpoint: str, trigger: str
     state = Versions(raw.sparkSession, root)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        prepared = rules.prepare_orders(parse_orders(batch)).persist()
+        decoded = decode_orders(batch).persist()
         try:
-            advance(state, prepared, batch_id, cfg, late_within, compact_every)
+            advance(state, rules.prepare_orders(decoded), batch_id, cfg, late_within, compact_every, rejected_messages(decoded))
         finally:
-            prepared.unpersist()
+            decoded.unpersist()
 
     w = raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

@@ -84,3 +84,20 @@ def test_one_item_scan_and_no_payments_where_not_needed(spark):
 def test_scans_are_left_as_they_are(spark):
     from storelake.sources.tables import Tables
     assert "Repartition" not in optimized(Tables(spark, SF_SMALL).lineitem)
+
+
+def test_messages_are_decoded_once(spark):
+    for name in ("parsed_order_stream", "stream_facts_bad_rows", "order_message_rejects", "order_messages_used"):
+        assert optimized(QUERIES[name](spark, SF_SMALL)).count("from_json(") == 1, name
+    from storelake.operators import rules
+    from storelake.sources.stream import parse_orders
+    from storelake.sources.tables import Tables
+    orders = rules.prepare_orders(parse_orders(Tables(spark, SF_SMALL).bronze.order_messages(bad_rows=True)))
+    for df in (rules.stateless_alerts(orders), rules.first_order_alerts(orders)):
+        assert optimized(df).count("from_json(") == 1
+    # the alerts read a table of decoded orders
+    assert "from_json(" not in optimized(QUERIES["order_alerts_bad_rows"](spark, SF_SMALL))
+
+
+def test_bronze_rejects_read_the_extract_once(spark):
+    assert optimized(QUERIES["bronze_csv_rejects"](spark, SF_SMALL)).count("Relation [") == 1
