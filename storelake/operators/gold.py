@@ -139,6 +139,13 @@ def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
             .select(cols))
 
 
+def feature_totals_by_month(features: DataFrame) -> DataFrame:
+    """Per month of the feature store: rows, value and late deliveries."""
+    return features.groupBy("purchase_month", "quarter").agg(
+        F.count(F.lit(1)).alias("feature_rows"), F.sum(money("price_per_item")).cast("double").alias("value"),
+        F.count_if(F.col("delay_vs_estimate_days") < 0).alias("late_rows"))
+
+
 def daily_sales_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct orders per purchase day and English category (A4), from the order
     lines (the fact works too; payments don't matter here).

@@ -150,6 +150,13 @@ q AS (
 
 SQL["ml_feature_store_v2"] = with_bindings(ML_CTES + "\nSELECT * FROM q")
 
+SQL["fact_order_items_bucketed"] = SQL["fact_order_items"]
+SQL["ml_feature_store_bucketed"] = SQL["ml_feature_store_v2"]
+SQL["order_features_by_quarter"] = with_bindings(ML_CTES + f"""
+SELECT purchase_month, 4 AS quarter, COUNT(*) AS feature_rows, {money_sum('price_per_item')} AS value,
+       COUNT(*) FILTER (delay_vs_estimate_days < 0) AS late_rows
+FROM q WHERE purchase_month BETWEEN 10 AND 12 GROUP BY purchase_month""")
+
 SQL["daily_sales_by_category"] = with_bindings("""
 q AS (
   SELECT f.order_purchase_date AS sale_date, p.category_english,

@@ -57,6 +57,37 @@ def q_ml_features(spark, sf_dir):
     return gold.ml_feature_store(s.fact, s.products, s.customers, s.sellers)
 
 
+@register("fact_order_items_bucketed")
+def q_fact_bucketed(spark, sf_dir):
+    """The fact from inputs bucketed by order: joined where they lie."""
+    from storelake.session import scratch_path
+    b = Tables(spark, sf_dir).bronze
+    t = silver.bucketed_inputs(b.order_items, b.orders, b.payments, scratch_path(spark, "silver"))
+    return silver.fact_order_items(t["order_items"], t["orders"], t["payments"])
+
+
+@register("ml_feature_store_bucketed")
+def q_ml_features_bucketed(spark, sf_dir):
+    """The feature store over a fact bucketed by order: its order totals need no exchange."""
+    from storelake.session import scratch_path
+    from storelake.sources.bucketed import buckets_for, write_bucketed
+    s = _silver(spark, sf_dir)
+    fact = write_bucketed(s.fact, scratch_path(spark, "fact"), "order_id", buckets_for(s.fact), "fact")
+    return gold.ml_feature_store(fact, s.products, s.customers, s.sellers)
+
+
+@register("order_features_by_quarter")
+def q_features_by_quarter(spark, sf_dir):
+    """Rows and value of the stored feature table in the months of one quarter: the calendar's filter decides at run
+    time which month folders are read."""
+    from storelake.session import scratch_path
+    from storelake.sources.sinks import calendar_months, read_months, write_table
+    path = scratch_path(spark, "ml-features")
+    write_table(q_ml_features(spark, sf_dir), path, ["purchase_month"])
+    s = _silver(spark, sf_dir)
+    return gold.feature_totals_by_month(read_months(spark, path, calendar_months(s.lines).filter("quarter = 4")))
+
+
 @register("daily_sales_by_category")
 def q_daily_sales(spark, sf_dir):
     s = _silver(spark, sf_dir)

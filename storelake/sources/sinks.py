@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelake.operators.joins import broadcast_if_small
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
@@ -22,6 +24,22 @@ def read_partitioned(spark: SparkSession, path: str, column: str, values: list)
     return spark.read.parquet(path).filter(F.col(column).isin(values))
 
 
+def calendar_months(lines: DataFrame) -> DataFrame:
+    """The months in which there are orders, with quarter and half year: at most twelve rows."""
+    m = F.col("purchase_month")
+    return lines.select("purchase_month").distinct().select(
+        "purchase_month", F.ceil(m / 3).cast("int").alias("quarter"), F.ceil(m / 6).cast("int").alias("half_year"))
+
+
+def read_months(spark: SparkSession, path: str, months: DataFrame, column: str = "purchase_month") -> DataFrame:
+    """Rows of a table partitioned by month (S8) whose month is in ``months``, with its further columns.
+
+    Which months those are is known only at run time: the join with them is a broadcast of a checked size, whose rows
+    also prune the folders that the scan opens (dynamic partition pruning).
+    """
+    return spark.read.parquet(path).join(broadcast_if_small(months), on=column, how="inner")
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent per-batch append (S9): the batch's rows land in their own
     ``batch_id=N`` partition and a replay of the same batch overwrites only it."""

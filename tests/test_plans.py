@@ -1,5 +1,7 @@
 """Plan properties: pushdown, pruning, outer->inner, no driver work."""
 
+import pytest
+
 from conftest import SF_SMALL
 from storelake.plans.registry import QUERIES
 
@@ -101,3 +103,62 @@ def test_messages_are_decoded_once(spark):
 
 def test_bronze_rejects_read_the_extract_once(spark):
     assert optimized(QUERIES["bronze_csv_rejects"](spark, SF_SMALL)).count("Relation [") == 1
+
+
+def executed(df) -> str:
+    """The final plan, after it has run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_bucketed_fact_and_totals_need_no_exchange(spark, no_broadcast):
+    from pyspark.sql import functions as F
+
+    from storelake.operators import gold
+    fact = QUERIES["fact_order_items_bucketed"](spark, SF_SMALL)
+    p = plan(fact)
+    assert "Exchange" not in p and p.count("SortMergeJoin") == 2 and p.count("Bucketed: true") == 3
+    totals = plan(fact.withColumns(gold.order_totals()))
+    assert "Exchange" not in totals and "Window" in totals
+    assert "Exchange" not in plan(fact.groupBy("order_id").agg(F.sum("price")))
+    assert plan(QUERIES["fact_order_items"](spark, SF_SMALL)).count("Exchange hashpartitioning") == 3
+
+
+def test_feature_store_over_a_bucketed_fact_has_no_exchange_for_its_totals(spark):
+    p = plan(QUERIES["ml_feature_store_bucketed"](spark, SF_SMALL))
+    assert "Window" in p and "hashpartitioning(order_id" not in p and "Bucketed: true" in p
+
+
+def test_a_bucketed_folder_can_be_opened_again(spark, tmp_path, no_broadcast):
+    from storelake.sources.bucketed import open_bucketed, write_bucketed
+    df = spark.range(1000).selectExpr("id % 97 AS order_id", "id AS v")
+    write_bucketed(df, str(tmp_path / "t"), "order_id", 4)
+    again = open_bucketed(spark, str(tmp_path / "t"), "order_id", 4)
+    assert again.exceptAll(df).count() == 0 and again.count() == 1000
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 4
+    assert "Exchange" not in plan(again.join(again.groupBy("order_id").count(), "order_id"))
+
+
+def test_month_filter_prunes_at_run_time(spark):
+    p = plan(QUERIES["order_features_by_quarter"](spark, SF_SMALL))
+    scan = [x for x in p.splitlines() if "dynamicpruning" in x]
+    assert scan and "purchase_month" in scan[0]
+
+
+def test_pruned_months_are_not_read(spark, tmp_path):
+    from storelake.sources.sinks import read_months, write_table
+    write_table(spark.range(1200).selectExpr("id", "CAST(id % 12 + 1 AS INT) AS purchase_month"), str(tmp_path / "t"), ["purchase_month"])
+    months = spark.createDataFrame([(m, (m + 2) // 3) for m in range(1, 13)], "purchase_month int, quarter int")
+    df = read_months(spark, str(tmp_path / "t"), months.filter("quarter = 2"))
+    assert {r.purchase_month for r in df.collect()} == {4, 5, 6} and df.count() == 300
+    assert "dynamicpruning" in plan(df)
