@@ -8,6 +8,8 @@ to INTEGER; money sums go through DECIMAL(18,2) exactly as on the Spark side.
 
 from __future__ import annotations
 
+import math
+
 BINDINGS = """
 b_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
@@ -455,6 +457,69 @@ SQL["forecast_worst_categories"] = forecast_sql(
     "SELECT * FROM evaluation ORDER BY mae DESC, category_english LIMIT 10")
 
 
+# --- the seasonal model: sums of products of its terms, Gauss-Jordan elimination one CTE per term ---------
+def _seasonal_terms(x: str) -> list[str]:
+    year = 365.25 / 7
+    out = ["CAST(1.0 AS DOUBLE)", f"CAST({x} AS DOUBLE) / CAST({year!r} AS DOUBLE)"]
+    for k in (1, 2, 3):
+        angle = f"CAST({x} AS DOUBLE) * CAST({2 * math.pi * k / year!r} AS DOUBLE)"
+        out += [f"sin({angle})", f"cos({angle})"]
+    return out
+
+
+def _seasonal_fit(name: str, rows: str) -> str:
+    """CTEs up to ``<name>_beta`` (category_english, m, last_week, last_x, beta)."""
+    t = _seasonal_terms("x")
+    d, year = len(t), 365.25 / 7
+    penalty = [0.0, 1e-3 / year**2, *[1e-3] * (d - 2)]
+    sums = ", ".join(f"CAST(SUM(CAST(({t[i]}) * ({t[j] if j < d else 'CAST(y AS DOUBLE)'}) AS DECIMAL(38,12))) AS DOUBLE) AS s_{i}_{j}"
+                     for i in range(d) for j in range(i, d + 1))
+    rows_ = ", ".join("[" + ", ".join(f"s_{min(i, j)}_{max(i, j)}" + (f" + {penalty[i]!r}::DOUBLE * m" if i == j else "")
+                                      for j in range(d + 1)) + "]" for i in range(d))
+    ctes = [f"""{name}_sums AS (SELECT category_english, COUNT(*) AS m, MAX(week) AS last_week, MAX(x) AS last_x, {sums}
+                 FROM {rows} GROUP BY 1)""",
+            f"{name}_0 AS (SELECT category_english, m, last_week, last_x, [{rows_}] AS a FROM {name}_sums)"]
+    for k in range(1, d + 1):
+        ctes.append(f"""{name}_{k} AS (SELECT * REPLACE (list_transform(a, lambda r, i:
+              CASE WHEN i = {k} THEN list_transform(r, lambda v: v / r[{k}])
+                   ELSE list_transform(r, lambda v, j: v - r[{k}] / a[{k}][{k}] * a[{k}][j]) END) AS a) FROM {name}_{k - 1})""")
+    ctes.append(f"{name}_beta AS (SELECT * EXCLUDE (a), list_transform(a, lambda r: r[{d + 1}]) AS beta FROM {name}_{d})")
+    return ",\n".join(ctes)
+
+
+def _seasonal_value(x: str) -> str:
+    return " + ".join(["CAST(0.0 AS DOUBLE)", *[f"beta[{k + 1}] * ({t})" for k, t in enumerate(_seasonal_terms(x))]])
+
+
+SEASONAL = FORECAST.rstrip() + ",\n" + _seasonal_fit("sf", "fs") + ",\n" + _seasonal_fit("sb", "(SELECT * FROM bt WHERE NOT is_test)") + f""",
+sf_sigma AS (
+  SELECT category_english, sqrt(CAST(SUM(CAST(r * r AS DECIMAL(38,9))) AS DOUBLE) / greatest(MAX(m) - 8, 1)) AS sigma
+  FROM (SELECT category_english, m, CAST(y AS DOUBLE) - ({_seasonal_value('x')}) AS r FROM fs JOIN sf_beta USING (category_english))
+  GROUP BY 1),
+sf_frame AS (
+  SELECT category_english, week, x FROM fs
+  UNION ALL SELECT category_english, CAST(last_week + CAST(7 * i AS INTEGER) AS DATE), CAST(last_x + i AS INTEGER)
+  FROM sf_beta, range(1, 13) t(i)),
+sf_out AS (
+  SELECT category_english, CAST(week AS TIMESTAMP) AS ds, {_seasonal_value('x')} AS yhat, 1.2815515655446004::DOUBLE * sigma AS band
+  FROM sf_frame JOIN sf_beta USING (category_english) JOIN sf_sigma USING (category_english)),
+sb_err AS (
+  SELECT category_english, ({_seasonal_value('x')}) - CAST(y AS DOUBLE) AS e FROM bt JOIN sb_beta USING (category_english) WHERE is_test)
+"""
+
+
+def seasonal_sql(select: str) -> str:
+    return with_bindings(SEASONAL.lstrip(",").strip() + "\n" + select)
+
+
+for _n in ("forecast_weekly_demand_seasonal", "forecast_weekly_demand_seasonal_native"):
+    SQL[_n] = seasonal_sql("SELECT category_english, ds, round(yhat, 6) AS yhat, round(yhat - band, 6) AS yhat_lower, "
+                           "round(yhat + band, 6) AS yhat_upper FROM sf_out")
+for _n in ("forecast_evaluation_seasonal", "forecast_evaluation_seasonal_native"):
+    SQL[_n] = seasonal_sql("SELECT category_english, COUNT(*) AS test_points, round(AVG(abs(e)), 6) AS mae, "
+                           "round(sqrt(AVG(e * e)), 6) AS rmse FROM sb_err GROUP BY 1")
+
+
 # --- baskets: single-antecedent rules by counting pairs inside baskets -------
 def basket_sql(item: str, select: str, support: float = 0.001, confidence: float = 0.2) -> str:
     src = ("SELECT order_id, product_id AS item FROM fact" if item == "product_id" else

@@ -608,13 +608,18 @@ def q_stream_daily(spark, sf_dir):
     return kv_to_daily(accumulate(spark.read.parquet(inc)))
 
 
-@register("forecast_weekly_demand_seasonal")
-def q_forecast_seasonal(spark, sf_dir):
-    from storelake.operators.seasonal import seasonal_forecast
-    return seasonal_forecast(_daily_sales(spark, sf_dir))
+# the seasonal model twice: grouped pandas, and sums solved in Spark; both reported to 6 decimals
+def _seasonal_query(module: str, fn: str):
+    def q(spark, sf_dir):
+        import importlib
+
+        from storelake.operators.seasonal_fit import rounded
+        return rounded(getattr(importlib.import_module(f"storelake.operators.{module}"), fn)(_daily_sales(spark, sf_dir)))
+    return q
 
 
-@register("forecast_evaluation_seasonal")
-def q_backtest_seasonal(spark, sf_dir):
-    from storelake.operators.seasonal import seasonal_backtest
-    return seasonal_backtest(_daily_sales(spark, sf_dir))
+for _n, _m, _f in [("forecast_weekly_demand_seasonal", "seasonal", "seasonal_forecast"),
+                   ("forecast_evaluation_seasonal", "seasonal", "seasonal_backtest"),
+                   ("forecast_weekly_demand_seasonal_native", "seasonal_fit", "seasonal_forecast"),
+                   ("forecast_evaluation_seasonal_native", "seasonal_fit", "seasonal_backtest")]:
+    register(_n)(_seasonal_query(_m, _f))
