@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelake.config import FP_MIN_CONFIDENCE, FP_MIN_SUPPORT
+from storelake.sources.sinks import materialize
 
 
 def baskets(fact: DataFrame, item_col: str = "product_id") -> DataFrame:
@@ -37,6 +38,13 @@ def fit_rules(basket_df: DataFrame, min_support: float = FP_MIN_SUPPORT,
     return fp.fit(basket_df).associationRules
 
 
+def mined_rules(basket_df: DataFrame, min_support: float = FP_MIN_SUPPORT,
+                min_confidence: float = FP_MIN_CONFIDENCE) -> DataFrame:
+    """:func:`fit_rules` with the baskets and the rules written once: a fitted model's rules are lazy, and each use of
+    them would build the baskets and the trees again."""
+    return materialize(fit_rules(materialize(basket_df, "baskets"), min_support, min_confidence), "basket-rules")
+
+
 def recommendations(rules: DataFrame, single_antecedent: bool = False) -> DataFrame:
     """Rule -> (product_id, recommended_product_id, confidence, lift, support).
 

@@ -558,6 +558,36 @@ SQL["top_basket_rules"] = basket_sql("product_category_name", """
 SELECT * FROM rules ORDER BY lift DESC, confidence DESC, product_id, recommended_product_id LIMIT 10""")
 
 
+# frequent sets of any size: every subset of a basket, its items from the rarest on
+_SETS = """,
+nos AS (SELECT item, f, ROW_NUMBER() OVER (ORDER BY f, item) AS no FROM ic, n WHERE f >= n.min_count),
+bn AS (SELECT bi.order_id, nos.no FROM bi JOIN nos USING (item)),
+subs AS (
+  SELECT order_id, [no] AS items, no AS last_no FROM bn
+  UNION ALL SELECT s.order_id, list_append(s.items, b.no), b.no FROM subs s JOIN bn b ON s.order_id = b.order_id AND b.no > s.last_no),
+sets AS (SELECT items, COUNT(*) AS f FROM subs, n GROUP BY items, n.min_count HAVING COUNT(*) >= n.min_count)
+"""
+
+
+def sets_sql(select: str) -> str:
+    return basket_sql("product_category_name", _SETS + select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["basket_itemsets"] = sets_sql("""
+SELECT string_agg(item, ',' ORDER BY item) AS items_key, f AS freq
+FROM (SELECT items, sets.f, unnest(items) AS no FROM sets) JOIN (SELECT no, item FROM nos) USING (no) GROUP BY items, f""")
+SQL["basket_rules_levelwise"] = SQL["basket_rules_all_antecedents"] = sets_sql(""",
+split AS (
+  SELECT items, f, unnest(items) AS to_no FROM sets WHERE len(items) > 1),
+all_rules AS (
+  SELECT a.items AS before, CAST(s.f AS DOUBLE) / a.f AS confidence, s.f, s.to_no
+  FROM split s JOIN sets a ON a.items = list_filter(s.items, lambda x: x <> s.to_no))
+SELECT x.item AS product_id, y.item AS recommended_product_id, confidence,
+       confidence / (CAST(y.f AS DOUBLE) / n.n) AS lift, CAST(r.f AS DOUBLE) / n.n AS support
+FROM all_rules r JOIN nos x ON x.no = r.before[1] JOIN nos y ON y.no = r.to_no CROSS JOIN n
+WHERE confidence >= 0.2""")
+
+
 SQL["customer_state_index"] = with_bindings(ML_CTES + """
 SELECT customer_state,
        CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, customer_state) - 1 AS DOUBLE) AS customer_state_idx

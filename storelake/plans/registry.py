@@ -408,7 +408,7 @@ def _basket_fact(spark, sf_dir, item: str):
 def _recs(spark, sf_dir, item="product_category_name", single=True):
     from storelake.operators import baskets as b
     bk = b.baskets(_basket_fact(spark, sf_dir, item), item)
-    return b.recommendations(b.fit_rules(bk), single_antecedent=single)
+    return b.recommendations(b.mined_rules(bk), single_antecedent=single)
 
 
 @register("multi_item_baskets")
@@ -438,7 +438,7 @@ def q_basket_product_pairs(spark, sf_dir):
     """Product rules at thresholds that product baskets reach."""
     from storelake.operators import baskets as b
     bk = b.baskets(_basket_fact(spark, sf_dir, "product_id"), "product_id")
-    return b.recommendations(b.fit_rules(bk, PRODUCT_PAIR_SUPPORT, PRODUCT_PAIR_CONFIDENCE), single_antecedent=True)
+    return b.recommendations(b.mined_rules(bk, PRODUCT_PAIR_SUPPORT, PRODUCT_PAIR_CONFIDENCE), single_antecedent=True)
 
 
 @register("basket_rules_all_antecedents")
@@ -446,6 +446,27 @@ def q_basket_rules_all(spark, sf_dir):
     return _recs(spark, sf_dir, single=False)
 
 
+@register("basket_rules_levelwise")
+def q_basket_rules_levelwise(spark, sf_dir):
+    """Rules of all antecedents by joins, level by level; the first antecedent item is the rarest."""
+    from storelake.operators import baskets as b
+    from storelake.operators import itemsets
+    bk = b.baskets(_basket_fact(spark, sf_dir, "product_category_name"), "product_category_name")
+    return b.recommendations(itemsets.rules(bk))
+
+
+@register("basket_itemsets")
+def q_basket_itemsets(spark, sf_dir):
+    """Frequent sets of categories with the number of baskets that hold them."""
+    from pyspark.sql import functions as F
+    from storelake.operators import baskets as b
+    from storelake.operators import itemsets
+    bk = b.baskets(_basket_fact(spark, sf_dir, "product_category_name"), "product_category_name")
+    sets, items, _ = itemsets.frequent_itemsets(bk)
+    named = sets.select("items", "freq", F.explode("items").alias("no")).join(items.select("no", "item"), "no")
+    return named.groupBy("items", "freq").agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items_key")).drop("items")
+
+
 @register("basket_rule_quality")
 def q_rule_quality(spark, sf_dir):
     from storelake.operators.baskets import rule_quality
