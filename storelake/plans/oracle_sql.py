@@ -624,6 +624,15 @@ UNION ALL SELECT 'price.assembled', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)} AND
 SQL["stream_order_alerts"] = rules_sql(ALL_ALERTS)
 SQL["stream_daily_metrics"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")
 
+SQL["stream_daily_metrics_restarted"] = SQL["stream_daily_metrics"]
+SQL["stream_newest_alerts"] = serving_sql("SELECT * FROM kept")
+SQL["stream_alert_counts"] = serving_sql("""
+SELECT CAST(batch AS INTEGER) AS batch, type, COUNT(*) AS alerts
+FROM alerts JOIN (
+  SELECT CAST(event_id AS VARCHAR) AS order_id, (SELECT MAX(i) FROM range(0, 4) t(i) WHERE event_id >= lo + span * i // 4) AS batch
+  FROM events, (SELECT MIN(event_id) AS lo, MAX(event_id) - MIN(event_id) + 1 AS span FROM events)) USING (order_id)
+GROUP BY 1, 2""")
+
 _PRICED = with_bindings(PRICING_CTE + f""",
 mi AS (SELECT *, floor(price) + delivery_days * CAST(0.5 AS DOUBLE) AS prediction FROM pq WHERE {_nn(_PRICE_REQ)})""")
 SQL["model_split_counts"] = _PRICED + """,

@@ -629,6 +629,69 @@ def q_stream_daily(spark, sf_dir):
     return kv_to_daily(accumulate(spark.read.parquet(inc)))
 
 
+class _Lost(RuntimeError):
+    """A driver that is lost, as far as a running query can tell."""
+
+
+def _fails_once(points):
+    """A callback that raises the first time it sees each of ``points``."""
+    left = set(points)
+
+    def seen(*point):
+        if point in left:
+            left.remove(point)
+            raise _Lost(str(point))
+    return seen
+
+
+@register("stream_daily_metrics_restarted")
+def q_stream_daily_restarted(spark, sf_dir):
+    """The daily totals of a stream that is lost three times between writing a table and finishing its batch, and is started
+    again from its checkpoint: the same totals as of a stream that runs through."""
+    from storelake.operators.stream_facts import accumulate, kv_to_daily
+    from storelake.session import scratch_path
+    from storelake.streaming.jobs import replay, start_facts
+    inp, facts, inc, ck = (scratch_path(spark, n) for n in ("orders-in", "facts", "increments", "facts-ck"))
+    lost = _fails_once([("facts", 1), ("increments", 1), ("increments", 3)])
+    replay(spark, Tables(spark, sf_dir).events, inp,
+           lambda raw: start_facts(raw, facts, inc, ck, trigger="availableNow", written=lost), attempts=3)
+    return kv_to_daily(accumulate(spark.read.parquet(inc)))
+
+
+def _alert_list(spark, sf_dir):
+    """The alert list after four arrivals; the query is lost before one of its commits and started again."""
+    from storelake.session import scratch_path
+    from storelake.sources.versions import Versions
+    from storelake.streaming.alert_list import start_alert_list
+    from storelake.streaming.jobs import replay
+    lost = _fails_once([(2,)])
+
+    class Unsteady(Versions):
+        def commit(self, version, tables, **notes):
+            lost(version)
+            super().commit(version, tables, **notes)
+
+    inp, root, ck = (scratch_path(spark, n) for n in ("orders-in", "alert-list", "alert-list-ck"))
+    state = Unsteady(spark, root)
+    replay(spark, Tables(spark, sf_dir).events, inp,
+           lambda raw: start_alert_list(raw, root, ck, "availableNow", state=state), attempts=2)
+    return state
+
+
+@register("stream_newest_alerts")
+def q_stream_newest(spark, sf_dir):
+    """The newest 200 alerts as the stream keeps them, through a restart."""
+    from storelake.streaming.alert_list import newest_alerts
+    return newest_alerts(_alert_list(spark, sf_dir))
+
+
+@register("stream_alert_counts")
+def q_stream_alert_counts(spark, sf_dir):
+    """Alerts by rule in each micro-batch, through a restart."""
+    from storelake.streaming.alert_list import batch_counts
+    return batch_counts(_alert_list(spark, sf_dir))
+
+
 # the seasonal model twice: grouped pandas, and sums solved in Spark; both reported to 6 decimals
 def _seasonal_query(module: str, fn: str):
     def q(spark, sf_dir):

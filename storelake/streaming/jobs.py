@@ -64,18 +64,22 @@ def start_alerts(raw: DataFrame, out_path: str, checkpoint: str,
 
 
 def start_facts(raw: DataFrame, fact_path: str, increments_path: str, checkpoint: str,
-                trigger: str | None = "10 seconds") -> StreamingQuery:
+                trigger: str | None = "10 seconds", written=None) -> StreamingQuery:
     """Fact rows (T8) and the day totals each batch adds (T9) via foreachBatch.
 
     Both writes are keyed by the batch id, so a replayed batch replaces its
     own output instead of appending it again (at-least-once made idempotent).
+    ``written(table, batch_id)`` is called after each write, when the batch isn't
+    yet marked as done in the checkpoint.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         facts = stream_fact_rows(parse_orders(batch)).persist()
         try:
             write_batch(facts, fact_path, batch_id)
+            written and written("facts", batch_id)
             inc = batch_increments(facts.withColumn("batch_id", _lit(batch_id)))
             write_batch(inc.drop("batch_id"), increments_path, batch_id)
+            written and written("increments", batch_id)
         finally:
             facts.unpersist()
 
@@ -96,12 +100,13 @@ def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | No
 
 
 def replay(spark: SparkSession, events: DataFrame, path: str, start, steps: int = 4,
-           customer_buckets: int | None = None, late_every: int | None = None) -> None:
+           customer_buckets: int | None = None, late_every: int | None = None, attempts: int = 1) -> None:
     """Feed ``events`` to a streaming query in ``steps`` arrivals, in event id order; of every ``late_every``
     events one arrives a step later.
 
     Each step writes its messages to ``path`` (range-partitioned, one file a task) and
-    runs ``start(stream)`` until it has taken them; the query's checkpoint carries the
+    runs ``start(stream)`` until it has taken them, starting a failed query again up to
+    ``attempts`` times; the query's checkpoint carries the
     state from step to step. Every event is written exactly once."""
     from pyspark.sql import functions as F
     from storelake.sources.bindings import order_struct
@@ -119,7 +124,20 @@ def replay(spark: SparkSession, events: DataFrame, path: str, start, steps: int
         part = events.filter(due).repartitionByRange("event_id")
         (part.select(F.to_json(order_struct(part, customer_buckets)).alias("value"))
              .write.mode("append").text(path))
-        start(read_text_stream(spark, path)).awaitTermination()
+        until_done(lambda: start(read_text_stream(spark, path)), attempts)
+
+
+def until_done(start, attempts: int = 3) -> int:
+    """Start a query again, from its checkpoint, when it fails; returns how many attempts it took."""
+    from pyspark.errors import StreamingQueryException
+    for k in range(1, attempts + 1):
+        try:
+            start().awaitTermination()
+            return k
+        except StreamingQueryException:
+            if k == attempts:
+                raise
+    return attempts
 
 
 def daily_totals_stream(raw: DataFrame, dedupe_within: str | None = None) -> DataFrame:
