@@ -79,13 +79,13 @@ def split(df: DataFrame, key: str | None = None, weights=SPLIT_WEIGHTS,
 
 
 def pipeline(spec: ModelSpec, max_iter: int = GBT_MAX_ITER, max_depth: int = GBT_MAX_DEPTH,
-             seed: int = SPLIT_SEED) -> Pipeline:
+             seed: int = SPLIT_SEED, max_bins: int = 32) -> Pipeline:
     """StringIndexer(keep) per categorical column -> VectorAssembler(skip) -> GBT (M1, M5, M6)."""
     idx = [StringIndexer(inputCol=c, outputCol=c + "_idx", handleInvalid="keep")
            for c in spec.categorical]
     asm = VectorAssembler(inputCols=features(spec), outputCol="features", handleInvalid="skip")
     gbt = GBTRegressor(labelCol=spec.label, featuresCol="features", maxIter=max_iter,
-                       maxDepth=max_depth, seed=seed, checkpointInterval=10)
+                       maxDepth=max_depth, seed=seed, maxBins=max_bins, checkpointInterval=10)
     return Pipeline(stages=idx + [asm, gbt])
 
 

@@ -110,6 +110,18 @@ def add_running_max(c: DataFrame, order: list[str], col: Column | str, out: str)
             .drop("_v", "_m_l", "_carry_m"))
 
 
+def add_running_sums(c: DataFrame, order: list[str], cols: list[str]) -> DataFrame:
+    """Add ``sum_<col>`` = running sum of ``col`` up to and including the current row of the key, on a chunked frame."""
+    upto = _local(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
+    summary = (c.groupBy(K, CHUNK).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
+               .select(K, CHUNK, *[F.sum(f"_t_{x}").over(before).alias(f"_b_{x}") for x in cols]))
+    local = c.withColumns({f"_l_{x}": F.sum(x).over(upto) for x in cols})
+    return (local.join(summary, on=[K, CHUNK], how="left")
+            .withColumns({f"sum_{x}": F.coalesce(F.col(f"_b_{x}") + F.col(f"_l_{x}"), f"_l_{x}", f"_b_{x}") for x in cols})
+            .drop(*[f"_{p}_{x}" for x in cols for p in "lb"]))
+
+
 def first_per_key(df: DataFrame, key: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """The first row of each key by ``order`` (an aggregate: partial per task,
     so a hot key is reduced before it is shuffled)."""

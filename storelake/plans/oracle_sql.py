@@ -621,6 +621,34 @@ UNION ALL SELECT 'delay.assembled', COUNT(*) FROM q WHERE {_nn(_DELAY_REQ)} AND
 UNION ALL SELECT 'price.loaded', COUNT(*) FROM pq
 UNION ALL SELECT 'price.required', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)}
 UNION ALL SELECT 'price.assembled', COUNT(*) FROM pq WHERE {_nn(_PRICE_REQ)} AND {_nn(_PRICE_NUM)}""")
+
+
+def _best_split(features, columns: str) -> str:
+    rows = "\nUNION ALL ".join(f"SELECT {k} AS at_no, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, y FROM whole" for k, f in enumerate(features))
+    return with_bindings(ML_CTES + f""",
+whole AS (SELECT CAST(delay_vs_estimate_days AS DOUBLE) AS y, {", ".join(features)}
+          FROM q WHERE {_nn(_DELAY_REQ)} AND {_nn(features)}),
+long AS ({rows}),
+sums AS (SELECT at_no, feature, value, COUNT(*) AS n, SUM(CAST(y AS DECIMAL(38,9))) AS s FROM long GROUP BY 1, 2, 3),
+runs AS (
+  SELECT *, lag(value) OVER w AS prev, SUM(n) OVER w - n AS ln, SUM(s) OVER w - s AS ls,
+         SUM(n) OVER (PARTITION BY at_no) AS an, SUM(s) OVER (PARTITION BY at_no) AS total
+  FROM sums WINDOW w AS (PARTITION BY at_no ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+sides AS (
+  SELECT feature, at_no, (prev + value) / 2 AS threshold, CAST(ln AS BIGINT) AS ln, CAST(an - ln AS BIGINT) AS rn,
+         CAST(ls AS DOUBLE) AS sl, CAST(total - ls AS DOUBLE) AS sr, CAST(total AS DOUBLE) AS s, CAST(an AS DOUBLE) AS an
+  FROM runs WHERE prev IS NOT NULL),
+gains AS (SELECT *, sl * sl / ln + sr * sr / rn - s * s / an AS gain FROM sides)
+SELECT {columns} FROM (SELECT * FROM gains ORDER BY round(gain, 6) DESC, at_no, threshold LIMIT 1)""")
+
+
+SQL["delay_best_split"] = _best_split(_DELAY_NUM, """feature, round(threshold, 6) AS threshold, ln AS left_rows, rn AS right_rows,
+       round(sl / ln, 6) AS left_mean, round(sr / rn, 6) AS right_mean, round(gain, 6) AS gain""")
+SQL["delay_first_tree"] = _best_split(
+    ["estimated_delivery_days", "purchase_month", "purchase_day", "purchase_weekday", "purchase_hour", "is_weekend_order",
+     "product_weight_g", "product_length_cm", "product_width_cm", "product_height_cm", "product_photos_qty",
+     "is_same_state", "total_items_in_order", "max_installments"],
+    "feature, round(threshold, 6) AS threshold, round(sl / ln, 6) AS left_mean, round(sr / rn, 6) AS right_mean")
 SQL["stream_order_alerts"] = rules_sql(ALL_ALERTS)
 SQL["stream_daily_metrics"] = serving_sql("SELECT metric_date, orders, revenue FROM dm")
 

@@ -519,6 +519,32 @@ def q_pricing_recs(spark, sf_dir):
     return m.pricing_recommendations(_fit_predict(_price_table(spark, sf_dir), m.PRICE))
 
 
+@register("delay_best_split")
+def q_best_split(spark, sf_dir):
+    """The best first split of the delay model's table over all its numeric features and all their values."""
+    from storelake.operators import models as m
+    from storelake.operators import stump
+    data = m.model_input(_delay_table(spark, sf_dir), m.DELAY)
+    return _rounded6(stump.best_split(data, m.DELAY.label, list(m.DELAY.numeric)))
+
+
+@register("delay_first_tree")
+def q_first_tree(spark, sf_dir):
+    """The split that MLlib's boosted trees make first (one tree, depth 1), over the features of few values."""
+    from dataclasses import replace
+
+    from storelake.operators import models as m
+    from storelake.operators import stump
+    spec = replace(m.DELAY, numeric=stump.FEW_VALUES, categorical=())
+    model = m.fit(m.model_input(_delay_table(spark, sf_dir), spec), spec, max_iter=1, max_depth=1, max_bins=stump.MAX_BINS)
+    return _rounded6(stump.first_split(model, list(spec.numeric), spark))
+
+
+def _rounded6(df):
+    from storelake.operators.seasonal_fit import rounded
+    return rounded(df)
+
+
 @register("model_split_counts")
 def q_split_counts(spark, sf_dir):
     """Both sides of the model split: rows, orders and the sum of their ids."""
