@@ -23,7 +23,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Remove tables that :func:`stored` wrote, when everything made of them is itself written."""
+    for df in frames:
+        if df is not None:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

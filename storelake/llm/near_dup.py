@@ -12,14 +12,15 @@ Linking, without all pairs of a group:
 
 1. documents of equal multisets are one class, represented by the smallest id;
 2. representatives meet in buckets of ``ROWS`` equal coordinates, in ``BANDS`` bands; each is
-   compared with the bucket's smallest id, and then with a second member picked by hash, unless the
-   links found so far join them;
-3. members that are still apart from the bucket's hub are compared with all members by their
-   signatures, block by block inside numpy; the best partner in each block that is of another
-   component becomes a candidate. This repeats, without the pairs that failed and with more partners
-   a round, until no pair of different components is above ``ESTIMATE`` untested.
-
-Every candidate pair is verified on the exact multisets. At similarity 0.8 the bands miss a pair with
+   compared with the bucket's smallest id, its hub;
+3. members that the links found so far don't join with their hub are compared with all members of the
+   bucket by their signatures, block by block inside numpy. A pair counts in the first band that it shares.
+   Members of pairs above ``ESTIMATE`` between different components are sent with their multisets to the same
+   block pair once more, where the pairs are verified, likeliest first, as long as the links found there don't
+   already join them. Only links that join components leave a task; pairs never do, tested or not.
+
+Every candidate pair is verified on the multisets, whose elements are 32 bits of a hash: texts of up to some 100,000 words
+are compared exactly but for a chance of 1e-5 or so a pair of words. At similarity 0.8 the bands miss a pair with
 probability (1 - 0.8 ** 5) ** 20 = 0.0004, at 0.9 with 1e-8.
 
 Documents without words (null, empty) are linked with nothing. Fewer than five words are one
@@ -47,6 +48,7 @@ ROWS, BANDS = 5, 20
 K = ROWS * BANDS
 DARTS = K * (math.log(K) + 2)       # darts after which nearly all coordinates are taken
 BLOCK = 1024                        # members of a bucket compared at once
+BLOCK_WEIGHT = 4_000_000            # shingles they hold together, about
 ESTIMATE = 0.65                     # signature agreement that makes a candidate; 0.8 has a deviation of 0.04
 WORD_CACHE = 100_000
 
@@ -179,17 +181,17 @@ def multisets(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(run, "id long, elems binary")
 
 
+def jaccard(p: np.ndarray, q: np.ndarray) -> float:
+    """Of two sorted element lists; 0 where their lengths rule ``SIMILARITY`` out."""
+    if min(len(p), len(q)) < SIMILARITY * max(len(p), len(q)) or not len(p):
+        return 0.0
+    both = np.sort(np.concatenate([p, q]), kind="stable")
+    same = int(np.count_nonzero(both[1:] == both[:-1]))
+    return same / (len(p) + len(q) - same)
+
+
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Jaccard of two sorted element lists."""
-    out = np.zeros(len(a))
-    for k, (x, y) in enumerate(zip(a, b)):
-        p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-        if min(len(p), len(q)) < SIMILARITY * max(len(p), len(q)):
-            continue
-        both = np.sort(np.concatenate([p, q]), kind="stable")
-        same = int(np.count_nonzero(both[1:] == both[:-1]))
-        out[k] = same / (len(p) + len(q) - same) if len(both) else 0.0
-    return pd.Series(out)
+    return pd.Series([jaccard(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in zip(a, b)], dtype=float)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -200,65 +202,130 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 .filter(F.pandas_udf(similarity, "double")("x", "y") >= SIMILARITY).select("a", "b")
 
 
-def _apart(members: DataFrame, labels: DataFrame, hub: str) -> DataFrame:
-    """Members that the links found so far don't join with the given hub of their bucket."""
+def _work(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the block pairs to compare: (key, m, t, apart, rep). Members apart from their hub's component stand on one
+    side, all members of their buckets on the other; either side is cut into blocks, and a member stands in each pair of its
+    block. Buckets of two hold nothing that the hub hasn't settled."""
     own = labels.select(F.col("node").alias("rep"), F.col("component").alias("_own"))
-    its = labels.select(F.col("node").alias(hub), F.col("component").alias("_its"))
-    joined = members.join(own, "rep", "left").join(its, hub, "left")
-    return joined.filter(F.coalesce("_own", "rep") != F.coalesce("_its", hub)).drop("_own", "_its")
-
-
-def _rest_candidates(members: DataFrame, labels: DataFrame, sigs: DataFrame, failed: DataFrame, most: int) -> DataFrame:
-    """Pairs of members still apart from their bucket's hub with their best ``most`` partners of other
-    components that didn't fail before, by signature, a block of members against a block of members at a time."""
-    apart = stored(_apart(members, labels, "hub").select("key", "rep"), "apart")
-    others = members.join(apart.select("key").distinct(), "key", "left_semi").select("key", "rep")
-    sized = others.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    its = labels.select(F.col("node").alias("hub"), F.col("component").alias("_its"))
+    placed = (members.filter("n > 2").join(own, "rep", "left").join(its, "hub", "left")
+              .select("key", "rep", "weight", "hub", (F.coalesce("_own", "rep") != F.coalesce("_its", "hub")).alias("apart")))
+    placed = stored(placed, "placed")
+    many = F.lit(float(BLOCK_WEIGHT))
+
+    def blocks(which):
+        return F.ceil(F.greatest(F.count(which) / BLOCK, F.sum(F.when(which.isNotNull(), F.col("weight"))) / many)).cast("int")
+
+    apart = F.when(F.col("apart"), 1)
+    sized = placed.groupBy("key").agg(blocks(apart).alias("n_m"), blocks(F.lit(1)).alias("n_t")).filter("n_m > 0")
+    both = placed.join(sized, "key")
+    mine = both.filter("apart").select("key", F.pmod(F.xxhash64("rep"), "n_m").cast("int").alias("m"),
+                                       F.explode(F.sequence(F.lit(0), F.col("n_t") - 1)).alias("t"), F.lit(True).alias("mine"), "apart", "rep")
+    theirs = both.select("key", F.explode(F.sequence(F.lit(0), F.col("n_m") - 1)).alias("m"),
+                         F.pmod(F.xxhash64("rep"), "n_t").cast("int").alias("t"), F.lit(False).alias("mine"), "apart", "rep")
+    return mine.unionAll(theirs)
+
+
+_PAIR = ["key", "m", "t"]
+
+
+def _groups(batches, size: int):
+    """The rows of each block pair, from batches sorted by it, about ``size`` rows of small pairs at a time: (table, starts)."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        held = t if held is None else pa.concat_tables([held, t])
+        if held.num_rows < size:
+            continue
+        cut = _starts(held)
+        if len(cut) > 1:
+            yield held.slice(0, cut[-1]).combine_chunks(), cut[:-1]
+            held = held.slice(cut[-1])
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), _starts(held)
+
+
+def _starts(t: pa.Table) -> np.ndarray:
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for c in _PAIR:
+        x = t.column(c).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _candidates(sig, bands, part, mine, apart, reps, key):
+    """(i, j, agreement) of pairs, one of each side, of different components and above ``ESTIMATE``, that share no earlier band."""
+    left, right = np.flatnonzero(mine), np.flatnonzero(~mine)
+    band = np.argmax(bands[left[0]] == key) if len(left) else 0
+    out = []
+    for i in left:
+        j = right[(part[right] != part[i]) & (~apart[right] | (reps[right] > reps[i]))]
+        if band:
+            j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
+        same = (sig[j] == sig[i]).mean(1)
+        ok = same >= ESTIMATE
+        out.append((np.full(ok.sum(), i), j[ok], same[ok]))
+    return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+
+
+def _arrays(t: pa.Table):
+    def fixed(c, kind):
+        return np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(t.num_rows, -1)
+    bands = t.column("bands").combine_chunks()
+    return (fixed("sig", np.uint32), bands.flatten().to_numpy().reshape(t.num_rows, -1),
+            *(t.column(c).to_numpy(zero_copy_only=False) for c in ("component", "mine", "apart", "rep", "key")))
+
+
+def _promising(batches):
+    """The members that stand in a candidate pair: rows of their block pair."""
+    for t, starts in _groups(batches, 2 * BLOCK):
+        arrays, hit = _arrays(t), np.zeros(t.num_rows, bool)
+        for s, e in zip(starts, np.append(starts[1:], t.num_rows)):
+            *some, keys = (x[s:e] for x in arrays)
+            i, j, _ = _candidates(*some, keys[0])
+            hit[s + i], hit[s + j] = True, True
+        for b in t.select([*_PAIR, "mine", "apart", "rep"]).filter(pa.array(hit)).to_batches():
+            yield b
+
+
+def _joining(batches):
+    """Links between components among the candidate pairs of each block pair, as few as join what is to be joined."""
+    for t, starts in _groups(batches, 256):
+        arrays, elems, found = _arrays(t), t.column("elems"), ([], [])
+        for s, e in zip(starts, np.append(starts[1:], t.num_rows)):
+            *some, keys = (x[s:e] for x in arrays)
+            i, j, same = _candidates(*some, keys[0])
+            parent = {int(p): int(p) for p in np.unique(some[2])}
+
+            def root(x):
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in elems.slice(s, e - s)]
+            for k in np.argsort(-same, kind="stable"):
+                p, q = root(int(some[2][i[k]])), root(int(some[2][j[k]]))
+                if p != q and jaccard(sets[i[k]], sets[j[k]]) >= SIMILARITY:
+                    parent[p] = q
+                    ends = sorted((int(some[5][i[k]]), int(some[5][j[k]])))
+                    found[0].append(ends[0]), found[1].append(ends[1])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+
+
+def _rest_links(labels: DataFrame, members: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links between components that the hubs haven't found."""
     known = sigs.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left") \
-                .select("rep", "sig", F.coalesce("component", "rep").alias("component"))
-    tried = failed.select(F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("other")),
-                                            F.struct(F.col("b").alias("rep"), F.col("a").alias("other")))).alias("p")) \
-                  .select("p.*").groupBy("rep").agg(F.collect_list("other").alias("tried"))
+                .select("rep", "sig", "bands", F.coalesce("component", "rep").alias("component"))
 
-    def blocks(rows: DataFrame, side: str, *more: str) -> DataFrame:
-        b = rows.join(sized, "key")
-        block = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int").alias(f"{side}_block")
-        return b.groupBy("key", block).agg(F.collect_list(F.struct("rep", "sig", "component", *more)).alias(side))
+    def in_pairs(rows):
+        return rows.repartition(*_PAIR).sortWithinPartitions(*_PAIR)
 
-    def best(batches):
-        for b in batches:
-            for k in range(b.num_rows):     # one block pair as Python objects at a time
-                mine, theirs = b.column("mine")[k].as_py(), b.column("theirs")[k].as_py()
-                ids, parts = (np.array([x[c] for x in theirs], np.int64) for c in ("rep", "component"))
-                sig = np.array([np.frombuffer(x["sig"], np.uint32) for x in theirs])
-                left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for x in mine:
-                    other = np.flatnonzero(parts != x["component"])
-                    same = (sig[other] == np.frombuffer(x["sig"], np.uint32)).mean(1)
-                    ok = same >= ESTIMATE
-                    if x["tried"]:
-                        ok &= ~np.isin(ids[other], x["tried"])
-                    got = ids[other[ok]][np.argsort(-same[ok], kind="stable")[:most]]
-                    left.append(np.minimum(got, x["rep"])), right.append(np.maximum(got, x["rep"]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (left, right)], ["a", "b"])
-
-    mine = blocks(apart.join(known, "rep").join(tried, "rep", "left"), "mine", "tried")
-    both = mine.join(blocks(others.join(known, "rep"), "theirs"), "key").select("mine", "theirs")
-    return both.mapInArrow(best, "a long, b long").distinct()
-
-
-def _rest_links(links: DataFrame, labels: DataFrame, members: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Labels after all candidates between components are tested: rounds until none is left. Each round
-    allows twice the partners of the one before, so that failures don't make as many rounds as partners."""
-    failed, most = links.limit(0), 1
-    while True:
-        found = stored(_rest_candidates(members, labels, sigs, failed, most), "candidates")
-        if found.isEmpty():
-            return labels
-        new = stored(_verified(found, sets), "links")
-        failed = failed.unionAll(found.join(new, ["a", "b"], "left_anti"))
-        links = links.unionAll(new)
-        labels, most = components(links), 2 * most
+    pair = "key long, m int, t int, mine boolean, apart boolean, rep long"
+    work = _work(members, labels).select(*_PAIR, "mine", "apart", "rep").join(known, "rep")
+    some = stored(in_pairs(work).mapInArrow(_promising, pair), "promising")
+    whole = some.join(known, "rep").join(sets.select(F.col("id").alias("rep"), "elems"), "rep")
+    return stored(in_pairs(whole).mapInArrow(_joining, "a long, b long"), "links")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -268,21 +335,17 @@ def classes(docs: DataFrame) -> DataFrame:
     same = ["h1", "h2", "weight"]
     reps = stored(whole.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"),
                                            F.any_value("sig").alias("sig")), "representatives")
-    buckets = reps.select("rep", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.min_by("rep", F.xxhash64("rep")).alias("second"),
-                                      F.count("*").alias("n")).filter("n > 1").drop("n")
+    buckets = reps.select("rep", "weight", F.explode("bands").alias("key"))
+    hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     members = stored(buckets.join(hubs, "key"), "buckets")
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
     # the ids grow with the corpus: a merge join at every size
     sets = stored(multisets(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")), "multisets")
-    sigs = reps.select("rep", "sig")
     links = stored(_verified(members.filter("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")),
                              sets), "links")
     labels = components(links)
-    again = _apart(members.filter("rep != second"), labels, "second")
-    links = links.unionAll(stored(_verified(again.select(F.col("rep").alias("a"), F.col("second").alias("b")), sets), "links"))
-    labels = _rest_links(links, components(links), members, sigs, sets) \
-        .select(F.col("node").alias("rep"), "component")
+    links = links.unionAll(_rest_links(labels, members, reps.select("rep", "sig", "bands"), sets))
+    labels = components(links).select(F.col("node").alias("rep"), "component")
     named = reps.select(*same, "rep").join(labels, "rep", "left") \
                 .select(*same, F.coalesce("component", "rep").alias("class_id"))
     out = signed.select("doc_id", *same).join(named, same, "left") \
