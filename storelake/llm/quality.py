@@ -170,60 +170,55 @@ def _lang() -> Column:
     return F.coalesce(F.col("lang"), F.lit(""))
 
 
-def _window(own: dict[int, int], k: int) -> tuple[int, int]:
-    """The length classes around ``k`` that hold ``MIN_TRUSTED`` documents, or all classes."""
-    first = last = k
-    while sum(n for c, n in own.items() if first <= c <= last) < MIN_TRUSTED and (first > min(own) or last < max(own)):
-        first, last = first - 1, last + 1
-    return first, last
+def bands(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """(lang, length, low, high): accepted perplexities by language and length class, every class between the shortest and the
+    longest of the language; '*' is for all languages. A row per language and class, made and kept in Spark.
 
-
-def bands(scored: DataFrame, labels: DataFrame) -> dict[str, list[tuple[int, float, float]]]:
-    """Language -> (length class, lowest, highest accepted perplexity); '*' is for all languages.
-    A few numbers per language."""
+    A class is pooled with its neighbours, one more on each side at a time, until ``MIN_TRUSTED`` documents are in it."""
     own = scored.filter(F.col("perplexity").isNotNull()).join(trusted_ids(labels), "doc_id")
     both = stored(own.select(F.explode(F.array(_lang(), F.lit("*"))).alias("lang"), "length", "perplexity"), "trusted")
-    n: dict[str, dict[int, int]] = {}
-    for r in both.groupBy("lang", "length").count().collect():
-        n.setdefault(r["lang"], {})[r["length"]] = r["count"]
-    used = {}
-    for lang, own_n in n.items():
-        for k in range(min(own_n), max(own_n) + 1):
-            used[lang, k] = [(lang, *_window(own_n, k))]
-            if sum(own_n.values()) < MIN_TRUSTED:   # too few to tell: what all languages are granted as well
-                used[lang, k].append(("*", *_window(n["*"], k)))
-    if not used:
-        return {}
-    pools = both.sparkSession.createDataFrame(sorted({p for ps in used.values() for p in ps}),
-                                              "lang string, first int, last int")
+    n = both.groupBy("lang", "length").agg(F.count("*").alias("n"))
+    spans = n.groupBy("lang").agg(F.min("length").alias("shortest"), F.max("length").alias("longest"), F.sum("n").alias("all"))
+    # documents in a window of classes: running counts at its ends (a language has at most some thirty classes)
+    classes_ = spans.select("lang", "shortest", "longest", "all", F.explode(F.sequence("shortest", "longest")).alias("length"))
+    reach = F.explode(F.sequence(F.lit(0), F.col("longest") - F.col("shortest"))).alias("reach")
+    windows = classes_.select("lang", "shortest", "longest", "all", "length", reach)
+    held = windows.join(n.select("lang", F.col("length").alias("at"), "n"), "lang") \
+                  .filter(F.abs(F.col("at") - F.col("length")) <= F.col("reach")) \
+                  .groupBy("lang", "all", "length", "longest", "shortest", "reach").agg(F.sum("n").alias("held")) \
+                  .filter((F.col("held") >= MIN_TRUSTED) | (F.col("reach") == F.col("longest") - F.col("shortest"))) \
+                  .groupBy("lang", "all", "length").agg(F.min("reach").alias("reach"))
+    pools = stored(held.select("lang", "all", "length", (F.col("length") - F.col("reach")).alias("first"),
+                               (F.col("length") + F.col("reach")).alias("last")), "pools")
     q = F.percentile_approx("perplexity", [TAIL, 1 - TAIL], 10000)
-    rows = both.join(F.broadcast(pools), "lang").filter(F.col("length").between(F.col("first"), F.col("last"))) \
-               .groupBy("lang", "first", "last").agg(q.alias("q")).collect()
-    got = {}
-    for r in rows:
-        low, high = r["q"]
-        wide = MARGIN * (high - low)
-        got[r["lang"], r["first"], r["last"]] = max(0.0, low - wide), high + wide
-    out = {}
-    for (lang, k), ps in used.items():
-        out.setdefault(lang, []).append((k, min(got[p][0] for p in ps), max(got[p][1] for p in ps)))
-    return out
-
-
-def _accepted(scored: DataFrame, found: dict) -> Column:
-    """Whether a perplexity is within its band; beyond the longest class known, that class holds."""
-    def by_length(rows):
-        low, high = F.lit(rows[0][1]), F.lit(rows[0][2])
-        for n, a, b in rows:
-            low, high = (F.when(F.col("length") >= n, x).otherwise(y) for x, y in ((a, low), (b, high)))
-        return F.col("perplexity").between(low, high)
-    if not found:
-        return F.lit(True)
-    ok = by_length(found["*"])
-    for lang, rows in found.items():
-        if lang != "*":
-            ok = F.when(_lang() == lang, by_length(rows)).otherwise(ok)
-    return F.coalesce(ok, F.lit(True))
+    # a document stands in the few windows that reach its class; quantiles are gathered per window, by partial sketches
+    found = both.join(pools.select("lang", "first", "last").distinct(), "lang") \
+                .filter(F.col("length").between(F.col("first"), F.col("last"))) \
+                .groupBy("lang", "first", "last").agg(q.alias("q"))
+    wide = MARGIN * (F.col("q")[1] - F.col("q")[0])
+    banded = pools.join(found, ["lang", "first", "last"]).select(
+        "lang", "all", "length", F.greatest(F.lit(0.0), F.col("q")[0] - wide).alias("low"), (F.col("q")[1] + wide).alias("high"))
+    banded = stored(banded, "bands")
+    # a language too small to tell gets what all languages are granted as well
+    common = banded.filter("lang = '*'").select("length", F.col("low").alias("any_low"), F.col("high").alias("any_high"))
+    small = F.col("all") < MIN_TRUSTED
+    return stored(banded.join(common, "length", "left").select(
+        "lang", "length", F.when(small, F.least("low", "any_low")).otherwise(F.col("low")).alias("low"),
+        F.when(small, F.greatest("high", "any_high")).otherwise(F.col("high")).alias("high")), "bands")
+
+
+def _judged(held: DataFrame, found: DataFrame) -> DataFrame:
+    """``held`` (lang, length, perplexity, ...) with ``kept``: whether the perplexity is within its band. Below the shortest and
+    beyond the longest class of a language, that class holds; a language without a band takes that of all languages."""
+    spans = found.groupBy("lang").agg(F.min("length").alias("_first"), F.max("length").alias("_last"))
+    named = spans.select(F.col("lang").alias("_of"), F.lit(True).alias("_known"))
+    h = held.withColumn("_lang", _lang()).join(named, F.col("_lang") == F.col("_of"), "left") \
+            .withColumn("_of", F.when(F.col("_known"), F.col("_lang")).otherwise(F.lit("*")))
+    h = h.join(spans.withColumnRenamed("lang", "_of"), "_of", "left") \
+         .withColumn("_at", F.greatest("_first", F.least("_last", "length")))
+    b = found.select(F.col("lang").alias("_of"), F.col("length").alias("_at"), "low", "high")
+    return h.join(b, ["_of", "_at"], "left") \
+            .withColumn("kept", F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True)))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,7 +227,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        _length_class(F.char_length("text")).alias("length"), score("text").alias("perplexity"))
     scored = stored(rows, "perplexity")
-    return scored.withColumn("kept", _accepted(scored, bands(scored, labels)))
+    return _judged(scored, bands(scored, labels)).select("doc_id", "lang", "length", "perplexity", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -244,4 +239,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names = [F.col(f"`{c}`") for c in docs.columns]
     held = docs.select(F.struct(*names).alias("row"), "lang", _length_class(F.char_length("text")).alias("length"),
                        score("text").alias("perplexity"))
-    return held.filter(_accepted(held, found)).select("row.*")
+    return _judged(held, found).filter("kept").select("row.*")

@@ -368,8 +368,19 @@ def test_junk_goes_in_small_languages_and_short_classes(spark):
     scored = quality.score_documents(d, labels)
     kept = {r["doc_id"]: r["kept"] for r in scored.collect()}
     assert not any(kept[i] for i, _, _ in junk) and all(kept[i] for i, _, _ in rows)
-    found = quality.bands(scored, labels)
-    assert all(np.isfinite(high) for band in found.values() for _, _, high in band)
+    found = quality.bands(scored, labels).collect()
+    assert found and all(np.isfinite(r["high"]) for r in found)
+
+
+def test_many_languages(spark):
+    """A trusted document in each of 400 languages, and junk in some of them."""
+    rows = [(k, prose(k, 80), f"l{k}") for k in range(400)]
+    junk = [(1000 + k, "#$%& " * 80, f"l{k}") for k in range(0, 400, 50)]
+    d = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(400)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality.keep_good(d, labels).collect()}
+    assert not any(k in kept for k, _, _ in junk) and len(kept) >= 395
+    assert "lang" in quality.bands(quality.score_documents(d, labels), labels).columns
 
 
 # pipeline
