@@ -231,6 +231,38 @@ def test_main_text_of_odd_pages(spark):
     assert html_text.extract(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<main class="col no-sidebar"><p>Main text.', "Main text."),
+    ('<article class="category-social post"><p>Body text', "Body text"),
+    ('<article id="search-algorithms"><p>Body', "Body"),
+    ('<article><p class="share">x<p>Body', "Body"),
+    ('<article><ul><li class="ad">x<li>Main item</ul>', "Main item"),
+    ('<div id="content"><p>main</p></div><article>small card</article>', "main"),
+    ('<div class="site-footer">foot</div><p>real text of the page here', "real text of the page here"),
+    ('<div class="page widget-area"><p>all of the page is here</p></div>', "all of the page is here"),
+    ("<table><tr><td class=ad>x<td>cell<tr><td>more</table>", "cell more"),
+    ('<dl><dt class="nav">a<dd>def</dl>', "def"),
+    ("<ul><li>one<ul><li>inner</ul><li class=menu>no<li>two</ul>", "one inner two"),
+    ("<article><p>a<div class=comments>c</div><p>b</article><div>out", "a b"),
+    ('<article class="ad_banner">not dropped</article>', "not dropped"),
+    ("<div class=my_sidebar>side words</div><article>the article has more words</article>", "the article has more words"),
+])
+def test_names_and_open_elements(page, text):
+    assert html_text.main_texts([html_text.blocks(page)]) == [text]
+
+
+def test_repeats_decide_beside_a_small_article(monkeypatch):
+    """Pages with an article: what their host repeats outside it goes, what is their own stays."""
+    menu = "<div>home about our shop contact press jobs and legal notes of this site</div>"
+    pages = [f"{menu}<div>own story {' '.join(f'w{k}x{i}' for i in range(20))}</div><article>card {k}</article>"
+             for k in range(6)]
+    found = [html_text.blocks(p) for p in pages]
+    texts = html_text.main_texts(found)
+    assert all("own story" in t and f"card {k}" in t and "contact press" not in t for k, t in enumerate(texts))
+    monkeypatch.setattr(html_text, "repeated", lambda streams: [np.zeros(len(s), bool) for s in streams])
+    assert all("contact press" in t for t in html_text.main_texts(found))
+
+
 def test_repeats_are_those_of_brute_force():
     random.seed(4)
     pages = [[random.randint(0, 3) for _ in range(random.randint(0, 60))] for _ in range(12)]
