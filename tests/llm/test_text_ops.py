@@ -247,31 +247,59 @@ def test_main_text_of_odd_pages(spark):
     ('<article class="ad_banner">not dropped</article>', "not dropped"),
     ("<div class=my_sidebar>side words</div><article>the article has more words</article>", "the article has more words"),
 ])
-def test_names_and_open_elements(page, text):
-    assert html_text.main_texts([html_text.blocks(page)]) == [text]
+def test_names_and_open_elements(spark, page, text):
+    assert [r["text"] for r in html_text.extract(pages_of(spark, [page])).collect()] == [text]
 
 
-def test_repeats_decide_beside_a_small_article(monkeypatch):
+def pages_of(spark, found, host="h"):
+    return spark.createDataFrame([(k, f"http://{host}/{k}", p) for k, p in enumerate(found)], "page_id long, url string, html string")
+
+
+def test_repeats_decide_beside_a_small_article(spark, monkeypatch):
     """Pages with an article: what their host repeats outside it goes, what is their own stays."""
     menu = "<div>home about our shop contact press jobs and legal notes of this site</div>"
     pages = [f"{menu}<div>own story {' '.join(f'w{k}x{i}' for i in range(20))}</div><article>card {k}</article>"
              for k in range(6)]
-    found = [html_text.blocks(p) for p in pages]
-    texts = html_text.main_texts(found)
-    assert all("own story" in t and f"card {k}" in t and "contact press" not in t for k, t in enumerate(texts))
-    monkeypatch.setattr(html_text, "repeated", lambda streams: [np.zeros(len(s), bool) for s in streams])
-    assert all("contact press" in t for t in html_text.main_texts(found))
+    d = pages_of(spark, pages)
+    texts = {r["page_id"]: r["text"] for r in html_text.extract(d).collect()}
+    assert all("own story" in t and f"card {k}" in t and "contact press" not in t for k, t in texts.items())
+    monkeypatch.setattr(html_text, "repeated", lambda rows, hosts: spark.createDataFrame([], "host string, rank long"))
+    assert all("contact press" in r["text"] for r in html_text.extract(d).collect())
 
 
-def test_repeats_are_those_of_brute_force():
+def test_repeats_are_those_of_brute_force(spark):
     random.seed(4)
-    pages = [[random.randint(0, 3) for _ in range(random.randint(0, 60))] for _ in range(12)]
     n = html_text.REPEAT
-    held = {}
-    for k, p in enumerate(pages):
-        for i in range(len(p) - n + 1):
-            held.setdefault(tuple(p[i:i + n]), set()).add(k)
-    for p, marks in zip(pages, html_text.repeated(pages)):
-        want = [any(len(held[tuple(p[i:i + n])]) > 1 for i in range(max(0, j - n + 1), min(j, len(p) - n) + 1))
-                for j in range(len(p))]
-        assert marks.tolist() == want
+    hosts = {h: [[[random.choice("abc") for _ in range(random.randint(1, 12))] for _ in range(random.randint(1, 6))] for _ in range(12)]
+             for h in ("x", "y")}
+    hosts["x"].append(hosts["x"][0])                            # a copy of a page is no second page
+    rows, want = [], {}
+    for h, found in hosts.items():
+        streams = [tuple(w for block in page for w in block) for page in found]
+        held = {}
+        for s in streams:
+            for i in range(len(s) - n + 1):
+                held.setdefault(s[i:i + n], set()).add(s)
+        for k, (page, s) in enumerate(zip(found, streams)):
+            marks = [any(len(held[s[i:i + n]]) > 1 for i in range(max(0, j - n + 1), min(j, len(s) - n) + 1)) for j in range(len(s))]
+            kept, at = [], 0
+            for block in page:
+                share = marks[at:at + len(block)]
+                at += len(block)
+                if sum(share) < html_text.COVERED * len(block):
+                    kept.append(" ".join(block))
+            rows.append((k, f"http://{h}/{k}", "".join(f"<p>{' '.join(block)}</p>" for block in page)))
+            want[h, k] = " ".join(kept)
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {(r["url"][7], r["page_id"]): r["text"] for r in html_text.extract(d).collect()}
+    assert got == want and len(set(want.values())) > 5
+
+
+def test_a_large_host_equals_the_same_pages_in_any_partitioning(spark, monkeypatch):
+    """A repeat that stands on two pages of a host is found wherever they lie."""
+    pages = [f"<div>{' '.join(f'm{k // 2}y{i}' for i in range(10))}</div><p>{' '.join(f't{k}z{i}' for i in range(400))}</p>" for k in range(1200)]
+    d = pages_of(spark, pages)
+    monkeypatch.setattr(html_text, "BATCH_TOKENS", 5000)
+    one = {r["page_id"]: r["text"] for r in html_text.extract(d.repartition(1)).collect()}
+    many = {r["page_id"]: r["text"] for r in html_text.extract(d.repartition(23)).collect()}
+    assert one == many and not any("y0" in t for t in one.values()) and all(f"t{k}z0" in t for k, t in one.items())
