@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,23 @@ def grouped(texts: list[str | None], most: int = BATCH_CHARS) -> Iterator[list[s
             part, size = [], 0
     if part:
         yield part
+
+
+def give_back() -> None:
+    """Return a worker's free memory to the system: workers wait for further tasks, and other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # not every C library has it
+        pass
+
+
+def tidy(run):
+    """A function of ``mapInArrow`` that gives its memory back when its task is done."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped

@@ -117,21 +117,23 @@ def _kept(text: Column, drops: Column) -> Column:
 
 
 def _joined(docs: DataFrame, batches: int) -> DataFrame:
-    return docs.withColumns({"_doc": _identity()[0], "_row": _identity()[1]}) \
-               .join(dropped_lines(docs, batches), ["_doc", "_row"], "left")
+    """(all: the document's columns in one struct, beside which no name of ours can clash; _drops)."""
+    return docs.select(F.struct("*").alias("all"), *_identity()) \
+               .join(dropped_lines(docs, batches), ["_doc", "_row"], "left").select("all", "_drops")
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """``docs`` with repeated lines removed; columns as before (``n_chars`` follows the text)."""
-    out = _joined(docs, batches).withColumn("text", _kept(F.col("text"), F.col("_drops")))
+    out = _joined(docs, batches).select("all", _kept(F.col("all.text"), F.col("_drops")).alias("kept"))
+    follows = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        follows["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[follows.get(c, F.col("all")[c]).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """Per document: lines, dropped lines, digest of the kept text."""
-    d = _joined(docs.select("doc_id", "text"), batches)
+    d = _joined(docs.select("doc_id", "text"), batches).select("all.*", "_drops")
     text = text_or_empty()
     return d.select("doc_id", F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"),
                     F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"),

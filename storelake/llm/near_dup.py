@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import grouped, stored, words
+from storelake.llm.common import grouped, stored, tidy, words
 from storelake.llm.graph import components
 
 SHINGLE = 5
@@ -154,7 +154,7 @@ def sign(docs: DataFrame) -> DataFrame:
                      pa.array([x.astype(np.uint32).tobytes() for x in sig], pa.binary())],
                     ["doc_id", "weight", "h1", "h2", "bands", "sig"])
 
-    return _source(docs).mapInArrow(run, "doc_id long, weight long, h1 long, h2 long, bands array<long>, sig binary")
+    return _source(docs).mapInArrow(tidy(run), "doc_id long, weight long, h1 long, h2 long, bands array<long>, sig binary")
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def multisets(docs: DataFrame) -> DataFrame:
                 e = e.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array([np.sort(e[i:j]).tobytes() for i, j in zip(cut, cut[1:])], pa.binary())], ["id", "elems"])
-    return _source(docs).mapInArrow(run, "id long, elems binary")
+    return _source(docs).mapInArrow(tidy(run), "id long, elems binary")
 
 
 def jaccard(p: np.ndarray, q: np.ndarray) -> float:
@@ -323,9 +323,9 @@ def _rest_links(labels: DataFrame, members: DataFrame, sigs: DataFrame, sets: Da
 
     pair = "key long, m int, t int, mine boolean, apart boolean, rep long"
     work = _work(members, labels).select(*_PAIR, "mine", "apart", "rep").join(known, "rep")
-    some = stored(in_pairs(work).mapInArrow(_promising, pair), "promising")
+    some = stored(in_pairs(work).mapInArrow(tidy(_promising), pair), "promising")
     whole = some.join(known, "rep").join(sets.select(F.col("id").alias("rep"), "elems"), "rep")
-    return stored(in_pairs(whole).mapInArrow(_joining, "a long, b long"), "links")
+    return stored(in_pairs(whole).mapInArrow(tidy(_joining), "a long, b long"), "links")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ trusted if no label calls it bad or toxic. Rows with equal ``doc_id`` are scored
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import stored
+from storelake.llm.common import give_back, stored, tidy
 
 ORDER = 3
 CLASSES = 64
@@ -88,7 +89,7 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["gram", "n"])
 
-    return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -143,9 +144,13 @@ def log_table(model: DataFrame, order: int = ORDER) -> np.ndarray:
 def perplexity(table: np.ndarray, order: int = ORDER):
     """A column function: perplexity per character of a text, null where there is none."""
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(2.0 ** -table[grams(t, order)].mean(dtype=np.float64)) if t else None for t in texts],
-                         dtype="float64")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in parts:
+                yield pd.Series([float(2.0 ** -table[grams(t, order)].mean(dtype=np.float64)) if t else None for t in texts],
+                                dtype="float64")
+        finally:
+            give_back()
     return score
 
 

@@ -92,6 +92,14 @@ def test_lines_run_without_python(spark):
     assert "Python" not in plan and "MapInArrow" not in plan
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    d = spark.createDataFrame([(1, "a line of text\nown", 7, "d", "r", "x", 18, 1), (2, "a line of text\nother", 8, "e", "s", "y", 20, 2)],
+                              "doc_id long, text string, _doc int, _drops string, _row string, `all` string, n_chars long, kept int")
+    got = sorted(tuple(r) for r in line_dedup.dedup_lines(d).collect())
+    assert got == [(1, "a line of text\nown", 7, "d", "r", "x", 18, 1), (2, "other", 8, "e", "s", "y", 5, 2)]
+    assert line_dedup.dedup_lines(d).dtypes == d.dtypes
+
+
 # 7: near copies
 
 def brute_classes(rows):
