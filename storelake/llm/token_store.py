@@ -43,6 +43,7 @@ GAMMA = 2.0                 # bits per key on each level
 MAX_LEVELS = 64
 CACHE_ENTRIES = 500_000
 CACHE_CHARS = 48
+JOINED = 64                 # chunks encoded together
 MAGIC = b"IDSHARD1"
 _NO_ID = -(1 << 63)
 
@@ -67,6 +68,10 @@ class ChunkTokenizer:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.cache: dict[str, bytes] = {}
+        # characters of a byte-level entry are bytes; the mark of a word's end is none of them
+        self.lengths = np.zeros(self.tok.get_vocab_size(), np.int64)
+        for entry, i in self.tok.get_vocab().items():
+            self.lengths[i] = len(entry.removesuffix("</w>"))
 
     def _marked(self, chunk: str) -> bool:
         return chunk[-1:] in self.MARKS and chunk[-2:-1].isalnum() and (chunk.isascii() or max(chunk) < "\u0100")
@@ -88,8 +93,7 @@ class ChunkTokenizer:
         new = set().union(*chunks).difference(cache)
         marked = [c for c in new if self._marked(c)]
         todo = list(new.difference(marked).union(c[:-1] for c in marked).union(c[-1] for c in marked).difference(cache))
-        for c, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False)):
-            cache[c] = array(self.code, e.ids).tobytes()
+        self._learn(todo)
         for c in marked:
             cache[c] = cache[c[:-1]] + cache[c[-1]]
         out = [b"".join(map(cache.__getitem__, cs)) for cs in chunks]
@@ -99,6 +103,27 @@ class ChunkTokenizer:
         return out
 
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode chunks and remember their ids. Lower-case Latin-1 chunks are encoded ``JOINED`` at a time with a blank between
+        them; the lengths of the tokens tell where each ends, and a group that doesn't come out even is done chunk by chunk."""
+        plain = [c for c in chunks if c and c.isalnum() and c.islower() and (c.isascii() or max(c) < "\u0100")]
+        groups = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
+        single = list(set(chunks).difference(plain))
+        size = self.dtype.itemsize
+        for g, e in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.cumsum(self.lengths[ids])
+            want = np.cumsum([len(c.encode()) for c in g])
+            cut = np.searchsorted(ends, want)
+            if len(ends) and ends[-1] == want[-1] and (ends[cut] == want).all():
+                data, at = ids.tobytes(), [0, *(size * (cut + 1)).tolist()]
+                self.cache.update(zip(g, [data[i:j] for i, j in zip(at, at[1:])]))
+            else:
+                single += g
+        for c, e in zip(single, self.tok.encode_batch_fast(single, add_special_tokens=False)):
+            self.cache[c] = array(self.code, e.ids).tobytes()
+
+
 @functools.cache
 def tokenizer(path: str) -> ChunkTokenizer:
     import os
