@@ -5,9 +5,9 @@ index over the words of licence templates:
 
 1. document frequencies of the template words over the whole corpus give their IDF;
 2. the ``ANCHORS`` words of highest IDF of each template are looked up in every file;
-3. each occurrence votes for the place where the template would start; votes for one place
-   (within ``SLACK`` words) are put together, and ``MIN_VOTES`` anchors must agree;
-4. the template is compared word by word at that place, and its key phrases must all stand there.
+3. occurrences are chained in the template's order; between two of them the text may have up to ``GAP`` words more than the
+   template, or fewer, so that comment marks, line numbers and edits don't break a chain. ``MIN_VOTES`` anchors must agree;
+4. the template is aligned with the words about the chain, and its key phrases must all stand there.
 
 Words are runs of digits, letters (A-Z lower-cased) and non-ASCII characters. Null or empty texts
 have no words, no labels and score 0. Each row is answered by itself.
@@ -16,7 +16,8 @@ have no words, no labels and score 0. Each row is answered by itself.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,10 +54,10 @@ TEMPLATES = {
     "unlicense": ("This is free and unencumbered software released into the public domain",
                   ["unencumbered software", "public domain"]),
 }
-ANCHORS = 4
+ANCHORS = 6
 MIN_VOTES = 2
-SLACK = 2           # words by which two votes for one place may differ
-MIN_ALIGNED = 0.6   # share of a template's words found at their places
+GAP = 12            # words that may be set in between two anchors
+MIN_ALIGNED = 0.6   # share of a template's words found in its order
 
 
 def _template_words() -> dict[str, list[bytes]]:
@@ -105,31 +106,54 @@ class TemplateIndex:
         hits = self.anchors.intersection(ws)
         if not hits:
             return {}
-        votes = defaultdict(set)    # (label, start) -> anchors
+        placed = defaultdict(list)      # label -> (place in the text, place in the template)
         for at, w in enumerate(ws):
             if w in hits:
                 for label, pos in self.postings[w]:
-                    votes[label, at - pos].add(w)
+                    placed[label].append((at, pos))
         found = {}
-        for (label, start), own in votes.items():
-            near = set().union(*(votes.get((label, start + d), ()) for d in range(-SLACK, SLACK + 1)))
-            if len(near) < self.needed[label]:
-                continue
-            share = self._aligned(label, start, ws)
-            if share >= MIN_ALIGNED and share > found.get(label, 0):
-                found[label] = share
+        for label, points in placed.items():
+            for lo, hi in self._chains(label, points):
+                share = self._aligned(label, ws[max(0, lo):hi])
+                if share >= MIN_ALIGNED and share > found.get(label, 0):
+                    found[label] = share
         return found
 
-    def _aligned(self, label: str, start: int, ws: list[bytes]) -> float:
-        template = self.templates[label]
-        lo = max(0, start - SLACK)
-        window = ws[lo:start + len(template) + SLACK]
+    def _chains(self, label: str, points: list[tuple[int, int]]):
+        """(from, to) in the text about each longest chain of enough anchors."""
+        size, open_ = len(self.templates[label]), deque()     # (at, pos, anchors, from), those near enough to go on
+        best = None
+        for at, pos in points:
+            while open_ and at - open_[0][0] > size + GAP:
+                open_.popleft()
+            n, start = 1, at - pos
+            for at0, pos0, n0, start0 in open_:
+                if pos0 < pos and at0 < at and at - at0 <= pos - pos0 + GAP and n0 + 1 > n:
+                    n, start = n0 + 1, start0
+            open_.append((at, pos, n, start))
+            if n >= self.needed[label]:
+                if best and (at > best[1] + GAP or start > best[1]):
+                    yield best[0] - GAP, best[1] + GAP
+                    best = None
+                end = at + size - pos
+                best = (min(best[0], start), max(best[1], end)) if best else (start, end)
+        if best:
+            yield best[0] - GAP, best[1] + GAP
+
+    def _aligned(self, label: str, window: list[bytes]) -> float:
+        """Share of the template's words that stand in the window in order (longest common subsequence); 0 without all key phrases."""
         joined = b" " + b" ".join(window) + b" "
         if not all(k in joined for k in self.keys[label]):
             return 0.0
-        same = sum(any(0 <= start + i + d < len(ws) and ws[start + i + d] == w for d in range(-SLACK, SLACK + 1))
-                   for i, w in enumerate(template))
-        return same / len(template)
+        places = defaultdict(list)
+        for k in range(len(window) - 1, -1, -1):
+            places[window[k]].append(k)
+        ends: list[int] = []
+        for w in self.templates[label]:
+            for k in places.get(w, ()):
+                i = bisect_left(ends, k)
+                ends[i:i + 1] = [k]
+        return len(ends) / len(self.templates[label])
 
 
 def base_places(ws: list[bytes]) -> list[tuple[int, str]]:
@@ -138,9 +162,10 @@ def base_places(ws: list[bytes]) -> list[tuple[int, str]]:
     out = []
     for phrase, label in BASE_PHRASES.items():
         needle = b" " + phrase.encode() + b" "
-        at = joined.find(needle)
+        at, before, last = joined.find(needle), 0, 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
+            before, last = before + joined.count(b" ", last, at), at
+            out.append((before, label))
             at = joined.find(needle, at + 1)
     return sorted(out)
 

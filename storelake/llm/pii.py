@@ -44,6 +44,7 @@ CONTEXT_WORDS = {
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
 CONTEXT_GAIN = 0.4      # added when a context word is near
 CONTEXT_CHARS = 40      # code points looked at before a span
+PART = 256              # matches whose spans are gathered together
 EXTRA_MIN_SCORE = 0.5   # spans of the extra kinds below this are not reported
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -86,6 +87,11 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _once(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` computed once, however often it reads it."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def _spans(kind: str, text: Column) -> Column:
     """Array of (start, rank, end, score) of the confirmed spans of one kind."""
     pat = PATTERNS[kind]
@@ -110,8 +116,20 @@ def _spans(kind: str, text: Column) -> Column:
     empty = F.from_json(F.lit("[]"), "array<struct<start:int,rank:int,end:int,score:double>>")
     # one piece more than matches: the last pair has no match
     pairs = F.zip_with(pieces, found, lambda p, m: F.struct(p.alias("p"), F.coalesce(m, F.lit("")).alias("m")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("got")), step,
-                        lambda acc: acc["got"])
+
+    def parts(p):
+        """Spans of ``PART`` matches at a time, counted from the part's own start: appending to an array copies it."""
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / PART).cast("int")), lambda k: F.aggregate(
+            F.slice(p, k * PART + 1, F.lit(PART)), F.struct(F.lit(0).alias("at"), empty.alias("got")), step))
+
+    def placed(c):
+        """All spans, moved by what stands before their part."""
+        starts = F.aggregate(c, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda acc, x: F.struct(
+            (acc["at"] + x["at"]).alias("at"), F.array_append(acc["all"], acc["at"]).alias("all")), lambda acc: acc["all"])
+        return F.flatten(F.zip_with(c, starts, lambda x, by: F.transform(x["got"], lambda s: F.struct(
+            (s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["end"] + by).alias("end"), s["score"].alias("score")))))
+
+    spans = _once(_once(pairs, parts), placed)
     hint = F.contains(text, F.lit(HINTS[kind])) if kind in HINTS else text.rlike("[0-9]{2}")
     if kind == "ip":
         hint = text.rlike(r"[0-9]\.[0-9]")

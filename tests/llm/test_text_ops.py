@@ -203,6 +203,38 @@ def test_licence_templates(spark):
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 3, 10])
+def test_licence_with_words_set_in_keeps_its_label(spark, n):
+    rng = random.Random(n)
+    rows = []
+    for i, label in enumerate(("mit", "apache-2.0", "bsd", "gpl-notice")):
+        text, keys = licenses.TEMPLATES[label]
+        ws = text.split()
+        for _ in range(n):      # anywhere but inside a key phrase
+            free = [k for k in range(1, len(ws)) if not any(" ".join(ws[max(0, k - d):k - d + len(q.split())]).lower() == q
+                                                            for q in keys for d in range(1, len(q.split())))]
+            ws.insert(rng.choice(free), f"x{rng.randint(0, 99)}")
+        rows.append((i, "some words before it " + " ".join(ws) + " and after", label))
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(frame(spark, [r[:2] for r in rows])).collect()}
+    assert all(label in got[i] for i, _, label in rows)
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+    def seconds(op, text):
+        op(frame(spark, [(1, text)])).collect()
+        t = time.time()
+        op(frame(spark, [(1, text)])).collect()
+        return time.time() - t
+    assert seconds(licenses.scan, "all rights reserved cc by " * 80000) < 8
+    one = " ".join(f"write to name{k}@host{k}.org or" for k in range(30000))
+    assert len(one) > 900_000 and seconds(pii.pii_report, one) < 8
+    r = pii.pii_report(frame(spark, [(1, one)])).first()
+    assert r["n_email"] == 30000
+    spans = [tuple(map(int, x.split(":")[1:])) for x in r["spans"].split(",")]
+    assert all(one[a:b] == f"name{k}@host{k}.org" for k, (a, b) in enumerate(spans))
+
+
 # 9: pages
 
 def test_main_text_of_marked_pages(spark):
