@@ -304,39 +304,60 @@ def test_vectors_equal_brute_force(spark):
 
 # 10: quality
 
-def plain_kneser_ney(text_grams, order):
-    """Dictionary version of the model: log2 probability of a gram."""
-    c = quality.CLASSES
-    levels = {order: collections.Counter(text_grams)}
+def plain_kneser_ney(texts, order):
+    """Dictionary version of the model: probability of a character after a context, both as they stand."""
+    pad = "\0" * (order - 1)
+    levels = {order: collections.Counter((pad + t)[i:i + order] for t in texts for i in range(len(t)))}
     for k in range(order - 1, 0, -1):
-        levels[k] = collections.Counter(g % c ** k for g in levels[k + 1])
-
-    def p(gram, k):
-        if k == 0:
-            return 1 / c
-        counts = levels[k]
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    discounts, contexts = {}, {}
+    for k, counts in levels.items():
         n = collections.Counter(counts.values())
         y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0.0
-        d = [min(max(j - (j + 1) * y * n[j + 1] / n[j], 0.1), j) if n[j] else 0.5 for j in (1, 2, 3)]
-        context = [v for g, v in counts.items() if g // c == gram // c]
-        below = p(gram % c ** (k - 1), k - 1)
-        if not context:
+        discounts[k] = [min(max(j - (j + 1) * y * n[j + 1] / n[j], 0.1), j) if n[j] else 0.5 for j in (1, 2, 3)]
+        contexts[k] = collections.defaultdict(list)
+        for g, v in counts.items():
+            contexts[k][g[:-1]].append(v)
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / (len(levels[1]) + 1)
+        d, seen, below = discounts[k], contexts[k].get(gram[:-1]), p(gram[1:])
+        if not seen:
             return below
-        rest = sum(d[min(v, 3) - 1] for v in context) / sum(context)
-        own = counts.get(gram, 0)
-        return (own - d[min(own, 3) - 1] if own else 0) / sum(context) + rest * below
-    return lambda gram: p(gram, order)
+        own = levels[k].get(gram, 0)
+        return (own - d[min(own, 3) - 1] if own else 0) / sum(seen) + sum(d[min(v, 3) - 1] for v in seen) / sum(seen) * below
+    return p
 
 
 def test_model_equals_plain_version(spark):
+    n = quality.ORDER
     texts = [prose(k, 30).capitalize() + ".\nÉa 12" for k in range(6)]
+    new = [prose(50, 20), "日本語 Éa 12 zzz", "", None, "a", "\0\0", prose(1, 30)]
     d = frame(spark, list(enumerate(texts)) + [(9, None), (10, "")])
-    table = quality.log_table(quality.kneser_ney(quality.gram_counts(d)))
-    grams = np.concatenate([quality.grams(t) for t in texts])
-    plain = plain_kneser_ney(grams.tolist(), quality.ORDER)
-    some = np.concatenate([np.unique(grams)[::9], [0, 5, 70000, 262143]])
-    assert np.allclose(table[some], [np.log2(plain(int(g))) for g in some], rtol=1e-4)
-    assert np.allclose((2.0 ** table.reshape(-1, quality.CLASSES).astype(float)).sum(1), 1, atol=1e-3)
+    model = quality.kneser_ney(quality.gram_counts(d))
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(new)], "gram long, text string").repartition(3)
+    got = {r["gram"]: r["perplexity"] for r in quality.perplexities(rows, model).collect()}
+    p, pad = plain_kneser_ney(texts, n), "\0" * (n - 1)
+    for k, t in enumerate(new):
+        if not t or "\0" in t:
+            assert (got[k] is None) == (not t)
+            continue
+        bits = [np.log2(p((pad + t)[i:i + n])) for i in range(len(t))]
+        assert got[k] == pytest.approx(2.0 ** -np.mean(bits), rel=1e-9)
+    alphabet = sorted(set("".join(texts))) + ["\uffff"]
+    for context in ("\0\0\0", "an ", "zzz"):
+        assert sum(p(context + c) for c in alphabet) == pytest.approx(1)
+
+
+def test_scores_are_the_same_without_a_broadcast(spark, monkeypatch):
+    d = frame(spark, [(k, prose(k, 40)) for k in range(30)])
+    model = quality.kneser_ney(quality.gram_counts(d))
+    rows = d.select("doc_id", "text")
+    one = {r["doc_id"]: round(r["perplexity"], 9) for r in quality.perplexities(rows, model).collect()}
+    monkeypatch.setattr(quality, "MAX_BROADCAST_GRAMS", 10)
+    assert {r["doc_id"]: round(r["perplexity"], 9) for r in quality.perplexities(rows, model).collect()} == one
 
 
 def test_held_out_accuracy(spark):
