@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from storelake.llm.common import broadcast_within, grouped, stored, tidy
 
 ORDER = 4
-MAX_BROADCAST_GRAMS = 3_000_000
+MAX_BROADCAST_GRAMS = 1_000_000
 BATCH_CHARS = 500_000
 TAIL = 0.001
 MARGIN = 0.5
