@@ -61,6 +61,13 @@ def model_input(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.na.drop(subset=list(spec.required))
 
 
+def spread(df: DataFrame, key: str = "order_id") -> DataFrame:
+    """``df`` over at least as many partitions as the cluster has cores. Trees are grown in hundreds of short passes over the
+    rows; a small table comes out of its joins in a few partitions, and each pass would use as few cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, F.col(key)) if key in df.columns and df.rdd.getNumPartitions() < cores else df
+
+
 def split(df: DataFrame, key: str | None = None, weights=SPLIT_WEIGHTS,
           seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """Train/test split (M7).

@@ -76,7 +76,7 @@ def models_job(spark: SparkSession, gold_root: str, out: str, model_root: str,
             (models.DELAY, "ml_feature_store_v2", "shipment_delay", models.delay_predictions),
             (models.PRICE, "order_features_for_pricing", "dynamic_pricing",
              models.pricing_recommendations)):
-        data = models.model_input(spark.read.parquet(f"{gold_root}/{table}"), spec)
+        data = models.spread(models.model_input(spark.read.parquet(f"{gold_root}/{table}"), spec))
         train, test = models.split(data, key="order_id")
         model = models.fit(train, spec, **kw)
         pred = model.transform(test).cache()

@@ -498,7 +498,7 @@ def _fit_predict(df, spec):
     feature joins."""
     from pyspark import StorageLevel
     from storelake.operators import models as m
-    data = m.model_input(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    data = m.spread(m.model_input(df, spec)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = m.split(data, key="order_id")
         model = m.fit(train, spec)
