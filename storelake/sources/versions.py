@@ -89,15 +89,18 @@ class Versions:
         return self._empty(schema) if at is None else self.spark.read.schema(schema).parquet(self.folder(table, at))
 
     def read_all(self, table: str, schema: str, since: int = 0) -> DataFrame:
-        """All committed rows of a table to which every version adds, with their ``version``. Folders of versions
-        without a record are not read."""
-        known = [v for v in self.versions() if v >= since]
-        fs = self._fs()
-        there = [v for v in known if fs.exists(self._path(table, f"version={v}"))]
+        """All committed rows of a table to which every version adds, with their ``version``. The folders of versions
+        without a record are pruned; two listings tell which those are, however many versions there are."""
+        known, fs = set(self.versions()), self._fs()
+        written = [s.getPath().getName() for s in fs.listStatus(self._path(table))] if fs.exists(self._path(table)) else []
+        written = {int(n.split("=")[1]) for n in written if n.startswith("version=")}
+        there = sorted(v for v in written & known if v >= since)
         if not there:
             return self._empty(f"{schema}, version int")
-        return (self.spark.read.schema(f"{schema}, version int").option("basePath", f"{self.root}/{table}")
-                .parquet(*[self.folder(table, v) for v in there]))
+        version = F.col("version")
+        lost = sorted(v for v in written - known if there[0] <= v <= there[-1])
+        rows = self.spark.read.schema(f"{schema}, version int").parquet(f"{self.root}/{table}")
+        return rows.filter(version.between(there[0], there[-1]) & (~version.isin(lost) if lost else F.lit(True)))
 
     def _empty(self, schema: str) -> DataFrame:
         return self.spark.createDataFrame([], schema)
