@@ -45,17 +45,21 @@ REJECT = "value string, reject_reason string, used boolean"
 ORDER_COLUMNS = [c.split()[0] for c in ORDER.split(", ")]
 LAST_COLUMNS = [c.split()[0] for c in LAST.split(", ")]
 KEEP_VERSIONS = 3
+CHUNK_ROWS = 2_000_000
 COMPACT_EVERY = 16
 
 
 def _scan(orders: DataFrame, last: DataFrame | None, cfg: RuleConfig) -> DataFrame:
-    """Orders with their previous order, place and session, where ``last`` holds what went before them."""
+    """Orders with their previous order, place and session, where ``last`` holds what went before them.
+
+    The number of chunks goes by the rows counted: the planner can't tell the size of a micro-batch or of a join with it."""
+    chunks = max(orders.sparkSession.sparkContext.defaultParallelism, -(-orders.count() // CHUNK_ROWS))
     rows = orders.withColumn("_before", F.lit(None).cast("bigint"))
     if last is not None:
         ahead = last.select(*[F.col(c) if c in LAST_COLUMNS else F.lit(None).cast("double" if c == "total" else "timestamp_ntz").alias(c)
                               for c in ORDER_COLUMNS], F.col("session_count").alias("_before"))
         rows = rows.unionByName(ahead)
-    chunked = sequence.chunk_rows(rows, rules.CUSTOMER, rules.ORDER)
+    chunked = sequence.chunk_rows(rows, rules.CUSTOMER, rules.ORDER, chunks)
     seq = sequence.add_previous_and_sessions(chunked, rules.ORDER, ["customer_state", "ts"], "ts", cfg.velocity_window_seconds)
     if last is not None:
         # the first session of a customer goes on where its last order stood
