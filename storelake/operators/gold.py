@@ -38,7 +38,11 @@ def customer_spending_profile(fact: DataFrame, customers: DataFrame) -> DataFram
         (F.col("_freight") * m).cast("double").alias("total_freight_paid"))
 
 
-# fixed values: the columns of the pricing table
+# fixed values: the dimension columns that the pricing table reads, and its own
+PRICING_DIMENSIONS = {
+    "products": ["product_id", "product_weight_g", "product_length_cm", "product_width_cm", "product_height_cm"],
+    "customers": ["customer_id", "customer_state"],
+}
 PRICING_COLUMNS = [
     "order_id", "product_id", "price", "freight_value", "freight_ratio",
     "delivery_days", "estimated_vs_actual_delivery",
@@ -54,12 +58,13 @@ def order_features_for_pricing(fact: DataFrame, products: DataFrame,
     ``estimated_vs_actual_delivery`` is estimated − delivered (positive = early).
     Both filters reach the scans or the join below them (Catalyst pushdown).
     """
-    base = (fact
-            .join(products.select("product_id", "product_weight_g", "product_length_cm",
-                                  "product_width_cm", "product_height_cm"),
-                  on="product_id", how="left")
-            .join(customers.select("customer_id", "customer_state"),
-                  on="customer_id", how="left"))
+    return pricing_features(fact
+                            .join(products.select(PRICING_DIMENSIONS["products"]), on="product_id", how="left")
+                            .join(customers.select(PRICING_DIMENSIONS["customers"]), on="customer_id", how="left"))
+
+
+def pricing_features(base: DataFrame) -> DataFrame:
+    """The pricing table from fact rows that hold the columns of ``PRICING_DIMENSIONS``."""
     return (base.withColumns({
                 "delivery_days": days_between("order_delivered_customer_date", "order_purchase_date"),
                 "estimated_vs_actual_delivery": days_between("order_estimated_delivery_date",
@@ -72,7 +77,13 @@ def order_features_for_pricing(fact: DataFrame, products: DataFrame,
             .select(PRICING_COLUMNS))
 
 
-# fixed values: the columns of the model feature table
+# fixed values: the dimension columns that the model feature table reads, and its own
+ML_DIMENSIONS = {
+    "products": ["product_id", "product_weight_g", "product_length_cm", "product_width_cm", "product_height_cm",
+                 "product_photos_qty", "product_name_lenght", "product_description_lenght"],
+    "customers": ["customer_id", "customer_state", "customer_city"],
+    "sellers": ["seller_id", "seller_state", "seller_city"],
+}
 ML_COLUMNS = [
     "delay_vs_estimate_days", "estimated_delivery_days",
     "purchase_month", "purchase_day", "purchase_weekday", "purchase_hour", "is_weekend_order",
@@ -110,15 +121,14 @@ def ml_feature_store(fact: DataFrame, products: DataFrame, customers: DataFrame,
     those joined rows: one pass over the items, and no exchange for it when the
     dimensions are broadcast. The filter comes after the totals.
     """
-    base = (fact
-            .join(products.select("product_id", "product_weight_g", "product_length_cm",
-                                  "product_width_cm", "product_height_cm", "product_photos_qty",
-                                  "product_name_lenght", "product_description_lenght"),
-                  on="product_id", how="left")
-            .join(customers.select("customer_id", "customer_state", "customer_city"),
-                  on="customer_id", how="left")
-            .join(sellers.select("seller_id", "seller_state", "seller_city"),
-                  on="seller_id", how="left"))
+    return ml_features(fact
+                       .join(products.select(ML_DIMENSIONS["products"]), on="product_id", how="left")
+                       .join(customers.select(ML_DIMENSIONS["customers"]), on="customer_id", how="left")
+                       .join(sellers.select(ML_DIMENSIONS["sellers"]), on="seller_id", how="left"), keep_order_id)
+
+
+def ml_features(base: DataFrame, keep_order_id: bool = False) -> DataFrame:
+    """The model feature table from fact rows that hold the columns of ``ML_DIMENSIONS``."""
     feats = base.withColumns(order_totals()).withColumns({
         "delay_vs_estimate_days": days_between("order_estimated_delivery_date",
                                                "order_delivered_customer_date"),

@@ -18,3 +18,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def grows(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a sort-merge join. The planner goes by file sizes: a few MB of a well compressed table are millions
+    of rows, and a broadcast collects them in the driver. Meant for tables that grow with the orders."""
+    return df.hint("merge")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelake.functions.dates import calendar_columns
-from storelake.operators.joins import broadcast_if_small
+from storelake.operators.joins import broadcast_if_small, grows
 from storelake.sources.bucketed import buckets_for, write_bucketed
 
 ORDER_KEYS = ["order_id", "customer_id", "order_purchase_timestamp"]
@@ -80,11 +80,37 @@ def fact_order_items(items: DataFrame, orders: DataFrame, payments: DataFrame,
     reuses the first join's partitioning, so the fact costs one exchange per
     input and no re-shuffle of the joined rows.
     """
+    return order_lines(items, orders).join(_payments(payments, payment_mode), on="order_id", how="left").select(FACT_COLUMNS)
+
+
+def _payments(payments: DataFrame, payment_mode: str) -> DataFrame:
     if payment_mode == "aggregate":
-        payments = payments_per_order(payments)
-    elif payment_mode != "fanout":
+        return payments_per_order(payments)
+    if payment_mode != "fanout":
         raise ValueError(f"payment_mode must be 'fanout' or 'aggregate', not {payment_mode!r}")
-    return order_lines(items, orders).join(payments, on="order_id", how="left").select(FACT_COLUMNS)
+    return payments
+
+
+def fact_with_dimensions(items: DataFrame, orders: DataFrame, payments: DataFrame, products: DataFrame, customers: DataFrame,
+                         sellers: DataFrame | None = None, payment_mode: str = "fanout") -> DataFrame:
+    """The rows of fact ⟕ products ⟕ customers ⟕ sellers, each dimension joined to the table that holds its key.
+
+    Items meet products and sellers, and orders meet customers, before items and orders meet: rows that payments
+    multiply are never shuffled again, and they leave the join dealt by ``order_id``, as totals by order need
+    them. Tables that grow with the orders are sort-merge joined: a broadcast would go whole through the driver.
+    """
+    lines = clean_items(items).join(grows(products), on="product_id", how="left")
+    if sellers is not None:
+        lines = lines.join(sellers, on="seller_id", how="left")
+    bought = clean_orders(orders).join(grows(customers), on="customer_id", how="left")
+    joined = lines.join(grows(bought), on="order_id", how="inner").join(grows(_payments(payments, payment_mode)), on="order_id", how="left")
+    return joined.withColumns(calendar_columns("order_purchase_timestamp"))
+
+
+def lines_with_products(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """The rows of :func:`order_lines` ⟕ products without the calendar, dealt by ``order_id``."""
+    lines = clean_items(items).join(grows(products), on="product_id", how="left")
+    return lines.join(grows(clean_orders(orders)), on="order_id", how="inner")
 
 
 def bucketed_inputs(items: DataFrame, orders: DataFrame, payments: DataFrame, folder: str,
@@ -100,6 +126,8 @@ def bucketed_inputs(items: DataFrame, orders: DataFrame, payments: DataFrame, fo
 class Silver:
     """The silver star schema built from the bronze bindings."""
 
+    bronze: object
+    payment_mode: str
     fact: DataFrame
     lines: DataFrame
     customers: DataFrame
@@ -109,9 +137,17 @@ class Silver:
     @classmethod
     def from_bronze(cls, bronze, payment_mode: str = "fanout") -> "Silver":
         return cls(
+            bronze=bronze,
+            payment_mode=payment_mode,
             fact=fact_order_items(bronze.order_items, bronze.orders, bronze.payments, payment_mode),
             lines=order_lines(bronze.order_items, bronze.orders),
             customers=dim_customers(bronze.customers),
             products=dim_products(bronze.products, bronze.category_translation),
             sellers=dim_sellers(bronze.sellers),
         )
+
+    def rows_with(self, products: list[str], customers: list[str], sellers: list[str] | None = None) -> DataFrame:
+        """The fact with columns of its dimensions (:func:`fact_with_dimensions`)."""
+        b = self.bronze
+        return fact_with_dimensions(b.order_items, b.orders, b.payments, self.products.select(products), self.customers.select(customers),
+                                    self.sellers.select(sellers) if sellers else None, self.payment_mode)

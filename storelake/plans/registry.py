@@ -47,14 +47,12 @@ def q_profile(spark, sf_dir):
 
 @register("order_features_for_pricing")
 def q_pricing(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.order_features_for_pricing(s.fact, s.products, s.customers)
+    return gold.pricing_features(_silver(spark, sf_dir).rows_with(**gold.PRICING_DIMENSIONS))
 
 
 @register("ml_feature_store_v2")
 def q_ml_features(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.ml_feature_store(s.fact, s.products, s.customers, s.sellers)
+    return gold.ml_features(_silver(spark, sf_dir).rows_with(**gold.ML_DIMENSIONS))
 
 
 @register("fact_order_items_bucketed")
@@ -481,13 +479,11 @@ def q_top_rules(spark, sf_dir):
 
 # --- models --------------------------------------------------------------------
 def _delay_table(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.ml_feature_store(s.fact, s.products, s.customers, s.sellers, keep_order_id=True)
+    return gold.ml_features(_silver(spark, sf_dir).rows_with(**gold.ML_DIMENSIONS), keep_order_id=True)
 
 
 def _price_table(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.order_features_for_pricing(s.fact, s.products, s.customers)
+    return gold.pricing_features(_silver(spark, sf_dir).rows_with(**gold.PRICING_DIMENSIONS))
 
 
 def _fit_predict(df, spec):
