@@ -6,9 +6,9 @@ where a tree outgrows its task.
 
 Items are numbered from the rarest to the most frequent. Two frequent sets of k items that differ in their last item only
 give a candidate of k + 1; a candidate counts in the baskets that hold its first k items -- known from the level
-before -- and its last. So a level joins the places of the level before with the candidates and with the
-baskets' items, and no basket's pairs are enumerated beyond frequent prefixes. Counts are partial per task. The loop has one round per
-item of the largest frequent set.
+before -- and its last. So a level joins the places of the level before with the candidates, and no basket's pairs are
+enumerated beyond frequent prefixes. Equal baskets are one, with their number; a place carries its basket's items, and a few candidates
+are broadcast, so that a level shuffles its partial counts only. The loop has one round per item of the largest frequent set.
 """
 
 from __future__ import annotations
@@ -19,15 +19,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelake.config import FP_MIN_CONFIDENCE, FP_MIN_SUPPORT
+from storelake.operators.joins import broadcast_if_small
 from storelake.sources.sinks import materialize
 
 
 def numbered_items(basket_items: DataFrame, min_count: int) -> DataFrame:
-    """(item, freq, no): the frequent items, numbered from the rarest. At most average basket size / support of them."""
-    freq = basket_items.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= min_count)
+    """(item, freq, no): the frequent items of baskets that stand for ``n`` equal ones, numbered from the rarest. At most average
+    basket size / support of them."""
+    freq = basket_items.groupBy("item").agg(F.sum("n").alias("freq")).filter(F.col("freq") >= min_count)
     return freq.withColumn("no", F.row_number().over(Window.orderBy("freq", "item")))
 
 
+def numbered_baskets(baskets: DataFrame, items: DataFrame) -> DataFrame:
+    """(held, n): the baskets' frequent items by number, ascending, and for how many baskets they stand."""
+    pairs = baskets.select("basket", "n", F.explode("items").alias("item")).join(broadcast_if_small(items.select("item", "no")), "item")
+    held = pairs.groupBy("basket").agg(F.array_sort(F.collect_list("no")).alias("held"), F.first("n").alias("n"))
+    return held.groupBy("held").agg(F.sum("n").alias("n"))
+
+
 def candidates(frequent: DataFrame) -> DataFrame:
     """(prefix, last, items): sets of one item more, from two frequent ones of equal prefix; a candidate whose other
     subsets aren't all frequent is dropped."""
@@ -49,25 +58,26 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = FP_MIN_SUPPORT, m
 
     ``baskets`` holds distinct ``items`` per ``order_id`` (:func:`baskets.baskets`).
     """
-    n = baskets.count()
+    equal = materialize(baskets.groupBy(F.array_sort("items").alias("items")).agg(F.count(F.lit(1)).alias("n"))
+                        .withColumn("basket", F.monotonically_increasing_id()), "equal-baskets")
+    n = equal.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     min_count = math.ceil(min_support * n)
-    pairs = materialize(baskets.select("order_id", F.explode("items").alias("item")), "basket-items")
-    items = materialize(numbered_items(pairs, min_count), "frequent-items")
-    held = materialize(pairs.join(items.select("item", "no"), "item").select("order_id", "no"), "numbered-baskets")
-    places = held.select("order_id", F.array("no").alias("items"))
+    items = materialize(numbered_items(equal.select("n", F.explode("items").alias("item")), min_count), "frequent-items")
+    places = materialize(numbered_baskets(equal, items), "numbered-baskets").select("held", "n", F.explode(F.transform("held", lambda x: F.array(x))).alias("prefix"))
     level = items.select(F.array("no").alias("items"), "freq")
     found, size = level, 1
     while max_items is None or size < max_items:
         more = materialize(candidates(level), f"candidates-{size + 1}")
         if more.isEmpty():
             break
-        places = (places.withColumnRenamed("items", "prefix").join(more, "prefix")
-                  .join(held.withColumnRenamed("no", "last"), ["order_id", "last"]).select("order_id", "items"))
-        level = places.groupBy("items").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= min_count)
+        # a place carries its basket, so that the last item is looked up where it stands
+        places = materialize(places.join(broadcast_if_small(more), "prefix").filter(F.array_contains("held", F.col("last")))
+                             .select("held", "n", "items"), f"places-{size + 1}")
+        level = places.groupBy("items").agg(F.sum("n").alias("freq")).filter(F.col("freq") >= min_count)
         level = materialize(level, f"sets-{size + 1}")
         if level.isEmpty():
             break
-        places = materialize(places.join(level.select("items"), "items", "left_semi").select("order_id", "items"), f"places-{size + 1}")
+        places = places.join(broadcast_if_small(level.select("items")), "items", "left_semi").withColumnRenamed("items", "prefix")
         found, size = found.unionByName(level), size + 1
     return found, items, n
 

@@ -396,11 +396,12 @@ def q_forecast_worst(spark, sf_dir):
 
 # --- baskets -----------------------------------------------------------------
 def _basket_fact(spark, sf_dir, item: str):
-    """Fact rows with the basket item: the product id, or its category."""
+    """Order lines with the basket item: the product id, or its category. Payments would only repeat rows, of which a
+    basket holds each item once; products are joined to the items, which then meet their orders dealt as baskets are."""
     s = _silver(spark, sf_dir)
     if item == "product_id":
-        return s.fact
-    return s.fact.join(s.products.select("product_id", item), "product_id", "left")
+        return s.lines
+    return silver.lines_with_products(s.bronze.order_items, s.bronze.orders, s.products.select("product_id", item))
 
 
 def _recs(spark, sf_dir, item="product_category_name", single=True):

@@ -68,3 +68,35 @@ def test_limits(spark):
 def test_a_candidate_with_a_rare_subset_is_dropped(spark):
     level = spark.createDataFrame([([1, 2], 5), ([1, 3], 5), ([2, 3], 5), ([2, 4], 5)], "items array<int>, freq long")
     assert [r["items"] for r in I.candidates(level).collect()] == [[1, 2, 3]]
+
+
+def test_equal_baskets_are_counted_once(spark, monkeypatch):
+    rows = baskets(7, 60) * 5
+    sizes, real = {}, I.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(I, "materialize", counted)
+    sets, items, n = I.frequent_itemsets(frame(spark, rows), 0.1)
+    assert n == len(rows) and named(sets, items) == all_sets(rows, 0.1)
+    assert max(v for k, v in sizes.items() if k in ("equal-baskets", "numbered-baskets")) <= 60
+
+
+def test_many_candidates_and_items_are_not_broadcast(spark, monkeypatch):
+    from storelake.operators import joins
+    rows = baskets(8, 100)
+    monkeypatch.setattr(I, "broadcast_if_small", lambda df, max_rows=1: joins.broadcast_if_small(df, 1))
+    sets, items, n = I.frequent_itemsets(frame(spark, rows), 0.05)
+    assert named(sets, items) == all_sets(rows, 0.05)
+
+
+def test_baskets_are_dealt_by_order_once(spark):
+    from conftest import SF_SMALL
+    from storelake.plans.registry import _basket_fact
+    p = B.baskets(_basket_fact(spark, SF_SMALL, "product_category_name"), "product_category_name")._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in p and p.count("Exchange hashpartitioning(order_id") == 2
+    joins = [x for x in p.splitlines() if "BroadcastHashJoin" in x]
+    assert not any(k in x for x in joins for k in ("order_id#", "product_id#"))
