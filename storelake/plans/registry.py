@@ -532,8 +532,11 @@ def q_first_tree(spark, sf_dir):
 
     from storelake.operators import models as m
     from storelake.operators import stump
+    from storelake.sources.sinks import materialize
     spec = replace(m.DELAY, numeric=stump.FEW_VALUES, categorical=())
-    model = m.fit(m.model_input(_delay_table(spark, sf_dir), spec), spec, max_iter=1, max_depth=1, max_bins=stump.MAX_BINS)
+    columns = dict.fromkeys([spec.label, *spec.required, *spec.numeric])
+    data = materialize(m.model_input(_delay_table(spark, sf_dir), spec).select(*columns), "model-input")
+    model = m.fit(m.spread(data), spec, max_iter=1, max_depth=1, max_bins=stump.MAX_BINS)
     return _rounded6(stump.first_split(model, list(spec.numeric), spark))
 
 
