@@ -1,12 +1,12 @@
 """Per-customer state for the three stateful rules (T2-T4) as one
-``transformWithStateInPandas`` processor.
+``transformWithState`` processor.
 
 State (one value per customer, in the RocksDB state store on the executors):
 last state and purchase time (geo_velocity), whether the customer was seen
 (first_order_high_value) and the order count of the current session with its
 last time (velocity). A customer's rows in a micro-batch are processed in
-(purchase time, order id) order, vectorised with numpy; the state carries the
-sequence into the next micro-batch.
+(purchase time, order id) order, row by row: a customer has few, and a data frame a
+customer costs more than all its rules. The state carries the sequence into the next micro-batch.
 
 Late rows (older than what an earlier micro-batch brought) never move the state
 back. Velocity: a row within the window before the session's last time counts in
@@ -17,11 +17,12 @@ after it with the newer of their predecessor and that order.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 from typing import Iterator
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -34,6 +35,7 @@ STATE = StructType([
     StructField("seen", BooleanType()), StructField("count", IntegerType()),
     StructField("count_ts", LongType()),
 ])
+EPOCH, SECOND = datetime(1970, 1, 1), timedelta(seconds=1)
 INPUT_COLUMNS = ["order_id", "customer_unique_id", "customer_state", "ts", "total"]
 
 
@@ -46,7 +48,7 @@ def _tenths(seconds: int) -> str:
     return f"{t // 10}.{t % 10}"
 
 
-class CustomerRulesProcessor(StatefulProcessor):
+class CustomerRowsProcessor(StatefulProcessor):
     """Emits geo_velocity, first_order_high_value and velocity alerts."""
 
     def __init__(self, cfg: RuleConfig = DEFAULT_RULES):
@@ -56,92 +58,76 @@ class CustomerRulesProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("customer", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True)
-        df = df[df["ts"].notna()].sort_values(["ts", "order_id"], kind="mergesort")
-        if df.empty:
-            return
-        cfg = self.cfg
-        ts = (df["ts"].astype("datetime64[us]").astype("int64") // 1_000_000).to_numpy()
-        states = df["customer_state"].to_numpy(dtype=object)
-        oids = df["order_id"].to_numpy(dtype=object)
-        totals = df["total"].to_numpy(dtype=float)
-        detected = df["ts"].to_numpy()
-        n = len(df)
-
-        if self.state.exists():
-            last_state, last_ts, seen, count, count_ts = self.state.get()
-        else:
-            last_state, last_ts, seen, count, count_ts = None, None, False, 0, None
-
-        prev_state = np.empty(n, dtype=object)
-        prev_state[0] = last_state
-        prev_state[1:] = states[:-1]
-        prev_ts = np.empty(n, dtype=float)
-        prev_ts[0] = np.nan if last_ts is None else float(last_ts)
-        prev_ts[1:] = ts[:-1]
-        if last_ts is not None:
-            older = prev_ts < last_ts                        # the stored order is newer than the predecessor
-            prev_state[older], prev_ts[older] = last_state, float(last_ts)
-        gap = ts - prev_ts                                   # nan where no previous order
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for order_id, typ, details, ts in self.alerts([(r["ts"], r["order_id"], r["customer_state"], r["total"]) for r in rows]):
+            yield Row(order_id=order_id, type=typ, score=ALERT_SCORE, details=details, detected_at=ts)
 
+    def alerts(self, rows: list[tuple]) -> list[tuple]:
+        """(order_id, type, details, time) of a customer's (time, order_id, state, total); moves the state on."""
+        rows = sorted((r for r in rows if r[0] is not None), key=lambda r: r[:2])
+        if not rows:
+            return []
+        cfg = self.cfg
+        stored = self.state.get() or (None, None, False, 0, None)       # one call to the state server, not two
+        last_state, last_ts, seen, count, count_ts = stored
+        before_state, before_ts, velocity_ts = last_state, last_ts, count_ts
         out = []
+        for time, order_id, state, total in rows:
+            ts = (time - EPOCH) // SECOND
+
+            # geo_velocity: against the predecessor, or the stored order where that is newer
+            if last_ts is not None and before_ts < last_ts:
+                before_state, before_ts = last_state, last_ts
+            if before_ts is not None and before_state and state is not None and state != before_state:
+                gap = ts - before_ts
+                if abs(gap) < cfg.geo_time_hours * 3600 and "|".join(sorted((state, before_state))) in self.far:
+                    out.append((order_id, "geo_velocity", f"State jump {before_state}->{state} in {_tenths(gap)}h", time))
+            before_state, before_ts = state, ts
+
+            # first_order_high_value: only the customer's first order ever
+            if not seen:
+                seen, total = True, total or 0.0
+                if total > cfg.first_order_high_value:
+                    out.append((order_id, "first_order_high_value", f"First order {_whole(total)} exceeds {cfg.first_order_high_value:g}", time))
+
+            # velocity: a session ends where the gap reaches the window; rows too old for the stored one stay out
+            if count_ts is None or ts > count_ts - cfg.velocity_window_seconds:
+                since = velocity_ts if count_ts is None else max(velocity_ts, count_ts)
+                count = 1 if since is None or ts - since >= cfg.velocity_window_seconds else count + 1
+                velocity_ts = ts
+                if count > cfg.velocity_limit:
+                    out.append((order_id, "velocity", f"{count} orders in 1 hour", time))
+
+        if last_ts is None or before_ts >= last_ts:
+            last_state, last_ts = before_state, before_ts
+        if count_ts is not None:
+            velocity_ts = max(velocity_ts, count_ts)
+        self.state.update((last_state, last_ts, True, count, velocity_ts))
+        return out
+
+    def close(self) -> None:
+        pass
 
-        # geo_velocity: candidates by vectorised tests, pair lookup on those only
-        ps, st = pd.Series(prev_state, dtype=object), pd.Series(states, dtype=object)
-        cand = (ps.notna() & (ps != "") & st.notna()).to_numpy() & ~np.isnan(gap)
-        cand &= np.abs(np.nan_to_num(gap, nan=np.inf)) < cfg.geo_time_hours * 3600
-        idx = np.nonzero(cand)[0]
-        if len(idx):
-            a, b = st.to_numpy()[idx].astype(str), ps.to_numpy()[idx].astype(str)
-            keys = np.where(a < b, np.char.add(np.char.add(a, "|"), b), np.char.add(np.char.add(b, "|"), a))
-            hit = (a != b) & np.isin(keys, list(self.far))
-            for i in idx[hit]:
-                out.append((oids[i], "geo_velocity",
-                            f"State jump {prev_state[i]}->{states[i]} in {_tenths(gap[i])}h", detected[i]))
-
-        # first_order_high_value: only the customer's first order ever
-        if not seen:
-            t0 = 0.0 if np.isnan(totals[0]) else totals[0]
-            if t0 > cfg.first_order_high_value:
-                out.append((oids[0], "first_order_high_value",
-                            f"First order {_whole(t0)} exceeds {cfg.first_order_high_value:g}",
-                            detected[0]))
-
-        # velocity: sessions split where the gap reaches the window; rows too old for the session stay out
-        keep = np.arange(n) if count_ts is None else np.nonzero(ts > count_ts - cfg.velocity_window_seconds)[0]
-        if len(keep):
-            t = ts[keep]
-            before = np.concatenate([[np.nan if count_ts is None else float(count_ts)], t[:-1]])
-            if count_ts is not None:
-                before = np.maximum(before, float(count_ts))
-            starts = np.isnan(before) | (t - before >= cfg.velocity_window_seconds)
-            session = np.cumsum(starts)
-            pos = np.arange(len(t)) - np.searchsorted(session, session, side="left") + 1
-            counts = np.where(session == 0, pos + count, pos)    # session 0 continues the stored one
-            for i, c in zip(keep, counts):
-                if c > cfg.velocity_limit:
-                    out.append((oids[i], "velocity", f"{int(c)} orders in 1 hour", detected[i]))
-            count, count_ts = int(counts[-1]), int(t[-1]) if count_ts is None else max(int(t[-1]), count_ts)
-
-        if last_ts is None or ts[-1] >= last_ts:
-            last_state, last_ts = states[-1], int(ts[-1])
-        self.state.update((last_state, last_ts, True, count, count_ts))
+
+class CustomerRulesProcessor(CustomerRowsProcessor):
+    """The same over data frames, as ``transformWithStateInPandas`` hands them over."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        given = [r for df in rows for r in zip(*(df[c].astype(object).where(df[c].notna(), None)
+                                                 for c in ("ts", "order_id", "customer_state", "total")))]
+        out = self.alerts(given)
         if out:
             res = pd.DataFrame(out, columns=["order_id", "type", "details", "detected_at"])
             res.insert(2, "score", ALERT_SCORE)
-            yield res[["order_id", "type", "score", "details", "detected_at"]]
-
-    def close(self) -> None:
-        pass
+            yield res
 
 
 def customer_alerts(orders, cfg: RuleConfig = DEFAULT_RULES):
     """Stateful alerts of a (streaming or batch) prepared-orders DataFrame."""
     return (orders.filter("ts_ok").select(*INPUT_COLUMNS)
             .groupBy("customer_unique_id")
-            .transformWithStateInPandas(
-                statefulProcessor=CustomerRulesProcessor(cfg),
+            .transformWithState(
+                statefulProcessor=CustomerRowsProcessor(cfg),
                 outputStructType=schemas.ALERT,
                 outputMode="Append",
                 timeMode="None"))

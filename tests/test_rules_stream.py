@@ -290,3 +290,26 @@ def test_stream_and_serving_jobs(spark, tmp_path):
     jobs.stream_job(spark, str(tmp_path / "in"), str(tmp_path / "stream"))
     got = {r.table_name: r.row_count for r in jobs.serving_job(spark, str(tmp_path / "stream"), str(tmp_path / "serving")).collect()}
     assert got["anomalies"] == len(expected()) and got["daily_metrics"] > 0
+
+
+def test_rows_and_frames_raise_the_same():
+    import random
+    from datetime import datetime, timedelta
+
+    import pandas as pd
+    from pyspark.sql import Row
+
+    from storelake.streaming.processor import CustomerRowsProcessor, CustomerRulesProcessor
+    for seed in range(40):
+        g = random.Random(seed)
+        by_row, by_frame = CustomerRowsProcessor(), CustomerRulesProcessor()
+        by_row.state, by_frame.state = _Value(), _Value()
+        for batch in range(3):
+            rows = [Row(order_id=f"{batch}-{k}", customer_unique_id="c", customer_state=g.choice(["SP", "AM", "RJ", None, ""]),
+                        ts=g.choice([None, *[datetime(2024, 1, 1) + timedelta(minutes=g.randint(0, 400) + 200 * batch)] * 5]),
+                        total=g.choice([None, 10.0, 900.0])) for k in range(g.randint(1, 20))]
+            df = pd.DataFrame(rows, columns=list(rows[0].__fields__))
+            df["ts"], df["total"] = pd.to_datetime(df["ts"]), df["total"].astype(float)
+            got = [tuple(r) for r in by_row.handleInputRows(("c",), iter(rows), None)]
+            assert got == [tuple(r) for x in by_frame.handleInputRows(("c",), iter([df]), None) for r in x.itertuples(index=False)]
+            assert by_row.state.held == by_frame.state.held
