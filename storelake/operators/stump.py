@@ -9,6 +9,8 @@ smaller threshold. A threshold lies half way between two neighbouring values.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +28,23 @@ MAX_BINS = 512
 def split_gains(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     """(feature, at, threshold, left_rows, right_rows, left_mean, right_mean, gain) of every possible split, over the rows
     that have the label and all features."""
-    whole = df.select(F.col(label).cast("double").alias("y"), *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
-    values = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(f).alias("feature"), F.col(f).alias("value")) for k, f in enumerate(features)])
-    sums = (whole.select("y", F.explode(values).alias("v")).select("y", "v.*").groupBy("at", "feature", "value")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("decimal(38,9)")).alias("s")))
+    y = F.col(label).cast("decimal(38,9)")
+    whole = df.select(F.floor(y).cast("long").alias("y"), ((y - F.floor(y)) * 10**9).cast("long").alias("y9"),
+                      *[F.col(f).cast("double").alias(f"v{k}") for k, f in enumerate(features)]).na.drop()
+    values = whole.unpivot(["y", "y9"], [f"v{k}" for k in range(len(features))], "at", "value")
+    # billionths apart: two sums of longs, which cost a fraction of one of wide decimals
+    sums = values.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"), F.sum("y9").alias("y9"))
+    sums = sums.select(F.substr("at", F.lit(2)).cast("int").alias("at"), "value", "n",
+                       (F.col("y").cast("decimal(20,0)") + F.col("y9").cast("decimal(20,0)") * F.lit(Decimal("1e-9"))).cast("decimal(38,9)").alias("s"))
     sums = materialize(sums, "split-sums")      # the number of chunks goes by its size, which the planner can't tell before
     order = ["value"]
     chunks = sequence.chunk_rows(sums, ["at"], order)
     seen = sequence.add_running_sums(sequence.add_previous(chunks, order, ["value"]), order, ["n", "s"])
     total = chunks.groupBy("at").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    feature = F.get(F.array(*map(F.lit, features)), F.col("at"))
     left_n, left_s = F.col("sum_n") - F.col("n"), F.col("sum_s") - F.col("s")
     d = (seen.filter(F.col(sequence.RN) > 1).join(total, "at")
-         .select("feature", "at", ((F.col("prev_value") + F.col("value")) / 2).alias("threshold"), left_n.alias("left_rows"),
+         .select(feature.alias("feature"), "at", ((F.col("prev_value") + F.col("value")) / 2).alias("threshold"), left_n.alias("left_rows"),
                  (F.col("all_n") - left_n).alias("right_rows"), left_s.cast("double").alias("sl"),
                  (F.col("all_s") - left_s).cast("double").alias("sr"), F.col("all_s").cast("double").alias("s"), "all_n"))
     return d.select("feature", "at", "threshold", "left_rows", "right_rows", (F.col("sl") / F.col("left_rows")).alias("left_mean"),

@@ -52,3 +52,27 @@ def test_running_sums_over_chunks(spark):
         for v in range(parity, 300, 2):
             total = (total or 0) + 1 if v % 5 else total
             assert got[v] == total
+
+
+def test_sums_of_labels_are_exact(spark):
+    from decimal import Decimal
+    data = [(0.1, 1.0), (-0.3, 1.0), (-7.12345678, 2.0), (12345678.25, 2.0), (-1e9, 3.0)] * 3
+    df = spark.createDataFrame(data, "y double, a double")
+    best = stump.split_gains(df, "y", ["a"]).orderBy("threshold").collect()
+    whole = sum((Decimal(repr(y)) for y, _ in data), Decimal(0))
+    for r in best:
+        left = sum((Decimal(repr(y)) for y, a in data if a < r.threshold), Decimal(0))
+        assert r.feature == "a" and (r.left_mean, r.right_mean) == pytest.approx((float(left) / r.left_rows, float(whole - left) / r.right_rows), rel=1e-14)
+
+
+def test_the_sums_add_longs(spark):
+    from storelake.plans.registry import QUERIES
+    seen = []
+    real, stump.materialize = stump.materialize, lambda df, name: seen.append(df) or real(df, name)
+    try:
+        QUERIES["delay_best_split"](spark, "/root/testdata/sf0.001")
+    finally:
+        stump.materialize = real
+    p = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in p and "Generate" not in p
+    assert not [x for x in p.splitlines() if "Aggregate" in x and "sum(cast" in x]
