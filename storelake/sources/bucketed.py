@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 16 << 20     # compressed; sorted in a task, the rows made of them take some 40 times that
 
 
 def _input_bytes(df: DataFrame) -> int:

@@ -162,3 +162,9 @@ def test_pruned_months_are_not_read(spark, tmp_path):
     df = read_months(spark, str(tmp_path / "t"), months.filter("quarter = 2"))
     assert {r.purchase_month for r in df.collect()} == {4, 5, 6} and df.count() == 300
     assert "dynamicpruning" in plan(df)
+
+
+def test_a_bucket_stays_small_as_its_table_grows(spark, monkeypatch):
+    from storelake.sources import bucketed
+    monkeypatch.setattr(bucketed, "_input_bytes", lambda df: 4 << 30)
+    assert bucketed.buckets_for(spark.range(1)) >= 200
