@@ -490,18 +490,13 @@ def _price_table(spark, sf_dir):
 def _fit_predict(df, spec):
     """Fit on the train side and return the test predictions (lazy).
 
-    The model input is persisted (memory and disk) only while fitting: the
-    indexer pass and GBT's own passes then read it instead of recomputing the
-    feature joins."""
-    from pyspark import StorageLevel
+    The model input is written once to the shared folder: the indexer pass, GBT's own passes and the predictions read it
+    instead of building the feature joins again, and it takes no memory from the trees."""
     from storelake.operators import models as m
-    data = m.spread(m.model_input(df, spec)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = m.split(data, key="order_id")
-        model = m.fit(train, spec)
-    finally:
-        data.unpersist()
-    return model.transform(test)
+    from storelake.sources.sinks import materialize
+    data = m.spread(materialize(m.model_input(df, spec), "model-input"))
+    train, test = m.split(data, key="order_id")
+    return m.fit(train, spec).transform(test)
 
 
 @register("shipment_delay_predictions")
