@@ -13,20 +13,27 @@
    count as one page, so that an article which stands twice isn't taken for furniture.
 3. Furniture is dropped. Of the rest, the main part's blocks stay, or else the articles', or else all.
    Where they are fewer than ``MOST`` of the words, as beside a small card, the blocks outside them are looked at as well:
-   such a block is dropped when repeats cover at least ``COVERED`` of it. Unique runs and all of
-   the article are kept, also what articles share: lines that stand in many articles of a host are part of each.
-
-Only hosts with a page that the repeats have to decide are searched, all pages of them. A task reduces its pages' suffixes to one
-row per host and rank, with the smallest and the largest page, before they are shuffled, so that neither a
+   such a block is dropped when repeats cover at least ``COVERED`` of it.
+4. In the main part of every page a block goes when runs of the whole site cover at least ``COVERED`` of it: notices, adverts
+   and links that no name gives away. Such a run stands in the main part of at least ``SITE`` of the host's pages, ``SITE_PAGES``
+   distinct ones or more. What fewer articles share is part of each and stays, and so does a main part of which more than
+   ``MOST`` would go: it is a copy with changes.
+
+For step 2 only hosts with a page that the repeats have to decide are searched, all pages of them. A task reduces its pages'
+suffixes to one row per host and rank, with the smallest and the largest page, before they are shuffled, so that neither a
 large host nor a run that stands on all its pages gathers in one task.
 
+For step 4 all pages of hosts with ``SITE_PAGES`` are searched. A run on ``SITE`` of a host's pages stands on ``SITE`` of the
+pages in some group, however they are grouped: tasks propose what is so common among their pages, whatever can't reach
+``SITE`` by what the groups without a proposal may hold falls away, and the rest is counted on every page. Hosts with few pages a task
+are brought together before, so that a group is seldom a single page, all of whose runs would be proposed.
+
 Null or empty pages have the empty text. Pages without host are a host of their own. Broken markup
 is read as far as it goes. Rows with equal ``page_id`` are answered one by one.
 """
 
 from __future__ import annotations
 
-import functools
 import html
 import re
 
@@ -41,9 +48,14 @@ from storelake.llm.common import broadcast_within, stored
 REPEAT = 8                  # tokens
 COVERED = 0.6
 MOST = 0.5
+SITE = (4, 5)               # share of a host's pages
+SITE_PAGES = 10
 BATCH_TOKENS = 1_000_000    # tokens whose suffixes a task reduces at once
+GROUP_TOKENS = 4_000_000    # the same where a group's common suffixes are sought
+COUNTED_RUNS = 100_000      # runs whose pages a task counts at once
+GROUP_PAGES = 4             # pages of a host a task, below which the host's pages are brought together
 MAX_BROADCAST_HOSTS = 100_000
-TOKENS_KEPT = 200_000
+MAX_BROADCAST_RUNS = 1_000_000
 
 # fixed values: elements of HTML by their part in a page
 FURNITURE = {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "noscript",
@@ -198,19 +210,10 @@ def _settled(found: list[tuple]) -> list[tuple[str, bool, int]]:
 _U = np.uint64
 
 
-@functools.cache
-def _token_cache() -> dict[str, int]:
-    return {}
-
-
 def _stream(texts: list[str]) -> np.ndarray:
     """Token ids of a page's blocks, one after another."""
-    tokens, known = [t for x in texts for t in x.split(" ")], _token_cache()
-    if len(known) > TOKENS_KEPT:
-        known.clear()
-    for t in set(tokens).difference(known):
-        known[t] = xxhash.xxh64_intdigest(t)
-    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    tokens = " ".join(texts).split(" ") if texts else []
+    return np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
 
 
 def _key(stream: np.ndarray) -> int:
@@ -238,8 +241,9 @@ def covered(size: int, hits: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _settle(page: list[tuple[str, bool, int]]) -> tuple[str | None, list[bool], list[bool]]:
-    """(main text, candidates, inside): the text, if no repeat can change it; else which blocks may stay, and which stay."""
+def _settle(page: list[tuple[str, bool, int]]) -> tuple[list[str], list[bool] | None, list[bool] | None]:
+    """(texts, candidates, inside): the main part's blocks, if the structure tells them all; else all blocks, which of them may
+    stay, and which are of the main part."""
     plain = [not furniture for _, furniture, _ in page]
     best = max((part for (_, _, part), ok in zip(page, plain) if ok), default=0)
     inside = [ok and part == best and best > 0 for (_, _, part), ok in zip(page, plain)]
@@ -248,8 +252,13 @@ def _settle(page: list[tuple[str, bool, int]]) -> tuple[str | None, list[bool],
     sizes = [text.count(" ") + 1 for text, _, _ in page]
     n_inside, n_may = (sum(n for n, ok in zip(sizes, x) if ok) for x in (inside, may))
     if inside == may or best and n_inside >= MOST * n_may:
-        return " ".join(x[0] for x, ok in zip(page, inside) if ok), [], []
-    return None, may, inside
+        return [x[0] for x, ok in zip(page, inside) if ok], None, None
+    return [x[0] for x in page], may, inside
+
+
+def _main(texts: list[str], inside: list[bool] | None) -> list[str]:
+    """The main part's blocks of those stored."""
+    return texts if inside is None else [t for t, ok in zip(texts, inside) if ok]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -264,26 +273,126 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             cols = [[] for _ in range(5)]
             for page in map(blocks, b.column("html").to_pylist()):
-                text, may, inside = _settle(page)
-                texts = [x[0] for x in page] if text is None else None
-                for col, v in zip(cols, (text, texts, may, inside, None if texts is None else _key(_stream(texts)))):
+                texts, may, inside = _settle(page)
+                main = bool(texts) and (inside is None or any(inside))
+                for col, v in zip(cols, (texts, may, inside, main, None if may is None else _key(_stream(texts)))):
                     col.append(v)
-            kinds = (pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.int64())
+            kinds = (pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url", "host")), *map(pa.array, cols, kinds)],
-                                             ["page_id", "url", "host", "text", "texts", "may", "inside", "copy"])
+                                             ["page_id", "url", "host", "texts", "may", "inside", "main", "copy"])
 
-    cut_up = stored(rows.mapInArrow(cut, f"{base}, text string, texts array<string>, may array<boolean>, inside array<boolean>, copy long"),
+    cut_up = stored(rows.mapInArrow(cut, f"{base}, texts array<string>, may array<boolean>, inside array<boolean>, main boolean, copy long"),
                     "page-blocks")
-    sure = cut_up.filter(F.col("text").isNotNull()).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
-    unsure = cut_up.filter(F.col("text").isNull()).drop("text")
+    site = site_runs(cut_up)
+    site = F.broadcast(site) if _within(site, MAX_BROADCAST_RUNS) else site
+    text = F.array_join("texts", " ")
+    clear = cut_up.filter(F.col("may").isNull())
+    plain = clear.join(site, "host", "left_anti").select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+    unsure = cut_up.filter(F.col("may").isNotNull())
+    result = f"page_id {page_type}, url {url_type}, text string, n_chars long"
+    columns = "page_id", "url", "texts", "may", "inside", "hits", "site"
+    hits_type = "array<int>"
+    decided = clear.join(site, "host").withColumn("hits", F.lit(None).cast(hits_type)).select(*columns).mapInArrow(_decide, result)
     if unsure.isEmpty():
-        return sure
+        return plain.unionAll(decided)
     runs = repeated(rows, unsure.select("host").distinct())
     found = unsure.select("host", "copy", "texts").dropDuplicates(["host", "copy"]).mapInArrow(_places, "host string, copy long, rank long, at int")
     hits = found.join(runs, ["host", "rank"]).groupBy("host", "copy").agg(F.collect_list("at").alias("hits"))
-    decided = unsure.join(hits, ["host", "copy"], "left").mapInArrow(
-        _decide, f"page_id {page_type}, url {url_type}, text string, n_chars long")
-    return sure.unionAll(decided)
+    beside = unsure.join(hits, ["host", "copy"], "left").join(site, "host", "left").select(*columns).mapInArrow(_decide, result)
+    return plain.unionAll(decided).unionAll(beside)
+
+
+def _within(site: DataFrame, runs: int) -> bool:
+    return site.agg(F.coalesce(F.sum(F.size("site")), F.lit(0))).first()[0] <= runs
+
+
+def least(pages):
+    """How many of a number of pages are at least ``SITE`` of them."""
+    return -(-SITE[0] * pages // SITE[1])
+
+
+def site_runs(cut_up: DataFrame) -> DataFrame:
+    """(host, site): the runs of ``REPEAT`` tokens that stand in the main part on ``SITE`` of a host's pages, ``SITE_PAGES`` distinct ones at least."""
+    main = cut_up.filter("main")
+    hosts = stored(main.groupBy("host").agg(F.count("*").alias("total")).filter(F.col("total") >= SITE_PAGES), "page-hosts")
+    few = F.col("total") < GROUP_PAGES * cut_up.rdd.getNumPartitions()
+
+    def of(some, *columns):
+        return main.join(broadcast_within(some, MAX_BROADCAST_HOSTS), "host").select("host", "texts", "inside", *columns)
+
+    grouped = of(hosts.filter(~few)).unionAll(of(hosts.filter(few)).repartition("host").sortWithinPartitions("host"))
+    proposed = stored(grouped.mapInArrow(_proposed, "host string, rank long, gain long"), "page-proposals")
+    need = F.ceil(F.col("total") * SITE[0] / SITE[1])
+    slack = proposed.filter("rank is null").groupBy("host").agg(F.sum("gain").alias("slack")).join(hosts, "host")
+    likely = (proposed.filter("rank is not null").groupBy("host", "rank").agg(F.sum("gain").alias("gain")).join(slack, "host")
+              .filter(F.col("gain") + F.col("slack") >= need).groupBy("host").agg(F.collect_list("rank").alias("likely")))
+    likely = stored(likely, "page-candidates")
+    if likely.isEmpty():
+        return likely.withColumnRenamed("likely", "site")
+    asked = F.broadcast(likely) if likely.agg(F.sum(F.size("likely"))).first()[0] <= MAX_BROADCAST_RUNS else likely
+    counts = (main.join(asked, "host").select("host", "texts", "inside", "likely")
+              .mapInArrow(_counted, "host string, rank long, pages long, copies array<long>").groupBy("host", "rank")
+              .agg(F.sum("pages").alias("pages"), F.size(F.array_distinct(F.flatten(F.collect_list("copies")))).alias("copies")))
+    return stored(counts.join(hosts, "host").filter((F.col("pages") >= need) & (F.col("copies") >= SITE_PAGES))
+                  .groupBy("host").agg(F.collect_list("rank").alias("site")), "page-site-runs")
+
+
+def _mains(batches):
+    """(host, stream, likely) of the main parts."""
+    for b in batches:
+        names = b.schema.names
+        likely = b.column("likely") if "likely" in names else None
+        for k, (host, texts, inside) in enumerate(zip(*(b.column(c).to_pylist() for c in ("host", "texts", "inside")))):
+            yield host, _stream(_main(texts, inside)), None if likely is None else likely[k].values.to_numpy()
+
+
+def _proposed(batches):
+    """(host, rank, gain): what stands on ``SITE`` of a group's pages of a host, as the pages beyond the most that a group without a
+    proposal may hold; that number stands in a row without rank."""
+    def common(held):
+        for host, parts in held.items():
+            rank, count = np.unique(np.concatenate(parts), return_counts=True)
+            enough = least(len(parts))
+            rank, count = rank[count >= enough], count[count >= enough]
+            yield pa.RecordBatch.from_arrays([pa.array([host] * (len(rank) + 1), pa.string()), pa.array([None, *rank.tolist()], pa.int64()),
+                                              pa.array(np.append(enough - 1, count - enough + 1), pa.int64())], ["host", "rank", "gain"])
+
+    held, size = {}, 0
+    for host, stream, _ in _mains(batches):
+        rank = np.unique(suffix_ranks(stream))
+        held.setdefault(host, []).append(rank)
+        size += len(rank)
+        if size >= GROUP_TOKENS:
+            yield from common(held)
+            held, size = {}, 0
+    yield from common(held)
+
+
+def _counted(batches):
+    """(host, rank, pages, copies): on how many pages the proposed runs stand, with the smallest keys of ``SITE_PAGES`` distinct ones."""
+    def reduced(held):
+        for host, runs in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([host] * len(runs), pa.string()), pa.array(list(runs), pa.int64()),
+                                              pa.array([n for n, _ in runs.values()], pa.int64()),
+                                              pa.array([list(keys) for _, keys in runs.values()], pa.list_(pa.int64()))],
+                                             ["host", "rank", "pages", "copies"])
+
+    held, size = {}, 0
+    for host, stream, likely in _mains(batches):
+        runs = held.setdefault(host, {})
+        size -= len(runs)
+        key = _key(stream)
+        for r in np.intersect1d(suffix_ranks(stream), likely).tolist():
+            run = runs.setdefault(r, [0, set()])
+            run[0] += 1
+            run[1].add(key)
+            if len(run[1]) > SITE_PAGES:
+                run[1].remove(max(run[1]))
+        size += len(runs)
+        if size >= COUNTED_RUNS:
+            yield from reduced(held)
+            held, size = {}, 0
+    yield from reduced(held)
 
 
 def repeated(rows: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -331,9 +440,30 @@ def _decide(batches):
     """The text of pages whose blocks the repeats decide."""
     for b in batches:
         out = []
-        for texts, may, inside, hits in zip(*(b.column(c).to_pylist() for c in ("texts", "may", "inside", "hits"))):
-            at = np.cumsum([0, *(t.count(" ") + 1 for t in texts)])
-            marks = covered(int(at[-1]), np.array(hits or [], np.int64))
-            out.append(" ".join(t for k, t in enumerate(texts) if inside[k] or may[k] and marks[at[k]:at[k + 1]].mean() < COVERED))
+        runs = b.column("site")
+        for i, (texts, may, inside, hits) in enumerate(zip(*(b.column(c).to_pylist() for c in ("texts", "may", "inside", "hits")))):
+            stay = [True] * len(texts) if inside is None else list(inside)
+            if runs[i].is_valid and any(stay):
+                for k, drop in zip([k for k, ok in enumerate(stay) if ok], _of_site(_main(texts, inside), runs[i].values.to_numpy())):
+                    stay[k] = not drop
+            if may is not None:
+                at = np.cumsum([0, *(t.count(" ") + 1 for t in texts)])
+                marks = covered(int(at[-1]), np.array(hits or [], np.int64))
+                for k in range(len(texts)):
+                    if may[k] and not inside[k]:
+                        stay[k] = marks[at[k]:at[k + 1]].mean() < COVERED
+            out.append(" ".join(t for t, ok in zip(texts, stay) if ok))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                                          ["page_id", "url", "text", "n_chars"])
+
+
+def _of_site(main: list[str], site: np.ndarray) -> list[bool]:
+    """Which of the main part's blocks runs of the whole site cover; none, if they are most of it."""
+    stream = _stream(main)
+    hits = np.flatnonzero(np.isin(suffix_ranks(stream), site))
+    if not len(hits):
+        return [False] * len(main)
+    sizes = np.array([t.count(" ") + 1 for t in main])
+    marked = np.add.reduceat(covered(len(stream), hits).astype(np.int64), np.cumsum(sizes) - sizes)
+    drop = marked / sizes >= COVERED
+    return drop.tolist() if sizes[drop].sum() <= MOST * len(stream) else [False] * len(main)

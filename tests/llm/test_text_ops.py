@@ -327,6 +327,63 @@ def test_repeats_are_those_of_brute_force(spark):
     assert got == want and len(set(want.values())) > 5
 
 
+def own(k, n):
+    return " ".join(f"w{k}x{i}" for i in range(n))
+
+
+def test_runs_of_the_whole_site_decide_inside_articles(spark, monkeypatch):
+    """A nameless notice in all articles goes; what half of them share stays, and so do copies and small hosts."""
+    notice = "<div>read also our ten best stories of this week and tell your friends</div>"
+    shared = "<p>this line stands in half of the articles and is a part of each one</p>"
+    pages = [f"<article><p>{own(k, 30)}</p>{notice}{shared if k % 2 else ''}<p>{own(k + 100, 9)}</p></article>" for k in range(12)]
+    want = [" ".join([own(k, 30), *([re.sub("<.*?>", "", shared)] if k % 2 else []), own(k + 100, 9)]) for k in range(12)]
+    d = pages_of(spark, pages)
+    assert [r["text"] for r in html_text.extract(d).orderBy("page_id").collect()] == want
+    # beside a small article's page and in its article the runs hold as well
+    more = pages_of(spark, [*pages, f"<div>{own(50, 200)}</div><article>{notice}<p>{own(51, 30)}</p></article>"])
+    assert [r["text"] for r in html_text.extract(more).orderBy("page_id").collect()] == [*want, own(50, 200) + " " + own(51, 30)]
+    few = html_text.extract(d.filter(f"page_id < {html_text.SITE_PAGES - 1}")).collect()
+    assert len(few) == 9 and all("your friends" in r["text"] for r in few)
+    monkeypatch.setattr(html_text, "site_runs", lambda cut_up: spark.createDataFrame([], "host string, site array<long>"))
+    assert all("your friends" in r["text"] for r in html_text.extract(d).collect())
+
+
+def test_copies_of_an_article_stay(spark):
+    """Equal pages count once, and a page that would lose most of its main part keeps it."""
+    same = [f"<article><p>{own(0, 60)}</p><p>{own(1, 20)}</p></article>"] * 20
+    near = [f"<article><p>{own(2, 60)}</p><p>{own(3, 20)}</p><p>edit {k}</p></article>" for k in range(20)]
+    for pages in (same, near):
+        got = [r["text"] for r in html_text.extract(pages_of(spark, pages)).orderBy("page_id").collect()]
+        assert got == [re.sub("(<.*?>)+", " ", p).strip() for p in pages]
+
+
+@pytest.mark.parametrize("tokens, pages, parts", [(4_000_000, 8, 1), (300, 0, 7), (300, 8, 7), (1, 0, 3)])
+def test_site_runs_are_those_of_brute_force(spark, monkeypatch, tokens, pages, parts):
+    """Whatever the groups, the runs are those that stand on enough of a host's pages."""
+    monkeypatch.setattr(html_text, "GROUP_TOKENS", tokens)
+    monkeypatch.setattr(html_text, "GROUP_PAGES", pages)
+    monkeypatch.setattr(html_text, "COUNTED_RUNS", tokens)
+    random.seed(9)
+    found, held = [], {}
+    for h, n, share in (("x", 40, 0.85), ("y", 25, 0.8), ("z", 9, 1), ("v", 30, 0.78), ("u", 10, 0.9), ("t", 60, 0.3)):
+        lines = [own(f"{h}{j}", 12) for j in range(8)]
+        texts = [[*(x for x in lines if random.random() < share), own(f"{h}p{k}", 5)] for k in range(n)]
+        texts += [texts[0]] * (n // 4)                          # copies
+        for k, t in enumerate(texts):
+            found.append((k, f"http://{h}/{k}", "<main>" + "".join(f"<p>{x}</p>" for x in t) + "</main>"))
+            stream = html_text._stream(t)
+            for r in set(html_text.suffix_ranks(stream).tolist()):
+                held.setdefault((h, r), []).append(stream.tobytes())
+        held[h] = len(texts)
+    want = {k for k, v in held.items() if isinstance(k, tuple) and 5 * len(v) >= 4 * held[k[0]] and len(set(v)) >= html_text.SITE_PAGES}
+    d = spark.createDataFrame(found, "page_id long, url string, html string").repartition(parts)
+    seen, real = [], html_text.site_runs
+    monkeypatch.setattr(html_text, "site_runs", lambda cut_up: seen.append(real(cut_up)) or seen[0])
+    html_text.extract(d).collect()
+    got = {(r["host"], x) for r in seen[0].collect() for x in r["site"]}
+    assert got == want and len({h for h, _ in want}) >= 2
+
+
 def test_a_large_host_equals_the_same_pages_in_any_partitioning(spark, monkeypatch):
     """A repeat that stands on two pages of a host is found wherever they lie."""
     pages = [f"<div>{' '.join(f'm{k // 2}y{i}' for i in range(10))}</div><p>{' '.join(f't{k}z{i}' for i in range(400))}</p>" for k in range(1200)]
