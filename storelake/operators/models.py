@@ -1,8 +1,8 @@
 """Delay and price models (M1-M10): MLlib pipelines of StringIndexer,
 VectorAssembler and GBTRegressor, a repeatable split, and metrics.
 
-Training is MLlib's distributed GBT (one Spark job per tree level); its input
-is cached by MLlib and node-id checkpoints go to the shared checkpoint folder.
+The trees are grown by :mod:`storelake.operators.boosting` (one Spark job per
+tree level over packed rows); the fitted model is MLlib's.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.config import GBT_MAX_DEPTH, GBT_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
 from storelake.functions.numeric import ratio
+from storelake.operators import boosting
 from storelake.session import checkpoint_root
 
 
@@ -68,6 +69,20 @@ def spread(df: DataFrame, key: str = "order_id") -> DataFrame:
     return df.repartition(cores, F.col(key)) if key in df.columns and df.rdd.getNumPartitions() < cores else df
 
 
+def _split_column(key: str, seed: int) -> str:
+    return f"_split_{key}_{seed}"
+
+
+def _split_number(key: str, seed: int) -> Column:
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 1000
+
+
+def with_split_number(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:
+    """``df`` with the number by which :func:`split` divides it, for a table that is read several times."""
+    return df.withColumn(_split_column(key, seed), _split_number(key, seed))
+
+
 def split(df: DataFrame, key: str | None = None, weights=SPLIT_WEIGHTS,
           seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """Train/test split (M7).
@@ -80,8 +95,8 @@ def split(df: DataFrame, key: str | None = None, weights=SPLIT_WEIGHTS,
         train, test = df.randomSplit(list(weights), seed=seed)
         return train, test
     cut = int(round(weights[0] / sum(weights) * 1000))
-    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 1000
+    kept = _split_column(key, seed)
+    bucket = F.col(kept) if kept in df.columns else _split_number(key, seed)
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 
@@ -97,8 +112,11 @@ def pipeline(spec: ModelSpec, max_iter: int = GBT_MAX_ITER, max_depth: int = GBT
 
 
 def fit(train: DataFrame, spec: ModelSpec, **kw) -> PipelineModel:
+    """The fitted :func:`pipeline`; its last stage is fitted over packed rows instead of by MLlib's row objects."""
     checkpoint_root(train.sparkSession)
-    return pipeline(spec, **kw).fit(train)
+    *before, gbt = pipeline(spec, **kw).getStages()
+    ready = Pipeline(stages=before).fit(train)
+    return PipelineModel([*ready.stages, boosting.fit(gbt, ready.transform(train), features(spec))])
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

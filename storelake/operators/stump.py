@@ -1,4 +1,4 @@
-"""The best first split of a regression tree, exactly, from prefix sums (M5, M6): the check of MLlib's trees.
+"""The best first split of a regression tree, exactly, from prefix sums (M5, M6): the check of the boosted trees.
 
 MLlib looks at a bounded number of candidate thresholds per feature. Here every value is one: rows are reduced to
 (feature, value, rows, label sum), sorted by value in chunks that split a feature over tasks

@@ -494,7 +494,7 @@ def _fit_predict(df, spec):
     instead of building the feature joins again, and it takes no memory from the trees."""
     from storelake.operators import models as m
     from storelake.sources.sinks import materialize
-    data = m.spread(materialize(m.model_input(df, spec), "model-input"))
+    data = m.spread(materialize(m.with_split_number(m.model_input(df, spec), "order_id"), "model-input"))
     train, test = m.split(data, key="order_id")
     return m.fit(train, spec).transform(test)
 
@@ -522,7 +522,7 @@ def q_best_split(spark, sf_dir):
 
 @register("delay_first_tree")
 def q_first_tree(spark, sf_dir):
-    """The split that MLlib's boosted trees make first (one tree, depth 1), over the features of few values."""
+    """The split that the boosted trees make first (one tree, depth 1), over the features of few values."""
     from dataclasses import replace
 
     from storelake.operators import models as m
