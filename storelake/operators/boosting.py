@@ -351,7 +351,7 @@ def fit(gbt: GBTRegressor, data: DataFrame, columns: list[str]) -> GBTRegression
     bins, metadata = candidates(gbt, data, len(columns))
     limits = gbt.getMaxDepth(), metadata.minInstancesPerNode(), metadata.minInfoGain()
     codes, left, path = packed_rows(data, label, columns, bins, metadata.numExamples())
-    codes.persist(StorageLevel.MEMORY_AND_DISK)
+    codes.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     trees: list[dict[int, Node]] = []
     checkpoints: list[str] = []
     root = _added(codes.zip(left).mapPartitions(_count(bins, {}, [1])))
@@ -361,7 +361,7 @@ def fit(gbt: GBTRegressor, data: DataFrame, columns: list[str]) -> GBTRegression
             tree = grow(codes, left, bins, root, *limits, scale)
             leaves = {k: weight * n.mean for k, n in tree.items() if not n.split}
             after = _one_by_one(codes.zip(left).mapPartitions(_next(bins, tables(bins, tree), leaves)))
-            after.persist(StorageLevel.MEMORY_AND_DISK)
+            after.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             every = gbt.getCheckpointInterval()
             if every > 0 and (m + 1) % every == 0 and m + 1 < gbt.getMaxIter():
                 after.checkpoint()

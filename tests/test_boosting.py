@@ -91,6 +91,14 @@ def test_all_rows_are_counted_once_in_few_bytes(spark, monkeypatch):
     assert held() == before
 
 
+def test_kept_split_number_divides_alike(spark):
+    df = spark.range(500).withColumnRenamed("id", "order_id")
+    for one, two in zip(m.split(df, key="order_id"), m.split(m.with_split_number(df, "order_id"), key="order_id")):
+        assert sorted(r[0] for r in one.collect()) == sorted(r[0] for r in two.collect()) != []
+    other = m.split(m.with_split_number(df, "order_id", seed=7), key="order_id")[0]
+    assert sorted(r[0] for r in other.collect()) == sorted(r[0] for r in m.split(df, key="order_id")[0].collect())
+
+
 def test_groups_hold_all_features_apart():
     g = np.random.default_rng(1)
     sizes = [32, 2, 7, 32, 32, 1, 26, 12, 512, 24]
